@@ -20,33 +20,34 @@ def spread_join(
 ) -> DataFrame:
     """Join fact to dim, cutting the fact rows of hot keys into `salts` slices.
 
-    A key is hot when it holds more than `share` of the fact rows, so there are
-    at most 1/share hot keys: that bound is what lets them be broadcast. Only
-    their dim rows are copied. The slice comes from a hash of `spread_by`,
+    A key is hot when it holds more than `share` of the fact rows; one pass
+    with a mergeable frequency sketch finds the hot keys (at most 1/share, one
+    scalar array), so nothing is shuffled or broadcast for it. Only the dim
+    rows of hot keys are copied. The slice comes from a hash of `spread_by`,
     columns that tell rows of one key apart, so a re-run task gives the same
-    slices. All other keys join as they are.
+    slices. All other keys join as they are. The sketch decides only how rows
+    are spread; the result is that of the plain join.
     """
     on = list(on)
-    total = fact.agg(F.count(F.lit(1)).alias("_n"))
-    hot = (
-        fact.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > F.lit(share) * total.scalar())
-        .select(*on, F.lit(True).alias("_hot"))
+    limit = int(1 / share)
+    sketch = fact.agg(
+        F.struct(
+            F.call_function("approx_top_k", F.xxhash64(*on), F.lit(limit), F.lit(100 * limit)).alias("top"),
+            F.count(F.lit(1)).alias("n"),
+        ).alias("s")
+    ).select(
+        F.transform(
+            F.filter("s.top", lambda t: t["count"] > F.col("s.n") * share), lambda t: t["item"]
+        ).alias("hot")
     )
-    marked = fact.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts))).otherwise(F.lit(0).cast("bigint")),
-    ).drop("_hot")
-    copied = dim.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt_d",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).otherwise(
-                F.array(F.lit(0).cast("bigint"))
-            )
-        ),
-    ).drop("_hot")
-    copied = copied.withColumnsRenamed({c: f"_d_{c}" for c in on})
+    hot = F.coalesce(F.array_contains(sketch.scalar(), F.xxhash64(*on)), F.lit(False))
+    zero, last = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")
+    marked = fact.withColumn(
+        "_salt", F.when(hot, F.pmod(F.xxhash64(*spread_by), F.lit(salts).cast("bigint"))).otherwise(zero)
+    )
+    copied = dim.withColumn(
+        "_salt_d", F.explode(F.when(hot, F.sequence(zero, last)).otherwise(F.array(zero)))
+    ).withColumnsRenamed({c: f"_d_{c}" for c in on})
     match = F.col("_salt") == F.col("_salt_d")
     for c in on:
         match = match & (F.col(c) == F.col(f"_d_{c}"))

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import materialised
+
 RANGES = 64
 BUCKET = "_bucket"
 
@@ -76,9 +78,10 @@ def scan(
 
 
 def value_counts(df: DataFrame, group: Sequence[str], value: str, weight: Column | None = None) -> DataFrame:
-    """Distinct values per group with their number of rows `t`."""
+    """Distinct values per group with their number of rows `t`, written once for several readers."""
     amount = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(amount.alias("t"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(amount.alias("t"))
+    return materialised(counted, "values")
 
 
 def average_ranks(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:

@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .base import ORACLES, QUERIES
 
-AREAS = ["variants", "reads", "cells"]
+AREAS = ["variants", "reads", "cells", "bulk"]
 
 
 def load():

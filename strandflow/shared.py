@@ -33,3 +33,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def materialised(df: DataFrame, label: str) -> DataFrame:
+    """Write df once as a table in the shared folder and read it from there.
+
+    For an intermediate result with several readers: it is computed once, the
+    readers get file statistics and column pruning, and no executor holds it.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
