@@ -35,9 +35,8 @@ def junction_clusters(junctions: DataFrame, min_reads: int = 50) -> DataFrame:
         parts.select(F.col("node").alias("intron"), F.col("component").alias("cluster")), "intron"
     )
     enough = named.groupBy("cluster").agg(F.sum("reads").alias("_r")).where(F.col("_r") >= min_reads)
-    return spread_join(named, enough.select("cluster"), ["cluster"], ["intron"]).select(
-        "chrom", "j_start", "j_end", "intron", "cluster", "reads"
-    )
+    kept = spread_join(named, enough.select("cluster"), ["cluster"], ["intron"])
+    return materialised(kept.select("chrom", "j_start", "j_end", "intron", "cluster", "reads"), "clusters")
 
 
 def intron_usage(junctions: DataFrame, clusters: DataFrame, min_samples: int = 3) -> DataFrame:
@@ -48,7 +47,8 @@ def intron_usage(junctions: DataFrame, clusters: DataFrame, min_samples: int = 3
     kept = rows.join(common.select("intron"), "intron", "left_semi")
     totals = kept.groupBy("sample", "cluster").agg(F.sum("n").alias("total"))
     joined = spread_join(kept, totals, ["sample", "cluster"], ["intron"])
-    return joined.select("sample", "cluster", "intron", "n", ratio(F.col("n"), F.col("total")).alias("usage"))
+    usage = joined.select("sample", "cluster", "intron", "n", ratio(F.col("n"), F.col("total")).alias("usage"))
+    return materialised(usage, "usage")
 
 
 def outlier_introns(usage: DataFrame) -> DataFrame:

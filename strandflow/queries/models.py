@@ -312,9 +312,7 @@ def cluster_p(spark, d):
 
 @register("J15_joined_splice_results", f", {USAGE}, ef AS (SELECT sample, cluster, intron, usage - (SUM(usage) OVER (PARTITION BY intron) - usage) / (COUNT(*) OVER (PARTITION BY intron) - 1) AS effect FROM us) SELECT sample, cluster, intron, round(effect, 6) + 0.0 AS effect, concat('gene_', split_part(cluster, ':', 1)) AS gene FROM ef", "v_junctions")
 def joined_results(spark, d):
-    from ..shared import materialised
-
-    usage = materialised(_usage(spark, d), "usage")
+    usage = _usage(spark, d)
     tests = splicing.cluster_differences(usage, _sheet(spark, d))
     genes = usage.select("cluster").distinct().withColumn("gene", F.concat(F.lit("gene_"), F.split("cluster", ":")[0]))
     joined = splicing.joined_splice_results(tests, splicing.outlier_introns(usage), genes)

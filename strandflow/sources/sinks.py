@@ -16,17 +16,25 @@ def write_tsv(df: DataFrame, path: str) -> None:
 
 
 def write_lines(
-    df: DataFrame, path: str, header: Sequence[str], sep: str = "\t", compression: str = "none"
+    df: DataFrame,
+    path: str,
+    header: Sequence[str],
+    sep: str = "\t",
+    compression: str = "none",
+    footer: Sequence[str] = (),
 ) -> None:
-    """Header lines in the first part file, then the rows joined by `sep`.
+    """Header lines in the first part file, then the rows joined by `sep`, then the footer.
 
     Read in file-name order the parts are one valid file; rows are written by
     all tasks.
     """
     spark = df.sparkSession
     rows = df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns]).alias("value"))
-    first = spark.createDataFrame([("\n".join(header),)], "value string").coalesce(1)
-    first.unionByName(rows).write.option("compression", compression).text(path)
+    for lines, before in ((header, True), (footer, False)):
+        if lines:
+            edge = spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1)
+            rows = edge.unionByName(rows) if before else rows.unionByName(edge)
+    rows.write.option("compression", compression).text(path)
 
 
 def write_by(df: DataFrame, path: str, *keys: str) -> None:

@@ -64,13 +64,13 @@ def read_manifest(
     head: int = 0,
     tail: int = 0,
 ) -> DataFrame:
-    """Whitespace-separated rows by position, without the first `head` and last `tail` lines."""
-    lines = numbered_lines(spark, path)
+    """Whitespace-separated rows by position, without the first `head` and last `tail` lines of the text."""
     if head or tail:
-        last = lines.groupBy("file").agg(F.max("line_no").alias("_last"))
-        lines = lines.join(last, "file").where(
-            (F.col("line_no") >= head) & (F.col("line_no") <= F.col("_last") - tail)
-        )
+        lines = numbered_lines(spark, path, per_file=False)
+        last = lines.agg(F.max("line_no").alias("_last")).scalar()
+        lines = lines.where((F.col("line_no") >= head) & (F.col("line_no") <= last - tail))
+    else:
+        lines = read_lines(spark, path)
     fields = F.split(F.trim("value"), r"\s+")
     return lines.select(*[F.get(fields, F.lit(i)).alias(n) for i, n in enumerate(names)])
 
@@ -79,3 +79,20 @@ def listed_files(spark: SparkSession, path: str, include: str = "*") -> DataFram
     """Names and sizes below a path that match a pattern; contents are not read."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", include).load(path)
     return found.select("path", "length")
+
+
+def read_per_file(
+    spark: SparkSession, path: str | list[str], schema: str, pattern: str, name: str = "sample", header: bool = True, sep: str = "\t"
+) -> DataFrame:
+    """Delimited files of one kind, with a column taken from each file's path.
+
+    A path that does not exist fails the read. Used for quantification files
+    and junction files per sample, maps per chromosome, event counts per type.
+    """
+    rows = (
+        spark.read.schema(schema)
+        .options(header=header, sep=sep, recursiveFileLookup=True)
+        .csv(path)
+        .select("*", F.col("_metadata.file_path").alias("_path"))
+    )
+    return rows.withColumn(name, F.regexp_extract("_path", pattern, 1)).drop("_path")
