@@ -85,7 +85,7 @@ def mean_sd(x: DataFrame) -> DataFrame:
     moments = n.select(
         "gene",
         mean.alias("mean"),
-        F.sqrt(F.greatest((F.col("_q") - F.col("_n") * mean * mean) / (F.col("_n") - 1), F.lit(0.0))).alias("sd"),
+        F.sqrt(F.greatest(F.try_divide(F.col("_q") - F.col("_n") * mean * mean, F.col("_n") - 1), F.lit(0.0))).alias("sd"),
         F.round(mean, 9).alias("_key"),
     )
     moments = materialised(moments, "moments")

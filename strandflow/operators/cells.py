@@ -149,7 +149,7 @@ def gene_moments(x: DataFrame, cells: DataFrame, value: str = "x") -> DataFrame:
         F.count(F.lit(1)).alias("n_cells"),
     ).withColumn("_n", n)
     mean = F.col("_s1") / F.col("_n")
-    var = F.greatest((F.col("_s2") - F.col("_n") * mean * mean) / (F.col("_n") - 1), F.lit(0.0))
+    var = F.greatest(F.try_divide(F.col("_s2") - F.col("_n") * mean * mean, F.col("_n") - 1), F.lit(0.0))
     return sums.select("gene", "n_cells", mean.alias("mean"), var.alias("var"))
 
 
@@ -207,8 +207,8 @@ def regressed(x: DataFrame, cells: DataFrame, covariates: DataFrame, genes: Data
     fits = sums.select(
         "gene",
         (F.col("_y") / F.col("_s.n")).alias("b0"),
-        ((F.col("_ya") * F.col("_s.bb") - F.col("_yb") * F.col("_s.ab")) / det).alias("b1"),
-        ((F.col("_yb") * F.col("_s.aa") - F.col("_ya") * F.col("_s.ab")) / det).alias("b2"),
+        (F.coalesce(F.try_divide(F.col("_ya") * F.col("_s.bb") - F.col("_yb") * F.col("_s.ab"), det), F.lit(0.0))).alias("b1"),
+        (F.coalesce(F.try_divide(F.col("_yb") * F.col("_s.aa") - F.col("_ya") * F.col("_s.ab"), det), F.lit(0.0))).alias("b2"),
     )
     full = dense(chosen, cells, fits, "x").join(centred.select("cell", "_a", "_b"), "cell")
     fitted = F.col("b0") + F.col("b1") * F.col("_a") + F.col("b2") * F.col("_b")
@@ -287,7 +287,7 @@ def stabilised_variance(expr: DataFrame, cells: DataFrame) -> DataFrame:
     return per_gene.join(squares, "gene").select(
         "gene",
         "mean",
-        ((F.col("_z2") + (F.col("_n") - F.col("n_cells")) * zero * zero) / (F.col("_n") - 1)).alias("variance"),
+        F.try_divide(F.col("_z2") + (F.col("_n") - F.col("n_cells")) * zero * zero, F.col("_n") - 1).alias("variance"),
     )
 
 
@@ -304,7 +304,7 @@ def solve3(m: list[list[Column]], b: list[Column]) -> list[Column]:
     out = []
     for i in range(3):
         swapped = [[b[r] if c == i else m[r][c] for c in range(3)] for r in range(3)]
-        out.append(det(swapped) / det(m))
+        out.append(F.try_divide(det(swapped), det(m)))
     return out
 
 

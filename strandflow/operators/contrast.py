@@ -31,7 +31,7 @@ def gene_moments(normal: DataFrame) -> DataFrame:
         F.sum("q").alias("_s"), F.sum(F.col("q") * F.col("q")).alias("_q")
     ).withColumns({"_n": n, "_x": inverse})
     mean = F.col("_s") / F.col("_n")
-    var = F.greatest((F.col("_q") - F.col("_n") * mean * mean) / (F.col("_n") - 1), F.lit(0.0))
+    var = F.greatest(F.try_divide(F.col("_q") - F.col("_n") * mean * mean, F.col("_n") - 1), F.lit(0.0))
     moments = sums.select("gene", mean.alias("base_mean"), var.alias("base_var"), "_x")
     raw = (F.col("base_var") - F.col("_x") * F.col("base_mean")) / (F.col("base_mean") * F.col("base_mean"))
     return moments.where(F.col("base_mean") > 0).select(

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import cut_lineage
-from .joins import spread_join
+from .joins import hot_keys, spread_join
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -66,64 +66,68 @@ def undirected(edges: DataFrame, weight: str | None = None) -> DataFrame:
 
 def modularity(graph: DataFrame, labels: DataFrame, resolution: float = 1.0) -> float:
     """Modularity of a partition; graph holds both directions of each edge."""
-    placed = _with_communities(graph, labels)
-    inside = placed.agg(
-        F.sum(F.when(F.col("c") == F.col("d"), F.col("w")).otherwise(0.0)).alias("i"), F.sum("w").alias("m")
-    ).first()
-    degrees = placed.groupBy("c").agg(F.sum("w").alias("k"))
-    square = degrees.agg(F.sum(F.col("k") * F.col("k"))).first()[0]
-    return inside["i"] / inside["m"] - resolution * square / inside["m"] ** 2
+    between = _between_communities(graph, labels, hot_keys(graph, ["src"]))
+    return _modularity(between, resolution)
 
 
-def _with_communities(graph: DataFrame, labels: DataFrame) -> DataFrame:
-    first = spread_join(graph, labels.select(F.col("node").alias("src"), F.col("community").alias("c")), ["src"], ["dst"])
-    return spread_join(first, labels.select(F.col("node").alias("dst"), F.col("community").alias("d")), ["dst"], ["src"])
+def _between_communities(graph: DataFrame, labels: DataFrame, hot: list[int]) -> DataFrame:
+    """Edge weight between communities, both directions. The graph is symmetric,
+    so the hot nodes are the same for both ends."""
+    first = spread_join(
+        graph, labels.select(F.col("node").alias("src"), F.col("community").alias("c")), ["src"], ["dst"], hot=hot
+    )
+    both = spread_join(
+        first, labels.select(F.col("node").alias("dst"), F.col("community").alias("d")), ["dst"], ["src"], hot=hot
+    )
+    return both.groupBy("c", "d").agg(F.sum("w").alias("w"))
+
+
+def _modularity(between: DataFrame, resolution: float) -> float:
+    rows = between.groupBy("c").agg(
+        F.sum(F.when(F.col("c") == F.col("d"), F.col("w")).otherwise(0.0)).alias("i"), F.sum("w").alias("k")
+    )
+    total = rows.agg(F.sum("i").alias("i"), F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("k2")).first()
+    return total["i"] / total["m"] - resolution * total["k2"] / total["m"] ** 2
 
 
-def _local_moves(graph: DataFrame, resolution: float, rounds: int) -> DataFrame:
+def _local_moves(graph: DataFrame, resolution: float, rounds: int, hot: list[int]) -> DataFrame:
     """Nodes move to the neighbouring community with the largest gain.
 
     Half of the nodes (by a hash that changes every round) may move at a time,
     which keeps pairs from swapping for ever.
     """
-    total = graph.agg(F.sum("w")).first()[0]
     degree = cut_lineage(graph.groupBy("src").agg(F.sum("w").alias("k")).withColumnRenamed("src", "node"))
-    labels = cut_lineage(degree.select("node", F.col("node").alias("community")))
+    total = degree.agg(F.sum("k")).first()[0]
+    labels = degree.select("node", "k", F.col("node").alias("community"))
+    loops = graph.where(F.col("src") != F.col("dst"))
     idle = 0
     for turn in range(rounds):
         links = spread_join(
-            graph.where(F.col("src") != F.col("dst")),
-            labels.select(F.col("node").alias("dst"), F.col("community").alias("c")), ["dst"], ["src"],
-        ).groupBy("src", "c").agg(F.sum("w").alias("w_ic"))
-        sizes = labels.join(degree, "node").groupBy("community").agg(F.sum("k").alias("k_c"))
-        mine = labels.join(degree, "node")
+            loops, labels.select(F.col("node").alias("dst"), F.col("community").alias("c")), ["dst"], ["src"], hot=hot
+        ).groupBy(F.col("src").alias("node"), "c").agg(F.sum("w").alias("w_ic"))
+        sizes = labels.groupBy(F.col("community").alias("c")).agg(F.sum("k").alias("k_c"))
+        stays = labels.select("node", F.col("community").alias("c"), F.lit(0.0).alias("w_ic"))
         options = (
-            links.withColumnRenamed("src", "node")
-            .unionByName(labels.select("node", F.col("community").alias("c"), F.lit(0.0).alias("w_ic")))
-            .groupBy("node", "c").agg(F.max("w_ic").alias("w_ic"))
-            .join(mine, "node")
-            .join(sizes.withColumnRenamed("community", "c"), "c")
+            links.unionByName(stays).groupBy("node", "c").agg(F.max("w_ic").alias("w_ic"))
+            .join(labels, "node").join(sizes, "c")
         )
-        others = F.col("k_c") - F.when(F.col("c") == F.col("community"), F.col("k")).otherwise(0.0)
+        home = F.col("c") == F.col("community")
+        others = F.col("k_c") - F.when(home, F.col("k")).otherwise(0.0)
         gain = F.round(F.col("w_ic") - F.lit(resolution) * F.col("k") * others / F.lit(total), 9)
-        stay = (F.col("c") == F.col("community")).cast("int")
-        best = options.groupBy("node").agg(
-            F.max(F.struct(gain.alias("g"), stay.alias("s"), F.col("c").alias("c"))).alias("b"),
-            F.first("community").alias("community"),
+        best = options.groupBy("node", "k", "community").agg(
+            F.max(F.struct(gain.alias("g"), home.cast("int").alias("s"), F.col("c").alias("c")))["c"].alias("_to")
         )
         awake = F.pmod(F.xxhash64(F.lit(turn), F.col("node")), F.lit(2)) == 0
-        moved = best.select(
-            "node",
-            F.when(awake, F.col("b.c")).otherwise(F.col("community")).alias("community"),
-            (awake & (F.col("b.c") != F.col("community"))).alias("_moved"),
+        labels = cut_lineage(
+            best.select(
+                "node", "k", F.when(awake, F.col("_to")).otherwise(F.col("community")).alias("community"),
+                (awake & (F.col("_to") != F.col("community"))).alias("_moved"),
+            )
         )
-        moved = cut_lineage(moved)
-        changes = moved.where("_moved").count()
-        labels = moved.drop("_moved")
-        idle = idle + 1 if changes == 0 else 0
+        idle = 0 if labels.where("_moved").limit(1).count() else idle + 1
         if idle == 2:
             break
-    return labels
+    return labels.select("node", "community")
 
 
 def communities(edges: DataFrame, resolution: float = 1.0, levels: int = 2, rounds: int = 8, weight: str | None = None) -> DataFrame:
@@ -134,22 +138,21 @@ def communities(edges: DataFrame, resolution: float = 1.0, levels: int = 2, roun
     """
     graph = cut_lineage(undirected(edges, weight))
     labels = graph.select(F.col("src").alias("node"), F.col("src").alias("community")).distinct()
-    best, level_graph = modularity(graph, labels, resolution), graph
+    best, level_graph = _modularity(graph.withColumnsRenamed({"src": "c", "dst": "d"}), resolution), graph
     for _ in range(levels):
-        step = _local_moves(level_graph, resolution, rounds)
-        merged = cut_lineage(
+        hot = hot_keys(level_graph, ["src"])
+        step = _local_moves(level_graph, resolution, rounds, hot)
+        between = cut_lineage(_between_communities(level_graph, step, hot))
+        score = _modularity(between, resolution)
+        if score <= best + 1e-12:
+            break
+        best = score
+        labels = cut_lineage(
             labels.join(
                 step.select(F.col("node").alias("community"), F.col("community").alias("_to")), "community"
             ).select("node", F.col("_to").alias("community"))
         )
-        score = modularity(graph, merged, resolution)
-        if score <= best + 1e-12:
-            break
-        labels, best = merged, score
-        placed = _with_communities(level_graph, step)
-        level_graph = cut_lineage(
-            placed.groupBy(F.col("c").alias("src"), F.col("d").alias("dst")).agg(F.sum("w").alias("w"))
-        )
+        level_graph = between.withColumnsRenamed({"c": "src", "d": "dst"})
     return labels
 
 

@@ -8,49 +8,70 @@ from pyspark.sql import functions as F
 BIN_WIDTH = 1 << 14
 
 
+SHARE = 0.01
+SALTS = 64
+
+
+def _hot_sketch(fact: DataFrame, on: Sequence[str], share: float) -> DataFrame:
+    """One row: hashes of the keys that hold more than `share` of the rows (at most 1/share)."""
+    limit = int(1 / share)
+    return fact.agg(
+        F.struct(
+            F.call_function("approx_top_k", F.xxhash64(*on), F.lit(limit), F.lit(100 * limit)).alias("top"),
+            F.count(F.lit(1)).alias("n"),
+        ).alias("s")
+    ).select(
+        F.transform(
+            F.filter("s.top", lambda t: t["count"] > F.col("s.n") * share), lambda t: t["item"]
+        ).alias("hot")
+    )
+
+
+def hot_keys(fact: DataFrame, on: Sequence[str], share: float = SHARE) -> list[int]:
+    """Hashes of the hot keys, for a fact table that is joined many times."""
+    return list(_hot_sketch(fact, list(on), share).first()["hot"] or [])
+
+
 def spread_join(
     fact: DataFrame,
     dim: DataFrame,
     on: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
-    share: float = 0.01,
-    salts: int = 64,
     extra: Callable[[], Column] | None = None,
+    hot: list[int] | None = None,
 ) -> DataFrame:
-    """Join fact to dim, cutting the fact rows of hot keys into `salts` slices.
+    """Join fact to dim, cutting the fact rows of hot keys into slices.
 
-    A key is hot when it holds more than `share` of the fact rows; one pass
-    with a mergeable frequency sketch finds the hot keys (at most 1/share, one
+    A key is hot when it holds more than a hundredth of the fact rows; one pass
+    with a mergeable frequency sketch finds the hot keys (at most a hundred, one
     scalar array), so nothing is shuffled or broadcast for it. Only the dim
     rows of hot keys are copied. The slice comes from a hash of `spread_by`,
     columns that tell rows of one key apart, so a re-run task gives the same
     slices. All other keys join as they are. The sketch decides only how rows
-    are spread; the result is that of the plain join.
+    are spread; the result is that of the plain join. Callers that join the
+    same fact table in a loop pass `hot` from one call of `hot_keys`.
     """
     on = list(on)
-    limit = int(1 / share)
-    sketch = fact.agg(
-        F.struct(
-            F.call_function("approx_top_k", F.xxhash64(*on), F.lit(limit), F.lit(100 * limit)).alias("top"),
-            F.count(F.lit(1)).alias("n"),
-        ).alias("s")
-    ).select(
-        F.transform(
-            F.filter("s.top", lambda t: t["count"] > F.col("s.n") * share), lambda t: t["item"]
-        ).alias("hot")
-    )
-    hot = F.coalesce(F.array_contains(sketch.scalar(), F.xxhash64(*on)), F.lit(False))
-    zero, last = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")
-    marked = fact.withColumn(
-        "_salt", F.when(hot, F.pmod(F.xxhash64(*spread_by), F.lit(salts).cast("bigint"))).otherwise(zero)
-    )
-    copied = dim.withColumn(
-        "_salt_d", F.explode(F.when(hot, F.sequence(zero, last)).otherwise(F.array(zero)))
-    ).withColumnsRenamed({c: f"_d_{c}" for c in on})
-    match = F.col("_salt") == F.col("_salt_d")
+    if hot is None:
+        known = _hot_sketch(fact, on, SHARE).scalar()
+    else:
+        known = F.array(*[F.lit(h) for h in hot]).cast("array<bigint>")
+    is_hot = F.coalesce(F.array_contains(known, F.xxhash64(*on)), F.lit(False))
+    zero, last = F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")
+    copied = dim.withColumnsRenamed({c: f"_d_{c}" for c in on})
+    match = F.lit(True)
     for c in on:
         match = match & (F.col(c) == F.col(f"_d_{c}"))
+    marked = fact
+    if hot is None or hot:
+        marked = fact.withColumn(
+            "_salt", F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(SALTS).cast("bigint"))).otherwise(zero)
+        )
+        copied = dim.withColumn(
+            "_salt_d", F.explode(F.when(is_hot, F.sequence(zero, last)).otherwise(F.array(zero)))
+        ).withColumnsRenamed({c: f"_d_{c}" for c in on})
+        match = match & (F.col("_salt") == F.col("_salt_d"))
     if extra is not None:
         match = match & extra()
     return marked.join(copied, match, how).drop("_salt", "_salt_d", *[f"_d_{c}" for c in on])

@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .base import ORACLES, QUERIES
 
-AREAS = ["variants", "reads", "cells", "bulk", "models", "files"]
+AREAS = ["variants", "reads", "cells", "bulk", "models", "files", "plans"]
 
 
 def load():
