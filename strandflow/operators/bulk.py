@@ -9,7 +9,7 @@ from ..functions.missing import drop_missing, float_division, ratio
 from ..functions.text import without_version
 from ..shared import materialised
 from .joins import spread_join
-from .ordered import average_ranks, exact_quantiles, scan, value_counts, with_value_ranges
+from .ordered import BUCKET, average_ranks, exact_quantiles, scan, value_counts
 
 
 def nonzero_length(df: DataFrame, col: str = "len") -> DataFrame:
@@ -136,7 +136,7 @@ def sample_distances(x: DataFrame) -> DataFrame:
     sample_type = x.schema["sample"].dataType.simpleString()
     rows = x.select("sample", "gene", "x").repartition("gene").sortWithinPartitions("gene")
     dots = rows.mapInPandas(products, f"a {sample_type}, b {sample_type}, dot double")
-    summed = dots.groupBy("a", "b").agg(F.sum("dot").alias("dot"))
+    summed = materialised(dots.groupBy("a", "b").agg(F.sum("dot").alias("dot")), "products")
     norms = summed.where(F.col("a") == F.col("b"))
     return (
         summed.where(F.col("a") != F.col("b"))
@@ -153,16 +153,16 @@ def adjusted_p(results: DataFrame, group: list[str] = [], p: str = "p", key: str
     then the running minimum of p * n / rank downward, both over value ranges.
     """
     tested = results.where(F.col(p).isNotNull() & ~F.isnan(p))
-    counted = with_value_ranges(value_counts(tested, group, p), p)
+    counted = value_counts(tested, group, p)
     ranked = scan(counted, group, [p], {"_rank": ("sum", "t")})
     sizes = counted.groupBy(*group).agg(F.sum("t").alias("_n"))
     sized = ranked.join(sizes, group) if group else ranked.withColumn("_n", sizes.scalar())
     scores = materialised(
-        sized.select(*group, p, (F.col(p) * F.col("_n") / F.col("_rank")).alias("_score")), "scores"
+        sized.select(*group, p, BUCKET, (F.col(p) * F.col("_n") / F.col("_rank")).alias("_score")), "scores"
+    )
+    lowest = scan(scores, group, [p], {"_low": ("min", "_score")}, descending=True).select(
+        *group, F.col(p).alias("_p"), F.least(F.lit(1.0), "_low").alias("padj")
     )
-    lowest = scan(
-        with_value_ranges(scores, p), group, [p], {"_low": ("min", "_score")}, descending=True
-    ).select(*group, F.col(p).alias("_p"), F.least(F.lit(1.0), "_low").alias("padj"))
     keyed = results.withColumn("_p", F.col(p))
     return spread_join(keyed, lowest, [*group, "_p"], [key], "left").drop("_p")
 

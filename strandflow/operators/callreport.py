@@ -2,14 +2,14 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.genotype import (
-    CHROMOSOMES, is_het_alt, is_het_ref, is_hom_alt, is_snp, is_transition,
+    CHROMOSOMES, is_het, is_het_alt, is_het_ref, is_hom_alt, is_snp, is_transition,
 )
 from ..functions.missing import number_or_zero, ratio
-from .variants import sex_calls
+from .variants import on_x_outside, sex_of
 
 
 def _one(condition: Column) -> Column:
@@ -31,10 +31,15 @@ def call_totals(geno: DataFrame) -> DataFrame:
         _one(is_het_ref()).alias("het_ra"),
         _one(is_het_alt()).alias("het_aa"),
         _one(is_hom_alt()).alias("hom_aa"),
+        _one(on_x_outside() & is_het()).alias("x_het"),
+        _one(on_x_outside() & is_hom_alt()).alias("x_hom"),
     )
 
 
-TOTALS = ["n", "ts", "tv", "snps", "indels", "dp_n", "dp_sum", "qual_sum", "gq_sum", "het_ra", "het_aa", "hom_aa"]
+TOTALS = [
+    "n", "ts", "tv", "snps", "indels", "dp_n", "dp_sum", "qual_sum", "gq_sum", "het_ra", "het_aa", "hom_aa",
+    "x_het", "x_hom",
+]
 
 
 def quality_measures() -> dict[str, Column]:
@@ -55,23 +60,24 @@ def sample_measures(geno: DataFrame) -> DataFrame:
     return totals.select("sample", *[c.alias(n) for n, c in quality_measures().items()])
 
 
-def call_report(
-    geno: DataFrame, sexes: DataFrame | None = None, chromosomes: Sequence[str] = tuple(CHROMOSOMES)
-) -> DataFrame:
+def call_report(geno: DataFrame, chromosomes: Sequence[str] = tuple(CHROMOSOMES)) -> DataFrame:
     """One `Genome` row per sample over all contigs, one row per listed chromosome with calls.
 
-    The grouping sets run over the per-chromosome totals, not over the calls,
-    so the calls are neither re-read nor duplicated.
+    The calls are read once. Grouping sets and sex run over the per-chromosome
+    totals, a few dozen rows per sample.
     """
     totals = call_totals(geno)
     both = totals.groupingSets([["sample"], ["sample", "chrom"]], "sample", "chrom").agg(
         F.grouping("chrom").alias("_all"), *[F.sum(c).alias(c) for c in TOTALS]
     )
-    listed = both.where((F.col("_all") == 1) | F.col("chrom").isin(*chromosomes))
-    report = listed.select(
+    whole = Window.partitionBy("sample")
+    on_x = F.max(F.when(F.col("_all") == 1, ratio(F.col("x_het"), F.col("x_hom")))).over(whole)
+    listed = both.withColumn("sex", sex_of(on_x)).where(
+        (F.col("_all") == 1) | F.col("chrom").isin(*chromosomes)
+    )
+    return listed.select(
         "sample",
         F.when(F.col("_all") == 1, "Genome").otherwise(F.col("chrom")).alias("chr"),
         *[c.alias(n) for n, c in quality_measures().items()],
+        "sex",
     )
-    sexes = sex_calls(geno) if sexes is None else sexes
-    return report.join(sexes, "sample", "left").withColumn("sex", F.coalesce("sex", F.lit("U")))

@@ -3,19 +3,17 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import scan, with_value_ranges
+from .ordered import BUCKET, ranged, scan
 
 
 def unique_names(genes: DataFrame, name: str = "symbol", order: str = "gene") -> DataFrame:
-    """Repeated names get -1, -2, ... in feature order, the first one stays.
-
-    Counting along value ranges of the order column keeps one frequent name
-    out of a single task.
-    """
-    ones = genes.withColumn("_one", F.lit(1).cast("bigint"))
-    counted = scan(with_value_ranges(ones, order), [name], [order], {"_k": ("sum", "_one")})
-    suffix = F.concat(F.col(name), F.lit("-"), (F.col("_k") - 1).cast("string"))
-    return counted.withColumn("unique_name", F.when(F.col("_k") == 1, F.col(name)).otherwise(suffix)).drop("_one", "_k")
+    """Repeated names get -1, -2, ... in feature order, the first one stays."""
+    ones = ranged(genes.withColumn("_one", F.lit(1).cast("bigint")), [name], [order])
+    counted = scan(ones, [name], [order], {"_k": ("sum", "_one")}, inclusive=False)
+    suffix = F.concat(F.col(name), F.lit("-"), F.col("_k").cast("string"))
+    return counted.withColumn(
+        "unique_name", F.when(F.col("_k") == 0, F.col(name)).otherwise(suffix)
+    ).drop("_one", "_k", BUCKET)
 
 
 def map_genes(ids: DataFrame, to_symbol: DataFrame, to_other: DataFrame) -> DataFrame:

@@ -16,30 +16,29 @@ def lift_over(variants: DataFrame, blocks: DataFrame) -> DataFrame:
     aggregation; variants are unique by (chrom, pos, ref, alt).
     """
     site = ["chrom", "pos", "ref", "alt"]
+    rest = [c for c in variants.columns if c not in site]
     hits = range_join(
-        variants.select(*site), blocks, start="src_start", end="src_end", spread_by=["pos", "alt"]
+        variants, blocks, start="src_start", end="src_end", how="left", spread_by=["pos", "alt"]
     )
     minus = F.col("strand") == "-"
-    placed = hits.select(
-        *site,
-        F.struct(
-            F.col("tgt_chrom").alias("new_chrom"),
-            F.when(minus, F.col("tgt_start") + (F.col("src_end") - F.length("ref") - F.col("pos")))
-            .otherwise(F.col("tgt_start") + (F.col("pos") - F.col("src_start")))
-            .alias("new_pos"),
-            F.when(minus, reverse_complement(F.col("ref"))).otherwise(F.col("ref")).alias("new_ref"),
-            F.when(minus, reverse_complement(F.col("alt"))).otherwise(F.col("alt")).alias("new_alt"),
-        ).alias("place"),
+    place = F.struct(
+        F.col("tgt_chrom").alias("new_chrom"),
+        F.when(minus, F.col("tgt_start") + (F.col("src_end") - F.length("ref") - F.col("pos")))
+        .otherwise(F.col("tgt_start") + (F.col("pos") - F.col("src_start")))
+        .alias("new_pos"),
+        F.when(minus, reverse_complement(F.col("ref"))).otherwise(F.col("ref")).alias("new_ref"),
+        F.when(minus, reverse_complement(F.col("alt"))).otherwise(F.col("alt")).alias("new_alt"),
     )
-    counted = placed.groupBy(*site).agg(
-        F.count(F.lit(1)).alias("n_targets"), F.min("place").alias("place")
+    counted = hits.groupBy(*site).agg(
+        *[F.any_value(c).alias(c) for c in rest],
+        F.count("src_start").alias("n_targets"),
+        F.min(F.when(F.col("src_start").isNotNull(), place)).alias("place"),
     )
-    joined = variants.join(counted, site, "left")
     single = F.col("n_targets") == 1
-    return joined.select(
+    return counted.select(
         *variants.columns,
         *[F.when(single, F.col(f"place.{c}")).alias(c) for c in ("new_chrom", "new_pos", "new_ref", "new_alt")],
-        F.when(F.col("n_targets").isNull(), "NoTarget")
+        F.when(F.col("n_targets") == 0, "NoTarget")
         .when(F.col("n_targets") > 1, "MultipleTargets")
         .alias("reject_reason"),
     )

@@ -1,9 +1,10 @@
 """Running totals, ranks and quantiles that never sort one group in one task.
 
-A plain window over a whole group puts the group in one task. Here the order
-is cut into value ranges first: a window runs inside each (group, range), the
-ranges' totals (a few rows per group) are added up, and every row gets its
-range's offset. A group with a third of all rows is spread over all ranges.
+A plain window over a whole group puts the group in one task. Here the rows are
+range-partitioned by (group, order) first and remember their range: a window
+runs inside each (group, range), the ranges' totals (a few rows per group) are
+added up, and every row gets its range's offset. A group with a third of all
+rows is spread over a third of the ranges; small groups stay in one.
 """
 
 from collections.abc import Mapping, Sequence
@@ -13,24 +14,20 @@ from pyspark.sql import functions as F
 
 from ..shared import materialised
 
-RANGES = 64
 BUCKET = "_bucket"
 
 
-def with_value_ranges(df: DataFrame, value: str, ranges: int = RANGES) -> DataFrame:
-    """Add the number of the value range a row falls in, equal rows per range.
+def ranged(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """df as a table in (group, order) ranges, with each row's range number.
 
-    The cut points are one row of at most `ranges` numbers (a sketch merged
-    from all partitions), read as a scalar subquery. Equal values share a
-    range, so callers pre-aggregate ties.
+    Spark's range partitioner picks the bounds and the adaptive planner the
+    number of ranges. Writing the table fixes the numbers for all readers, on
+    re-run tasks too. Rows should be unique by (group, order): callers merge
+    equal values first, so that one frequent value is one row.
     """
-    probs = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    cuts = df.agg(F.percentile_approx(value, probs, 10000).alias("_cuts"))
-    return (
-        df.withColumn("_cuts", cuts.scalar())
-        .withColumn(BUCKET, F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(value))), F.lit(0)))
-        .drop("_cuts")
-    )
+    keys = [*group, *order]
+    numbered = df.repartitionByRange(*keys).withColumn(BUCKET, F.spark_partition_id())
+    return materialised(numbered, "ranges")
 
 
 def scan(
@@ -39,11 +36,13 @@ def scan(
     order: Sequence[str],
     measures: Mapping[str, tuple[str, str]],
     descending: bool = False,
+    inclusive: bool = True,
 ) -> DataFrame:
     """Running sum, min or max of columns per group in order.
 
     `measures` maps an output name to (kind, column). df carries `_bucket`, a
-    number that never decreases along the order.
+    number that never decreases along the order. The row itself is left out
+    where `inclusive` is off.
     """
     kinds = {"sum": F.sum, "min": F.min, "max": F.max}
     direct = F.desc if descending else F.asc
@@ -51,7 +50,7 @@ def scan(
     inside = (
         Window.partitionBy(*keys)
         .orderBy(*[direct(c) for c in order])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     )
     before = (
         Window.partitionBy(*group).orderBy(direct(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
@@ -68,34 +67,32 @@ def scan(
         here = kinds[kind](col).over(inside)
         offset = F.col(f"_o_{name}")
         if kind == "sum":
-            total = F.coalesce(offset, F.lit(0)) + here
+            total = F.coalesce(offset, F.lit(0)) + F.coalesce(here, F.lit(0))
         elif kind == "min":
             total = F.least(offset, here)
         else:
             total = F.greatest(offset, here)
         out = out.withColumn(name, total)
-    return out.drop(BUCKET, *[f"_o_{name}" for name in measures])
+    return out.drop(*[f"_o_{name}" for name in measures])
 
 
-def value_counts(df: DataFrame, group: Sequence[str], value: str, weight: Column | None = None) -> DataFrame:
-    """Distinct values per group with their number of rows `t`, written once for several readers."""
-    amount = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    counted = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(amount.alias("t"))
-    return materialised(counted, "values")
+def value_counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """Distinct values per group with their number of rows `t`, in ranges."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("t"))
+    return ranged(counted, group, [value])
 
 
 def average_ranks(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Distinct values per group with count `t` and average rank `rank` (ties share it)."""
-    counted = with_value_ranges(value_counts(df, group, value), value)
-    ranked = scan(counted, group, [value], {"upto": ("sum", "t")})
-    return ranked.withColumn("rank", F.col("upto") - (F.col("t") - 1) / F.lit(2.0)).drop("upto")
+    ranked = scan(value_counts(df, group, value), group, [value], {"upto": ("sum", "t")})
+    return ranked.withColumn("rank", F.col("upto") - (F.col("t") - 1) / F.lit(2.0)).drop("upto", BUCKET)
 
 
 def exact_quantiles(
     df: DataFrame, group: Sequence[str], value: str, probs: Mapping[str, float]
 ) -> DataFrame:
     """Exact interpolated quantiles per group, one column per entry of `probs`."""
-    counted = with_value_ranges(value_counts(df, group, value), value)
+    counted = value_counts(df, group, value)
     placed = scan(counted, group, [value], {"upto": ("sum", "t")})
     sizes = counted.groupBy(*group).agg(F.sum("t").alias("_n"))
     if group:
@@ -120,11 +117,6 @@ def exact_quantiles(
 
 
 def global_index(df: DataFrame, key: str, name: str = "row_index") -> DataFrame:
-    """0-based position of every row by a unique numeric key."""
-    numbered = scan(
-        with_value_ranges(df, key).withColumn("_one", F.lit(1).cast("bigint")),
-        [],
-        [key],
-        {name: ("sum", "_one")},
-    )
-    return numbered.withColumn(name, F.col(name) - 1).drop("_one")
+    """0-based position of every row by a unique key."""
+    ones = ranged(df.withColumn("_one", F.lit(1).cast("bigint")), [], [key])
+    return scan(ones, [], [key], {name: ("sum", "_one")}, inclusive=False).drop("_one", BUCKET)

@@ -36,7 +36,8 @@ def without_tags(variants: DataFrame, tags: Sequence[str], col: str = "filter")
 
 def annotate_frequency(variants: DataFrame, af: DataFrame, value: str = "af") -> DataFrame:
     """Left join of a frequency table by chrom, pos, ref, alt."""
-    return variants.join(af.select(*SITE, value), SITE, "left")
+    rest = [c for c, t in variants.dtypes if c not in SITE and not t.startswith("map")]
+    return spread_join(variants, af.select(*SITE, value), SITE, rest or SITE, "left")
 
 
 def exclude_known(variants: DataFrame, known: DataFrame) -> DataFrame:
@@ -122,26 +123,24 @@ def label_tranches(variants: DataFrame, cutoffs: DataFrame) -> DataFrame:
     return typed.withColumn("filter", F.array(F.when(passes, F.lit("PASS")).otherwise(tag))).drop("_cuts")
 
 
-def x_het_ratio(geno: DataFrame, par: Sequence[tuple[int, int]] = tuple(PAR_X)) -> DataFrame:
-    """Heterozygous over homozygous-alternative calls on X outside the shared regions."""
-    outside = F.lit(True)
+def on_x_outside(par: Sequence[tuple[int, int]] = tuple(PAR_X)) -> Column:
+    """Calls on X outside the regions shared with Y."""
+    outside = F.col("chrom") == "X"
     for start, end in par:
         outside = outside & ~F.col("pos").between(start, end)
-    on_x = (F.col("chrom") == "X") & outside
-    return geno.groupBy("sample").agg(
-        ratio(F.count_if(on_x & is_het()), F.count_if(on_x & is_hom_alt())).alias("x_ratio")
-    )
+    return outside
+
+
+def sex_of(ratio_on_x: Column, male_max: float = 0.2, female_min: float = 0.4) -> Column:
+    """M up to the first threshold, F from the second, U between or without data."""
+    return F.when(ratio_on_x <= male_max, "M").when(ratio_on_x >= female_min, "F").otherwise("U")
 
 
 def sex_calls(geno: DataFrame, male_max: float = 0.2, female_min: float = 0.4) -> DataFrame:
-    """M below the first threshold, F above the second, U between or without data."""
-    return x_het_ratio(geno).select(
-        "sample",
-        F.when(F.col("x_ratio") <= male_max, "M")
-        .when(F.col("x_ratio") >= female_min, "F")
-        .otherwise("U")
-        .alias("sex"),
-    )
+    """Sex per sample from heterozygous over homozygous-alternative calls on X."""
+    x = on_x_outside()
+    share = ratio(F.count_if(x & is_het()), F.count_if(x & is_hom_alt()))
+    return geno.groupBy("sample").agg(sex_of(share, male_max, female_min).alias("sex"))
 
 
 def allele_fraction(ref: Column, var: Column) -> Column:

@@ -1,8 +1,12 @@
 """Gene annotation text: exons, and introns from the gaps between exons."""
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordered import BUCKET, scan
+
+WINDOW_BASES = 1 << 20
+
 
 def _tag(name: str):
     return F.regexp_extract("attributes", rf'{name} "([^"]*)"', 1)
@@ -26,9 +30,15 @@ def read_features(spark: SparkSession, path: str, kind: str | None = "exon") ->
 
 
 def introns(exons: DataFrame) -> DataFrame:
-    """Gaps between consecutive exons of a transcript (at most a few hundred exons each)."""
-    order = Window.partitionBy("chrom", "transcript").orderBy("iv_start", "iv_end")
-    ahead = exons.withColumn("_next", F.lead("iv_start").over(order))
+    """Gaps between consecutive exons of a transcript.
+
+    The next start is a running minimum from the right over genome windows.
+    """
+    placed = exons.withColumn(BUCKET, F.floor(F.col("iv_start") / WINDOW_BASES))
+    ahead = scan(
+        placed, ["chrom", "transcript"], ["iv_start", "iv_end"], {"_next": ("min", "iv_start")},
+        descending=True, inclusive=False,
+    )
     return ahead.where(F.col("_next") > F.col("iv_end")).select(
         "chrom", "gene", "transcript", "strand", F.col("iv_end").alias("j_start"), F.col("_next").alias("j_end")
     )

@@ -24,7 +24,7 @@ def read_chain(spark: SparkSession, path: str) -> DataFrame:
         F.floor(F.col("line_no") / LINES_PER_RANGE).alias(BUCKET),
         F.when(F.col("value").startswith("chain"), 1).otherwise(0).cast("bigint").alias("_head"),
     )
-    numbered = materialised(scan(tagged, [], ["line_no"], {"chain": ("sum", "_head")}), "chain")
+    numbered = materialised(scan(tagged, [], ["line_no"], {"chain": ("sum", "_head")}), "chains")
 
     def number(i: int):
         return F.coalesce(F.get("f", F.lit(i)).cast("bigint"), F.lit(0).cast("bigint"))
@@ -36,13 +36,15 @@ def read_chain(spark: SparkSession, path: str) -> DataFrame:
         number(10).alias("q_start"),
     )
     blocks = numbered.where(F.col("_head") == 0).select(
-        "chain", "line_no", F.floor(F.col("line_no") / LINES_PER_RANGE).alias(BUCKET),
+        "chain", "line_no", BUCKET,
         number(0).alias("size"), (number(0) + number(1)).alias("_t"), (number(0) + number(2)).alias("_q"),
     )
-    summed = scan(blocks, ["chain"], ["line_no"], {"_ts": ("sum", "_t"), "_qs": ("sum", "_q")})
+    summed = scan(
+        blocks, ["chain"], ["line_no"], {"_ts": ("sum", "_t"), "_qs": ("sum", "_q")}, inclusive=False
+    )
     joined = spread_join(summed, heads, ["chain"], ["line_no"])
-    src = F.col("t_start") + F.col("_ts") - F.col("_t")
-    tgt = F.col("q_start") + F.col("_qs") - F.col("_q")
+    src = F.col("t_start") + F.col("_ts")
+    tgt = F.col("q_start") + F.col("_qs")
     return joined.select(
         "chrom", src.alias("src_start"), (src + F.col("size")).alias("src_end"), "tgt_chrom",
         F.when(F.col("strand") == "-", F.col("q_size") - tgt - F.col("size")).otherwise(tgt).alias("tgt_start"),
