@@ -52,7 +52,9 @@ WITH r AS (
 g AS (
   SELECT sample, c, pos, CAST(MAX(l_quantity) AS INT) AS dp,
          CASE WHEN MAX(l_tax) = 0 THEN NULL ELSE CAST(ROUND(MAX(l_discount) * 100) AS INT) * 10 END AS gq,
-         MAX(l_extendedprice) AS qual, MAX(l_returnflag) AS rf, MAX(l_linestatus) AS ls
+         MAX(l_extendedprice) AS qual,
+         MAX(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END) AS rf,
+         MAX(CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END) AS ls
   FROM r GROUP BY sample, c, pos)
 SELECT sample,
        CASE WHEN c < 22 THEN CAST(c + 1 AS STRING) WHEN c = 22 THEN 'X' WHEN c = 23 THEN 'Y'
@@ -61,9 +63,9 @@ SELECT sample,
        substr('ACGT', CAST(pos % 4 AS INT) + 1, 1) AS ref,
        CASE WHEN pos % 11 = 0 THEN concat(substr('ACGT', CAST(pos % 4 AS INT) + 1, 1), 'AG')
             ELSE substr('ACGT', CAST((pos % 4 + 1 + pos % 3) % 4 AS INT) + 1, 1) END AS alt,
-       CASE WHEN rf = 'A' THEN '0/0' WHEN rf = 'N' THEN '0/1' WHEN ls = 'F' THEN '1/1' ELSE '1/2' END AS gt,
+       CASE WHEN rf = 0 THEN '0/0' WHEN rf = 1 THEN '0/1' WHEN ls = 0 THEN '1/1' ELSE '1/2' END AS gt,
        dp, gq, qual,
-       concat(CASE WHEN rf = 'A' THEN '0/0' ELSE '0/1' END, ':', CAST(dp - dp % 3 AS STRING), ',',
+       concat(CASE WHEN rf = 0 THEN '0/0' ELSE '0/1' END, ':', CAST(dp - dp % 3 AS STRING), ',',
               CAST(dp % 3 AS STRING), ':', CAST(dp AS STRING)) AS fmt
 FROM g""",
     "v_sites": """

@@ -104,10 +104,10 @@ def _vcf(spark, d):
     return path
 
 
-@register("S06_vcf_genotypes", "SELECT concat('s', CAST(sample AS STRING)) AS sample, chrom, pos, ref, alt, gt, dp, gq FROM v_geno", "v_geno")
+@register("S06_vcf_genotypes", "SELECT concat('s', CAST(sample AS STRING)) AS sample, chrom, pos, ref, alt, gt, dp, COALESCE(gq, -1) AS gq FROM v_geno", "v_geno")
 def vcf_genotypes(spark, d):
     read = vcf.read_genotypes(spark, _vcf(spark, d)).where("gt <> './.'")
-    return read.select("sample", "chrom", "pos", "ref", "alt", "gt", "dp", "gq")
+    return read.select("sample", "chrom", "pos", "ref", "alt", "gt", "dp", F.coalesce("gq", F.lit(-1)).alias("gq"))
 
 
 @register("S06_vcf_sites", "SELECT chrom, pos, ref, alt, MAX(qual) AS qual, CAST(SUM(dp) AS STRING) AS depth, 'PASS' AS filter FROM v_geno GROUP BY chrom, pos, ref, alt", "v_geno")

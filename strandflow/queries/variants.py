@@ -120,20 +120,20 @@ def drop_na(spark, d):
 
 @register(
     "P07_split_packed",
-    "SELECT sample, chrom, pos, split_part(fmt, ':', 1) AS gt_part, split_part(fmt, ':', 2) AS ad_part, CAST(NULL AS VARCHAR) AS extra FROM v_geno",
+    "SELECT sample, chrom, pos, split_part(fmt, ':', 1) AS gt_part, split_part(fmt, ':', 2) AS ad_part, split_part(fmt, ':', 4) = '' AS no_fourth FROM v_geno",
     "v_geno",
 )
 def split_packed(spark, d):
     a, b, _, extra = pieces(F.col("fmt"), ":", 4)
     return view(spark, d, "v_geno").select(
-        "sample", "chrom", "pos", a.alias("gt_part"), b.alias("ad_part"), extra.alias("extra")
+        "sample", "chrom", "pos", a.alias("gt_part"), b.alias("ad_part"), extra.isNull().alias("no_fourth")
     )
 
 
-@register("P08_text_to_number", "SELECT sample, chrom, pos, TRY_CAST(alt AS DOUBLE) AS of_text, TRY_CAST(chrom AS DOUBLE) AS of_chrom FROM v_geno", "v_geno")
+@register("P08_text_to_number", "SELECT sample, chrom, pos, TRY_CAST(alt AS DOUBLE) IS NULL AS no_number, TRY_CAST(chrom AS DOUBLE) AS of_chrom FROM v_geno", "v_geno")
 def text_to_number(spark, d):
     return view(spark, d, "v_geno").select(
-        "sample", "chrom", "pos", to_number(F.col("alt")).alias("of_text"), to_number(F.col("chrom")).alias("of_chrom")
+        "sample", "chrom", "pos", to_number(F.col("alt")).isNull().alias("no_number"), to_number(F.col("chrom")).alias("of_chrom")
     )
 
 
@@ -355,7 +355,7 @@ def bed_rows(spark, d):
     return read_lines(spark, path).select(F.col("value").alias("line"))
 
 
-@register("F10_tag_lookup", f", {RUNS} SELECT sample, chrom, start, CAST(n_markers AS STRING) AS markers, CAST(NULL AS VARCHAR) AS absent FROM runs", "v_geno")
+@register("F10_tag_lookup", f", {RUNS} SELECT sample, chrom, start, CAST(n_markers AS STRING) AS markers, true AS absent FROM runs", "v_geno")
 def tag_lookup(spark, d):
     from ..functions.text import pack_tags
 
@@ -364,7 +364,7 @@ def tag_lookup(spark, d):
     return packed.select(
         "sample", "chrom", "start",
         tag_value(F.col("tags"), "NumberOfMarkers").alias("markers"),
-        tag_value(F.col("tags"), "Missing").alias("absent"),
+        tag_value(F.col("tags"), "Missing").isNull().alias("absent"),
     )
 
 

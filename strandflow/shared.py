@@ -21,8 +21,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the shared folder."""
+    home = f"{shared_folder(spark).rstrip('/')}/strandflow-{spark.sparkContext.applicationId}"
+    return f"{home}/{label}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
