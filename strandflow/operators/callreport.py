@@ -81,3 +81,19 @@ def call_report(geno: DataFrame, chromosomes: Sequence[str] = tuple(CHROMOSOMES)
         *[c.alias(n) for n, c in quality_measures().items()],
         "sex",
     )
+
+
+# Column names of the written report.
+REPORT_HEADER = [
+    "fileName", "sampleName", "Chr", "TSTV", "numSNPs", "numINDELs", "avgDepth", "avgQuality",
+    "HeterozygousHomozygousRatio", "meanGQ", "Gender",
+]
+
+
+def report_text(report: DataFrame, file_name: str) -> DataFrame:
+    """The report as text columns under the written names; a missing value is NA."""
+    cols = ["sample", "chr", "tstv", "num_snps", "num_indels", "avg_depth", "avg_quality", "het_hom_ratio", "mean_gq", "sex"]
+    return report.select(
+        F.lit(file_name).alias("fileName"),
+        *[F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias(n) for c, n in zip(cols, REPORT_HEADER[1:])],
+    )

@@ -289,3 +289,16 @@ def sample_files(spark, d):
     people = table(spark, d, "supplier").select("s_name", F.lit("C1").alias("cohort"), F.col("s_nationkey").cast("string").alias("run"))
     files = manifest.per_sample_files(people, "cohort", "run", "s_name")
     return files.groupBy("s_name").agg(F.count("path").alias("n"), F.count_if("archive").alias("archived"))
+
+
+@register("G01_sample_components")
+def sample_components(spark, d):
+    from ..operators import cells, reduce
+    from ..shared import materialised
+
+    x = materialised(bulk.log_counts(_normal(spark, d)), "logs")
+    chosen = cells.top_genes(bulk.mean_sd(x), "sd", 500).select("gene")
+    names = [r["gene"] for r in chosen.orderBy("gene").collect()]  # 500 rows
+    vectors = reduce.feature_vectors(x, names, "sample", "gene", "x").withColumnRenamed("sample", "id")
+    scores, _, _ = reduce.principal_components(vectors, 2)
+    return rounded(scores.select("id", F.get("pcs", F.lit(0)).alias("pc1"), F.get("pcs", F.lit(1)).alias("pc2")))

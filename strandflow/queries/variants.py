@@ -50,6 +50,25 @@ def call_report(spark, d):
     return rounded(callreport.call_report(view(spark, d, "v_geno")))
 
 
+@register(
+    "A14_written_report",
+    f"""SELECT 'cohort.vcf' AS "fileName", CAST(sample AS STRING) AS "sampleName", chr AS "Chr", CAST(num_snps AS STRING) AS "numSNPs", CAST(num_indels AS STRING) AS "numINDELs"
+FROM (SELECT sample, CASE WHEN grouping(chrom) = 1 THEN 'Genome' ELSE chrom END AS chr, {MEASURES} FROM v_geno GROUP BY GROUPING SETS ((sample), (sample, chrom))) AS r
+WHERE chr = 'Genome' OR chr IN ({NAMED})""",
+    "v_geno",
+)
+def written_report(spark, d):
+    from ..shared import new_folder
+    from ..sources.sinks import write_tsv
+    from ..sources.text import read_table
+
+    path = new_folder(spark, "report")
+    report = callreport.call_report(view(spark, d, "v_geno"))
+    write_tsv(callreport.report_text(report, "cohort.vcf"), path)
+    schema = ", ".join(f"{c} string" for c in callreport.REPORT_HEADER)
+    return read_table(spark, path, schema, "\t").select("fileName", "sampleName", "Chr", "numSNPs", "numINDELs")
+
+
 def _part(*cols):
     def run(spark, d):
         return rounded(callreport.sample_measures(view(spark, d, "v_geno")).select("sample", *cols))
