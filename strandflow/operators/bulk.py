@@ -51,8 +51,7 @@ def size_factors(bulk: DataFrame) -> DataFrame:
 
 
 def normalised_counts(bulk: DataFrame, factors: DataFrame) -> DataFrame:
-    joined = spread_join(bulk, factors, ["sample"], ["gene"])
-    return joined.withColumn("q", F.col("n") / F.col("size_factor"))
+    return bulk.join(factors, "sample").withColumn("q", F.col("n") / F.col("size_factor"))
 
 
 def sample_count(bulk: DataFrame) -> Column:
@@ -201,6 +200,6 @@ def best_gene_counts(results: DataFrame, normal: DataFrame) -> DataFrame:
 
 def with_condition(df: DataFrame, sheet: DataFrame) -> DataFrame:
     """Rows with their sample's group from the sample sheet."""
-    return spread_join(df, sheet, ["sample"], ["gene"])
+    return df.join(sheet, "sample")
 
 

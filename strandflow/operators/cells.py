@@ -1,7 +1,10 @@
 """Sparse cell x gene counts: quality control, normalisation, gene selection.
 
 Tables are long, `expr(cell, gene, n)` without zero rows; means, variances and
-shares always use the full number of cells.
+shares always use the full number of cells. Joins with one row per gene or per
+sample are plain joins: Spark broadcasts these tables by their measured size,
+and its skew handling splits hot partitions beyond that. Joins with one row per
+cell go through `spread_join`.
 """
 
 from collections.abc import Sequence
@@ -110,7 +113,7 @@ def without_outliers(qc: DataFrame, by: str = "sample", width: float = 2.0, max_
     near = F.col("total_counts").between(
         F.col("_mean") - F.lit(width) * F.col("_sd"), F.col("_mean") + F.lit(width) * F.col("_sd")
     )
-    joined = spread_join(qc, bounds, [by], ["cell"])
+    joined = qc.join(bounds, by)
     return joined.where(near & (F.col("pct_flagged") < max_pct)).drop("_mean", "_sd")
 
 
@@ -162,7 +165,7 @@ def scaled(x: DataFrame, cells: DataFrame, max_value: float = 10.0) -> tuple[Dat
         "_sd", F.when(F.col("var") > 0, F.sqrt("var")).otherwise(F.lit(1.0))
     )
     z = F.least(F.lit(max_value), (F.col("x") - F.col("mean")) / F.col("_sd"))
-    rows = spread_join(x, moments.select("gene", "mean", "_sd"), ["gene"], ["cell"])
+    rows = x.join(moments.select("gene", "mean", "_sd"), "gene")
     zero = moments.select("gene", F.least(F.lit(max_value), -F.col("mean") / F.col("_sd")).alias("zero"))
     return rows.select("cell", "gene", z.alias("z")), zero
 
@@ -280,7 +283,7 @@ def stabilised_variance(expr: DataFrame, cells: DataFrame) -> DataFrame:
         "gene", "mean", "n_cells", n.alias("_n"),
         F.sqrt(F.pow(F.lit(10.0), F.col("_c0") + F.col("_c1") * u + F.col("_c2") * u * u)).alias("sd"),
     )
-    joined = spread_join(expr, per_gene.select("gene", "mean", "sd", "_n"), ["gene"], ["cell"])
+    joined = expr.join(per_gene.select("gene", "mean", "sd", "_n"), "gene")
     z = F.least((F.col("n") - F.col("mean")) / F.col("sd"), F.sqrt("_n"))
     squares = joined.groupBy("gene").agg(F.sum(z * z).alias("_z2"))
     zero = F.col("mean") / F.col("sd")
@@ -311,7 +314,7 @@ def solve3(m: list[list[Column]], b: list[Column]) -> list[Column]:
 def display_clip(x: DataFrame, low: float = 0.05, high: float = 0.95) -> DataFrame:
     """Values clipped per gene to quantiles of its non-zero cells."""
     cuts = exact_quantiles(x, ["gene"], "x", {"_lo": low, "_hi": high})
-    joined = spread_join(x, cuts, ["gene"], ["cell"])
+    joined = x.join(cuts, "gene")
     return joined.select("cell", "gene", F.least(F.greatest("x", "_lo"), F.col("_hi")).alias("x"))
 
 

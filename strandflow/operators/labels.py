@@ -79,7 +79,7 @@ def best_label(scores: DataFrame) -> DataFrame:
 
 def model_scores(x: DataFrame, weights: DataFrame, intercept: float = 0.0) -> DataFrame:
     """Logistic score per cell and label of a given linear model (label, gene, w)."""
-    sums = spread_join(x, weights, ["gene"], ["cell"]).groupBy("cell", "label").agg(
+    sums = x.join(weights, "gene").groupBy("cell", "label").agg(
         F.sum(F.col("x") * F.col("w")).alias("_s")
     )
     return sums.select(

@@ -375,9 +375,9 @@ def names_table(spark, d):
     return markers.names_table(_fc(spark, d), range(5), 5, [F.desc("fc"), F.asc("gene")])
 
 
-@register("W11_relabelled", "SELECT cell, cluster, ordinal, CASE ordinal WHEN 0 THEN 'RG' WHEN 1 THEN 'Astrocyte' WHEN 2 THEN 'iGC' WHEN 3 THEN 'OPC' ELSE 'pri-OPC' END AS cell_type FROM v_cells JOIN (SELECT cluster AS k, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, cluster) - 1 AS INT) AS ordinal FROM v_cells GROUP BY cluster) AS o ON cluster = k", "v_cells")
+@register("W11_relabelled", "SELECT cell, cluster, ordinal, concat('type ', CAST(ordinal AS STRING)) AS cell_type FROM v_cells JOIN (SELECT cluster AS k, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, cluster) - 1 AS INT) AS ordinal FROM v_cells GROUP BY cluster) AS o ON cluster = k", "v_cells")
 def relabelled(spark, d):
-    names = ["RG", "Astrocyte", "iGC", "OPC", "pri-OPC"]
+    names = [f"type {i}" for i in range(5)]
     return markers.relabelled(_cells(spark, d).select("cell", "cluster"), names)
 
 
