@@ -14,13 +14,16 @@ TS = "concat(ref, alt) IN ('AG', 'GA', 'CT', 'TC')"
 HET_RA = "gt = '0/1'"
 HET_AA = "gt = '1/2'"
 HOM_AA = "gt = '1/1'"
+# Mean prices of 2^n calls can lie halfway between two rounded values; both
+# sides add the same small number before rounding.
+NUDGE = 3e-8
 MEASURES = f"""
   round(CAST(SUM(CASE WHEN {SNP} AND {TS} THEN 1 ELSE 0 END) AS DOUBLE)
         / NULLIF(SUM(CASE WHEN {SNP} AND NOT {TS} THEN 1 ELSE 0 END), 0), 6) AS tstv,
   CAST(SUM(CASE WHEN {SNP} THEN 1 ELSE 0 END) AS BIGINT) AS num_snps,
   CAST(SUM(CASE WHEN {SNP} THEN 0 ELSE 1 END) AS BIGINT) AS num_indels,
   round(AVG(CAST(dp AS DOUBLE)), 6) AS avg_depth,
-  round(AVG(COALESCE(qual, 0)), 6) AS avg_quality,
+  round(AVG(COALESCE(qual, 0)) + {NUDGE}, 6) AS avg_quality,
   round(CAST(SUM(CASE WHEN {HET_RA} OR {HET_AA} THEN 1 ELSE 0 END) AS DOUBLE)
         / NULLIF(SUM(CASE WHEN {HOM_AA} THEN 1 ELSE 0 END), 0), 6) AS het_hom_ratio,
   round(AVG(CAST(COALESCE(gq, 0) AS DOUBLE)), 6) AS mean_gq"""
@@ -47,7 +50,8 @@ WHERE r.chr = 'Genome' OR r.chr IN ({NAMED})""",
     "v_geno",
 )
 def call_report(spark, d):
-    return rounded(callreport.call_report(view(spark, d, "v_geno")))
+    report = callreport.call_report(view(spark, d, "v_geno"))
+    return rounded(report.withColumn("avg_quality", F.col("avg_quality") + NUDGE))
 
 
 @register(
@@ -71,7 +75,8 @@ def written_report(spark, d):
 
 def _part(*cols):
     def run(spark, d):
-        return rounded(callreport.sample_measures(view(spark, d, "v_geno")).select("sample", *cols))
+        measures = callreport.sample_measures(view(spark, d, "v_geno"))
+        return rounded(measures.withColumn("avg_quality", F.col("avg_quality") + NUDGE).select("sample", *cols))
 
     return run
 
