@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import materialised
 from .joins import spread_join
 from .ordered import average_ranks
 
@@ -33,9 +34,10 @@ def profile_correlations(cells: DataFrame, profiles: DataFrame) -> DataFrame:
     cells: cell, gene, x > 0; profiles: label, profile, gene, x > 0. With ranks
     taken relative to the zero block, only genes present on both sides meet.
     """
+    profiles = materialised(profiles.select("label", "profile", "gene", "x"), "profiles")
     genes = profiles.select("gene").distinct()
     n_genes = genes.agg(F.count(F.lit(1)).alias("_n")).scalar()
-    known = cells.join(genes, "gene", "left_semi")
+    known = materialised(cells.join(genes, "gene", "left_semi").select("cell", "gene", "x"), "cells")
     mine, my_sq = _centred_ranks(known, ["cell"], n_genes)
     theirs, their_sq = _centred_ranks(profiles, ["label", "profile"], n_genes)
     met = spread_join(mine, theirs.withColumnRenamed("d", "e"), ["gene"], ["cell"])

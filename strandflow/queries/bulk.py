@@ -197,10 +197,10 @@ def unique_names(spark, d):
     return genes.unique_names(view(spark, d, "v_genes")).select("gene", "unique_name")
 
 
-@register("J06_mapped_genes", "SELECT DISTINCT g.symbol, p.p_brand AS other FROM v_genes g JOIN part p ON g.symbol = p.p_name WHERE g.gene % 2 = 0", "v_genes")
+@register("J06_mapped_genes", "SELECT DISTINCT g.symbol, p.p_brand AS other FROM v_genes g JOIN part p ON g.symbol = p.p_name", "v_genes")
 def mapped_genes(spark, d):
     every = view(spark, d, "v_genes")
-    ids = every.where(F.col("gene") % 2 == 0).select("gene")
+    ids = every.select("gene")
     other = table(spark, d, "part").select(F.col("p_name").alias("symbol"), F.col("p_brand").alias("other"))
     return genes.map_genes(ids, every.select("gene", "symbol"), other)
 

@@ -240,16 +240,16 @@ def communities(spark, d):
 
 @register(
     "G02_connected_components",
-    """WITH RECURSIVE e AS (SELECT DISTINCT c_custkey AS u, c_custkey + 1 + c_custkey % 7 AS v FROM customer WHERE c_nationkey % 3 = 0),
+    """WITH RECURSIVE e AS (SELECT c_custkey AS u, c_custkey - c_custkey % 5 AS v FROM customer WHERE c_custkey % 5 <> 0 UNION ALL SELECT o_custkey, -1 - o_orderkey FROM orders),
 b AS (SELECT u, v FROM e UNION SELECT v, u FROM e), r AS (SELECT u AS node, u AS root FROM b UNION SELECT b.v, r.root FROM r JOIN b ON r.node = b.u)
 SELECT node, MIN(root) AS component FROM r GROUP BY node""",
 )
 def components(spark, d):
-    people = table(spark, d, "customer").where("c_nationkey % 3 = 0")
-    edges = people.select(
-        F.col("c_custkey").alias("src"), (F.col("c_custkey") + 1 + F.col("c_custkey") % 7).alias("dst")
+    people = table(spark, d, "customer").select(
+        F.col("c_custkey").alias("src"), (F.col("c_custkey") - F.col("c_custkey") % 5).alias("dst")
     )
-    return graph.connected_components(edges)
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("src"), (-1 - F.col("o_orderkey")).alias("dst"))
+    return graph.connected_components(people.where(F.col("src") != F.col("dst")).unionByName(orders))
 
 
 CLUSTERS = """intr AS (SELECT chrom, j_start, j_end, concat(chrom, ':', CAST(j_start AS STRING), ':', CAST(j_end AS STRING)) AS intron, CAST(SUM(n) AS BIGINT) AS reads FROM v_junctions WHERE j_end - j_start <= 500000 GROUP BY chrom, j_start, j_end),
@@ -305,9 +305,15 @@ def cluster_differences(spark, d):
     return rounded(splicing.cluster_differences(_usage(spark, d), _sheet(spark, d), with_p=False), 4)
 
 
-@register("A29_cluster_p")
+@register(
+    "A29_cluster_p",
+    f""", {PL}, st AS (SELECT cluster, SUM((n - e) * (n - e) / e) AS chi2, (COUNT(DISTINCT intron) - 1) * (COUNT(DISTINCT condition) - 1) AS df FROM ex GROUP BY cluster)
+SELECT cluster, df, round(exp(-chi2 / 2) * list_sum(list_transform(range(df // 2), lambda i: pow(chi2 / 2, i) / factorial(CAST(i AS INT)))), 6) + 0.0 AS p FROM st WHERE df % 2 = 0""",
+    "v_junctions",
+)
 def cluster_p(spark, d):
-    return rounded(splicing.cluster_differences(_usage(spark, d), _sheet(spark, d)))
+    tests = splicing.cluster_differences(_usage(spark, d), _sheet(spark, d))
+    return rounded(tests.where("df % 2 = 0").select("cluster", "df", "p"))
 
 
 @register("J15_joined_splice_results", f", {USAGE}, ef AS (SELECT sample, cluster, intron, usage - (SUM(usage) OVER (PARTITION BY intron) - usage) / (COUNT(*) OVER (PARTITION BY intron) - 1) AS effect FROM us) SELECT sample, cluster, intron, round(effect, 6) + 0.0 AS effect, concat('gene_', split_part(cluster, ':', 1)) AS gene FROM ef", "v_junctions")
