@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.missing import ratio
+from ..shared import materialised
 from .joins import spread_join
 from .ordered import exact_quantiles
 
@@ -191,6 +192,7 @@ def regressed(x: DataFrame, cells: DataFrame, covariates: DataFrame, genes: Data
     centred = covariates.withColumn("_m", means.select(F.struct("ma", "mb", "n").alias("s")).scalar()).select(
         "cell", (F.col(a) - F.col("_m.ma")).alias("_a"), (F.col(b) - F.col("_m.mb")).alias("_b"), F.col("_m.n").alias("_n")
     )
+    centred = materialised(centred, "covariates")
     shared = centred.agg(
         F.struct(
             F.sum(F.col("_a") * F.col("_a")).alias("aa"),
@@ -225,10 +227,13 @@ def dispersion_scores(x: DataFrame, cells: DataFrame, bins: int = 20) -> DataFra
     in width, closed on the right; a bin of one gene gives the score 1.
     """
     linear = x.select("cell", "gene", F.expm1("x").alias("x"))
-    base = gene_moments(linear, cells).select(
-        "gene",
-        F.log1p("mean").alias("mean"),
-        F.when(F.col("var") > 0, F.log(F.col("var") / F.col("mean"))).alias("dispersion"),
+    base = materialised(
+        gene_moments(linear, cells).select(
+            "gene",
+            F.log1p("mean").alias("mean"),
+            F.when(F.col("var") > 0, F.log(F.col("var") / F.col("mean"))).alias("dispersion"),
+        ),
+        "dispersions",
     )
     span = base.agg(F.struct(F.min("mean").alias("lo"), F.max("mean").alias("hi")).alias("s")).scalar()
     width = (F.col("_s.hi") - F.col("_s.lo")) / F.lit(float(bins))
@@ -263,7 +268,9 @@ def stabilised_variance(expr: DataFrame, cells: DataFrame) -> DataFrame:
     solved from one row of power sums.
     """
     moments = gene_moments(expr, cells, "n").where(F.col("var") > 0)
-    logs = moments.select("gene", "mean", "n_cells", F.log10("mean").alias("u"), F.log10("var").alias("v"))
+    logs = materialised(
+        moments.select("gene", "mean", "n_cells", F.log10("mean").alias("u"), F.log10("var").alias("v")), "moments"
+    )
     centre = logs.agg(F.avg("u").alias("c")).scalar()
     centred = logs.withColumn("u", F.col("u") - centre)
     u, v = F.col("u"), F.col("v")

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import cut_lineage
+from ..shared import cut_lineage, materialised
 from .joins import hot_keys, spread_join
 
 
@@ -164,7 +164,7 @@ def group_connectivity(edges: DataFrame, labels: DataFrame) -> DataFrame:
     named = labels.select("node", "community")
     first = spread_join(edges, named.select(F.col("node").alias("src"), F.col("community").alias("c1")), ["src"], ["dst"])
     placed = spread_join(first, named.select(F.col("node").alias("dst"), F.col("community").alias("c2")), ["dst"], ["src"])
-    counted = placed.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("e"))
+    counted = materialised(placed.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("e")), "between")
     sizes = labels.groupBy("community").agg(F.count(F.lit(1)).alias("n"))
     out = counted.groupBy(F.col("c1").alias("community")).agg(F.sum("e").alias("es"))
     stats = sizes.join(out, "community", "left").fillna(0, ["es"])

@@ -61,7 +61,9 @@ def outlier_introns(usage: DataFrame) -> DataFrame:
 
 def cluster_differences(usage: DataFrame, sheet: DataFrame, with_p: bool = True) -> DataFrame:
     """Chi-square of pooled counts, condition by intron, per cluster."""
-    pooled = usage.join(sheet, "sample").groupBy("cluster", "intron", "condition").agg(F.sum("n").alias("n"))
+    pooled = materialised(
+        usage.join(sheet, "sample").groupBy("cluster", "intron", "condition").agg(F.sum("n").alias("n")), "pooled"
+    )
     cells = pooled.groupBy("cluster", "condition").agg(F.sum("n").alias("_c"))
     introns = pooled.groupBy("cluster", "intron").agg(F.sum("n").alias("_i"))
     total = pooled.groupBy("cluster").agg(F.sum("n").alias("_t"))
