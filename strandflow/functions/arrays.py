@@ -23,8 +23,3 @@ def argmax(c: Column) -> Column:
     """0-based place of the largest value; the first one wins a tie."""
     return (F.array_position(c, F.array_max(c)) - 1).cast("int")
 
-
-def l2_distance(a: Column, b: Column) -> Column:
-    return F.sqrt(
-        F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
-    )

@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.missing import drop_missing, float_division, ratio
+from ..functions.missing import drop_missing, float_division
 from ..functions.text import without_version
 from ..shared import materialised
 from .joins import spread_join

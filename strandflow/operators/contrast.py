@@ -9,7 +9,6 @@ genes are not filtered before adjustment.
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame

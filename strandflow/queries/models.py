@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.arrays import argmax, one_hot, paired
+from ..functions.arrays import argmax, one_hot
 from ..functions.missing import fill_zero
 from ..functions.text import has_unknown_base
 from ..operators import classify, evaluate, graph, neighbors, reduce, splicing

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.genotype import dosage, is_snp, is_transition
-from ..functions.missing import drop_missing, fill_zero, number_or_zero, ratio, to_number
-from ..functions.text import has_unknown_base, joined_key, pieces, reverse_complement, tag_value
+from ..functions.genotype import dosage
+from ..functions.missing import drop_missing, fill_zero, to_number
+from ..functions.text import joined_key, pieces, reverse_complement, tag_value
 from ..operators import callreport, homozygosity, liftover, variants
-from .base import register, rounded, table, view
+from .base import register, rounded, view
 
 SITE = "chrom, pos, ref, alt"
 SNP = "length(ref) = 1 AND length(alt) = 1"

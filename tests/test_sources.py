@@ -167,3 +167,23 @@ def test_split_output(spark, tmp_path):
     sinks.write_split(spark.range(10), F.col("id") < 3, str(tmp_path / "a"), str(tmp_path / "b"))
     assert spark.read.parquet(str(tmp_path / "a")).count() == 3
     assert spark.read.parquet(str(tmp_path / "b")).count() == 7
+
+
+def test_listed_files_match_a_pattern(spark, tmp_path):
+    for name in ("a.vcf", "a.bam", "b.vcf"):
+        put(tmp_path, f"in/{name}", "x")
+    found = text.listed_files(spark, str(tmp_path / "in"), "a*")
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in found.collect()) == ["a.bam", "a.vcf"]
+
+
+def test_written_report_uses_na(spark):
+    from strandflow.operators import callreport
+
+    geno = spark.createDataFrame(
+        [("s", "1", 10, "A", "G", "0/1", 8, None, 30.0), ("s", "GL1", 10, "A", "C", "0/1", 4, 50, None)],
+        "sample string, chrom string, pos bigint, ref string, alt string, gt string, dp int, gq int, qual double",
+    )
+    got = {r["Chr"]: r for r in callreport.report_text(callreport.call_report(geno), "c.vcf").collect()}
+    assert set(got) == {"Genome", "1"}
+    assert got["Genome"]["avgQuality"] == "15.0" and got["Genome"]["meanGQ"] == "25.0" and got["Genome"]["avgDepth"] == "6.0"
+    assert got["1"]["TSTV"] == "NA" and got["1"]["HeterozygousHomozygousRatio"] == "NA" and got["1"]["Gender"] == "U"
