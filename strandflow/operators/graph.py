@@ -1,61 +1,60 @@
 """Graphs over cells and junctions: components, communities, connectivity."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..shared import cut_lineage, materialised
+from ..shared import cut_lineage, discarded, materialised
 from .joins import hot_keys, spread_join
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-    return tuple(row)
-
-
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 50) -> DataFrame:
     """Label every node of an undirected graph with its component's smallest node.
 
     Alternating star rounds: each node hands its larger neighbours (then its
     smaller ones) to its smallest neighbour, until the edges are stars. The
     number of rounds grows with the logarithm of the graph, not with its
-    diameter, and edges never outgrow the input. Hub nodes are hot join keys
-    and are sliced by `spread_join`.
+    diameter, and edges never outgrow the input. Smallest neighbours are partial
+    aggregates; the joins are plain equi joins, so adaptive execution splits a
+    hub's rows. Each half round is one columnar write that also yields the
+    count and checksum by which the end is seen.
     """
-    current = cut_lineage(
-        edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))
+    current, before = _settled(
+        edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v"))
         .where(F.col("u") != F.col("v"))
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
-    before = _fingerprint(current)
     for _ in range(max_rounds):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("m"))
-        larger = spread_join(both.where(F.col("v") > F.col("u")), lowest, ["u"], ["v"])
-        stars = larger.select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
-        stars = cut_lineage(stars)
+        larger = both.where(F.col("v") > F.col("u")).join(lowest, "u")
+        stars, middle = _settled(larger.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         lowest = stars.groupBy("u").agg(F.min("v").alias("m"))
-        handed = spread_join(stars, lowest, ["u"], ["v"])
-        current = cut_lineage(
-            handed.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(lowest.select("u", F.col("m").alias("v")))
-            .where(F.col("u") != F.col("v"))
-            .distinct()
-        )
-        after = _fingerprint(current)
-        if after == before:
+        handed = stars.join(lowest, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+        discarded(current)
+        current, after = _settled(handed.where(F.col("u") != F.col("v")).distinct())
+        discarded(stars)
+        if after == middle == before:
             break
         before = after
     else:
         raise RuntimeError(f"components not settled after {max_rounds} rounds")
     leaves = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    alone = edges.select(F.col(src).alias("node")).unionByName(edges.select(F.col(dst).alias("node"))).distinct()
+    loops = edges.where(F.col(src) == F.col(dst)).select(F.col(src).alias("node")).distinct()
     settled = leaves.unionByName(roots)
-    rest = alone.join(settled, "node", "left_anti").select("node", F.col("node").alias("component"))
+    rest = loops.join(settled, "node", "left_anti").select("node", F.col("node").alias("component"))
     return settled.unionByName(rest)
 
 
+def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a table, with their number and checksum from the same write."""
+    seen = Observation()
+    table = materialised(
+        edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")), "edges"
+    )
+    return table, (seen.get["n"], seen.get["x"])
+
+
 def undirected(edges: DataFrame, weight: str | None = None) -> DataFrame:
     """Both directions of every edge, the weights of repeated edges added."""
     w = F.lit(1.0) if weight is None else F.col(weight).cast("double")

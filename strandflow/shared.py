@@ -1,23 +1,21 @@
 """The folder all executors share, and cutting lineage through it."""
 
-import tempfile
+import posixpath
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where none is named (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(named)
-        return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandflow-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current
+    """The cluster's shared folder: `spark.checkpoint.dir`, else the warehouse.
+
+    Both are folders that the driver and all executors see; no machine-local
+    folder is ever used.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(named)
+    return named
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -32,8 +30,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Used inside iterative jobs: the plan stays short, and a lost executor costs
     a re-read of files, not a re-run of all earlier rounds.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    return materialised(df, "cut")
 
 
 def materialised(df: DataFrame, label: str) -> DataFrame:
@@ -45,3 +42,12 @@ def materialised(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discarded(*tables: DataFrame) -> None:
+    """Remove tables made by `materialised` once their last reader has ended."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {posixpath.dirname(f) for f in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
