@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import set_join
+from . import chat, quality, secret_scan, set_join
 
 QUERIES, ORACLES = {}, {}
 
@@ -20,3 +21,69 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op10_jaccard_classes(spark, folder):
     """Classes of documents whose 4-word shingles overlap by 85 % or more."""
     return set_join.jaccard_classes(table(spark, folder, "documents"))
+
+
+@query
+def op5_quality_rules(spark, folder):
+    """Counts, likelihood ratio score and verdict of every document."""
+    out = quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return out.select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "score",
+    )
+
+
+@query
+def op2_secret_spans(spark, folder):
+    """Secrets in all documents: pattern spans and spans confirmed by their structure."""
+    found = secret_scan.secret_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+    return found.select(
+        "row.doc_id",
+        secret_scan.counted(spans, "assign").alias("n_assign"),
+        secret_scan.counted(spans, "access").alias("n_access"),
+        secret_scan.counted(spans, "hex").alias("n_hex"),
+        F.sha2(secret_scan.listed(secret_scan.base_spans(spans)), 256).alias("base_sha256"),
+        secret_scan.listed(spans).alias("spans"),
+    )
+
+
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+@query
+def op3_chat_format(spark, folder):
+    """All conversations formatted, and digests of what is read back from the output."""
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY).alias("text"),
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    messages = rows.withColumn("parts", chat.typed_parts(F.coalesce("text", F.lit(""))))
+    out = chat.formatted(messages)
+    told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    trained = F.array_join("trained", "")
+    return chat.read_back(out).select(
+        "conv_id", "n_turns", F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"),
+        F.length(trained).cast("bigint").alias("loss_chars"), F.sha2(trained, 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+ORACLES["op3_chat_format"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), one AS (
+    SELECT *, replace(replace(text, '\', '\\'), '<|', '<\|') AS body,
+        CASE WHEN role = 'assistant' THEN text ELSE '' END AS trained
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+    sum(length(trained))::BIGINT AS loss_chars,
+    sha256(string_agg(trained, '' ORDER BY turn)) AS loss_sha256,
+    sum(8 + length(role) + 8 + length(body) + 7)::BIGINT AS formatted_chars
+FROM one GROUP BY conv_id
+"""

@@ -53,3 +53,24 @@ def list_array(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     np.cumsum([len(r) for r in rows], out=ends[1:])
     flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
+
+
+def packed(df: DataFrame, text_col: str) -> tuple[DataFrame, Column]:
+    """df with all columns in one struct `row`, whatever their names, and the text column in it."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    return df.select(row.alias("row")), F.col(f"row.`{text_col}`").alias("text")
+
+
+#: So many ids at most are sent to all executors (16 MB of numbers).
+PICKED_AT_MOST = 2_000_000
+
+
+def picked(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows whose id stands in `ids` (column id).
+
+    The ids are counted first: up to a bound they are broadcast and the rows stay
+    in place, beyond it both sides are shuffled.
+    """
+    few = ids.limit(PICKED_AT_MOST + 1).count() <= PICKED_AT_MOST
+    right = F.broadcast(ids) if few else ids
+    return rows.join(right, F.col(id_col) == F.col("id"), "left_semi")
