@@ -1,12 +1,11 @@
 import random
 
+import brute
 import pytest
 
 from strandflow.llm import set_join
 from strandflow.llm.queries import QUERIES
 
-from . import brute
-
 
 def run(spark, rows, **kw):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
