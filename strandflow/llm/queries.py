@@ -3,7 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, quality, secret_scan, set_join
+from ..shared import materialised
+from . import (
+    bpe_stream, chat, cover_tree, fixity, packing, ppm, quality, secret_scan, set_join, url_rules,
+)
 
 QUERIES, ORACLES = {}, {}
 
@@ -87,3 +90,86 @@ SELECT conv_id, count(*) AS n_turns,
     sum(8 + length(role) + 8 + length(body) + 7)::BIGINT AS formatted_chars
 FROM one GROUP BY conv_id
 """
+
+
+@query
+def op7_best_fit_packing(spark, folder):
+    """All documents in as few sequences of 2048 tokens as vector best fit makes."""
+    return packing.pack_documents(table(spark, folder, "documents"))
+
+
+@query
+def op8_bpe_stream(spark, folder):
+    """All documents through the streaming encoder and decoder."""
+    return bpe_stream.round_trip(table(spark, folder, "documents"))
+
+
+@query
+def op1_fixity_audit(spark, folder):
+    """Pages as records of one archive per host against a damaged replica.
+
+    In the replica records with page_id % 97 = 5 have a changed byte and those with 11
+    are missing; those with 23 are missing in the first one.
+    """
+    fate = F.pmod("page_id", F.lit(97))
+    hurt = F.when(fate == 5, F.concat(F.lit("#"), F.substring("html", 2, 2**31 - 1))).otherwise(F.col("html"))
+    whole = fixity.warc_record(F.col("url"), F.col("html"))
+    records = table(spark, folder, "pages").select(
+        "page_id", url_rules.url_parts(F.col("url"))[0].alias("archive"),
+        F.octet_length(whole).cast("bigint").alias("length"), F.sha2(whole, 256).alias("digest"),
+        F.sha2(fixity.warc_record(F.col("url"), hurt), 256).alias("hurt"),
+    )
+    laid = materialised(fixity.with_offsets(records, ["page_id", "digest"]), "records")
+    return fixity.audit(
+        laid.where(F.coalesce(fate != 23, F.lit(True))),
+        laid.where(F.coalesce(fate != 11, F.lit(True))).withColumn("digest", F.col("hurt")),
+    )
+
+
+ORACLES["op1_fixity_audit"] = r"""
+WITH page AS (
+    SELECT page_id, lower(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1)) AS archive,
+        coalesce(url, '') AS url, coalesce(html, '') AS html,
+        CASE WHEN page_id % 97 = 5 THEN '#' || substr(html, 2) ELSE coalesce(html, '') END AS hurt,
+        chr(13) || chr(10) AS nl
+    FROM pages
+), head AS (
+    SELECT *, 'WARC/1.0' || nl || 'WARC-Type: response' || nl || 'WARC-Target-URI: ' || url || nl
+        || 'Content-Type: text/html' || nl || 'Content-Length: ' AS h
+    FROM page
+), rec AS (
+    SELECT page_id, archive, h || strlen(html) || nl || nl || html || nl || nl AS a,
+        h || strlen(hurt) || nl || nl || hurt || nl || nl AS b
+    FROM head
+), laid AS (
+    SELECT *, coalesce(sum(strlen(a)) OVER (
+        PARTITION BY archive ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+    ), 0)::BIGINT AS place FROM rec
+)
+SELECT archive, place AS "offset", strlen(a)::BIGINT AS length,
+    CASE page_id % 97 WHEN 5 THEN 'changed' WHEN 11 THEN 'missing' ELSE 'extra' END AS status,
+    CASE WHEN page_id % 97 <> 23 THEN sha256(a) END AS digest_a,
+    CASE WHEN page_id % 97 <> 11 THEN sha256(b) END AS digest_b
+FROM laid WHERE page_id % 97 IN (5, 11, 23)
+"""
+
+
+@query
+def op4_ppm_score(spark, folder):
+    """All documents under a byte trie learnt from those that are not held out."""
+    held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(7)) == 2
+    return ppm.score_documents(table(spark, folder, "documents"), held)
+
+
+@query
+def op6_url_rules(spark, folder):
+    """Host, path, site rule and verdict of every page's url."""
+    return url_rules.judge_urls(table(spark, folder, "pages").select("page_id", "url")).select(
+        "row.page_id", "host", "path", "rule", "verdict"
+    )
+
+
+@query
+def op9_cover_tree(spark, folder):
+    """Vectors within cosine 0.9: number of links, component and whether it stays."""
+    return cover_tree.cosine_links(table(spark, folder, "embeddings"))

@@ -65,12 +65,12 @@ def packed(df: DataFrame, text_col: str) -> tuple[DataFrame, Column]:
 PICKED_AT_MOST = 2_000_000
 
 
-def picked(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
-    """Rows whose id stands in `ids` (column id).
+def picked(rows: DataFrame, id_col: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose id stands in `ids` (column id); with left_anti those whose does not.
 
     The ids are counted first: up to a bound they are broadcast and the rows stay
     in place, beyond it both sides are shuffled.
     """
     few = ids.limit(PICKED_AT_MOST + 1).count() <= PICKED_AT_MOST
-    right = F.broadcast(ids) if few else ids
-    return rows.join(right, F.col(id_col) == F.col("id"), "left_semi")
+    right = ids.select(F.col("id").alias("_picked"))
+    return rows.join(F.broadcast(right) if few else right, F.col(id_col) == F.col("_picked"), how)
