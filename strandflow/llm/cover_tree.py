@@ -234,10 +234,11 @@ def _placed(vectors: DataFrame, block: int) -> tuple[DataFrame, list[DataFrame]]
             placed = rest.unionByName(parts.select(*own, "cell"))
             break
         draw = Window.partitionBy("cell").orderBy(F.xxhash64("h", F.lit(depth)), "h", "rep")
-        drawn = (
+        drawn = materialised(
             inside.withColumn("_k", F.row_number().over(draw)).where(F.col("_k") <= PIVOTS)
             .where(F.col("_k") <= F.ceil(2 * F.col("n") / block))
-            .select("cell", "n", F.col("_k").cast("bigint").alias("k"), "embedding")
+            .select("cell", "n", F.col("_k").cast("bigint").alias("k"), "embedding"),
+            "pivots",
         )
         copied = drawn.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
         schema = placed.select(*own, "cell").withColumn("far", F.lit(0.0)).schema

@@ -344,7 +344,7 @@ def test_bpe_stream_holds_a_bounded_buffer():
     assert out == "grüße , 日本 don 't "
 
 
-@pytest.mark.parametrize("block", [16, 4096])
+@pytest.mark.parametrize("block", [64, 4096])
 def test_cover_tree(spark, block):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(12, 8))
