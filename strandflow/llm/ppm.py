@@ -173,13 +173,29 @@ def _values_of(lists: pa.Table, values: pa.Table) -> pa.Table:
     })
 
 
-def _looked_up(rows: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    if not rows:
-        return np.zeros(1, np.int64), np.zeros(1)
-    keys = np.concatenate([_unpacked_keys(k) for k, _ in rows])
-    values = np.concatenate([_numbers_of(v, np.float64) for _, v in rows])
-    order = np.argsort(keys)
-    return keys[order], values[order]
+class _Table:
+    """Values by key for keys that are all present: buckets of about a quarter of a key each."""
+
+    def __init__(self, rows: list[tuple[bytes, bytes]]):
+        keys = np.concatenate([_unpacked_keys(k) for k, _ in rows] or [np.zeros(0, np.int64)])
+        values = np.concatenate([_numbers_of(v, np.float64) for _, v in rows] or [np.zeros(0)])
+        self.shift = np.uint64(64 - max(8, (4 * len(keys)).bit_length()))
+        bucket = self._bucket(keys)
+        order = np.argsort(bucket, kind="stable")
+        self.keys, self.values = keys[order], values[order]
+        counts = np.bincount(bucket, minlength=1 << (64 - int(self.shift)))
+        self.starts = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int32)
+
+    def _bucket(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self.starts[self._bucket(keys)]
+        missed = np.flatnonzero(self.keys[at] != keys)
+        while len(missed):
+            at[missed] += 1
+            missed = missed[self.keys[at[missed]] != keys[missed]]
+        return self.values[at]
 
 
 SCORES = (
@@ -193,8 +209,7 @@ def _scores_of(docs: pa.Table, lists: pa.Table, order: int, total: int, distinct
     rows = {GRAM: [], WORD: []}
     for kind, keys, vals in zip(*(lists[c].to_pylist() for c in ("kind", "keys", "vals"))):
         rows[kind].append((keys, vals))
-    grams, logs = _looked_up(rows[GRAM])
-    names, counts = _looked_up(rows[WORD])
+    logs, counts = _Table(rows[GRAM]), _Table(rows[WORD])
     words = WordHashes()
     known, base, score, sizes = [], [], [], []
     for text in docs["text"]:
@@ -202,15 +217,11 @@ def _scores_of(docs: pa.Table, lists: pa.Table, order: int, total: int, distinct
         tokens = text.split()
         tokens.append(END_WORD)
         codes = np.fromiter(map(words.__getitem__, tokens), np.uint64, len(tokens)).view(np.int64)
-        c = counts[np.searchsorted(names, codes)]
+        c = counts(codes)
         sizes.append(len(tokens))
         known.append(int((c > 0).sum()))
         base.append(float(np.log10((c + 1) / (total + distinct + 1)).sum()))
-        score.append(
-            sum(
-                float(logs[np.searchsorted(grams, ngram_keys(text, order, at, to))].sum()) for at, to in _steps(text)
-            )
-        )
+        score.append(sum(float(logs(ngram_keys(text, order, at, to)).sum()) for at, to in _steps(text)))
     return pa.table({
         "doc_id": docs["doc_id"].cast(pa.int64()), "held_out": docs["held"], "n_tokens": pa.array(sizes, pa.int64()),
         "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array([total] * len(sizes), pa.int64()),
@@ -284,7 +295,7 @@ def log_probabilities(grams: list[DataFrame], contexts: list[DataFrame], asked:
 
 
 def score_documents(
-    docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 5,
+    docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 4,
     block_bytes: int = 16 << 20,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
