@@ -11,9 +11,14 @@ MASK = "[SECRET]"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Verdicts are written first: a filter on them would be pushed down through all the
+    columns they are computed from, each time with copies of what is below.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.quality(docs, labels).where("kept").select("row.*")
+    judged = materialised(quality.quality(docs, labels).select("row", "kept"), "judged")
+    return judged.where("kept").select("row.*")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,7 @@ DEPTH = 6  # levels split around pivots; larger cells are then cut by hash
 MARGIN = 1e-7
 SMALLEST = 2.0**-7  # radius of the last level
 AT_ONCE = 1 << 18  # pairs of points compared without going further down
+PER_NODE_PAIR = 1 << 10  # pairs of points that cost as much as one open pair of nodes
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -167,18 +168,28 @@ def linked(a: dict, b: dict, threshold: float, same: bool) -> _Links:
                 compare(i, j)
                 continue
             ia, jb = np.searchsorted(sa, i), slice(*np.searchsorted(sb, j))
+            most = (i[1] - i[0]) * (j[1] - j[0]) // PER_NODE_PAIR
+            near, count = [], 0
             for at in range(ia[0], ia[1], 512):
                 some = slice(at, min(ia[1], at + 512))
                 apart = _apart(a["unit"][ca[some]], b["unit"][cb[jb]])
                 reach = ra[some, None] + rb[jb]
-                for p, q in zip(*np.nonzero(apart <= limit + reach + MARGIN)):
-                    one, two = (int(sa[some][p]), int(ea[some][p])), (int(sb[jb][q]), int(eb[jb][q]))
-                    if same and i == j and two < one:
-                        continue
-                    if apart[p, q] + reach[p, q] <= limit:
-                        compare(one, two)
-                    else:
-                        after.append((one, two))
+                p, q = np.nonzero(apart <= limit + reach + MARGIN)
+                count += len(p)
+                if count > most:
+                    break
+                near.append((p + at, q + jb.start, apart[p, q] + reach[p, q] <= limit))
+            if count > most:  # the bounds drop too little here: compare the points at once
+                compare(i, j)
+                continue
+            for p, q, whole in zip(*(np.concatenate(part).tolist() for part in zip(*near))):
+                one, two = (int(sa[p]), int(ea[p])), (int(sb[q]), int(eb[q]))
+                if same and i == j and two < one:
+                    continue
+                if whole:
+                    compare(one, two)
+                else:
+                    after.append((one, two))
         pairs = after
     for i, j in pairs:
         compare(i, j)
