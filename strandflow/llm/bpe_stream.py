@@ -36,11 +36,11 @@ def word_pattern(without: str = "") -> regex.Pattern:
 
 
 @lru_cache(maxsize=1)
-def _newer() -> tuple[regex.Pattern, regex.Pattern]:
+def _newer() -> tuple[frozenset, regex.Pattern]:
     """A pattern of letters and digits that only the newest Unicode tables know, and words without them."""
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     known = "".join(c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn")
-    return regex.compile(f"[{known}]") if known else regex.compile(r"(?!)"), word_pattern(known)
+    return frozenset(known), word_pattern(known)
 
 
 WORD = word_pattern()
@@ -49,7 +49,7 @@ WORD = word_pattern()
 def words_of(text: str) -> list[str]:
     if not text.isascii():
         newer, older = _newer()
-        if newer.search(text):
+        if not newer.isdisjoint(text):
             return older.findall(text)
     return WORD.findall(text)
 
