@@ -374,7 +374,8 @@ def test_cover_tree_levels():
 def test_pipeline(spark):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    kept = [r.row for r in quality.quality(docs, labels).select("row", "kept").collect() if r.kept]
+    judged = quality.quality(docs, labels).select("row", "base_failed", "kept").collect()
+    kept = [r.row for r in judged if r.kept]
     classes = brute.jaccard_classes([(r.doc_id, r.text) for r in kept])
     want = {}
     reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -386,7 +387,8 @@ def test_pipeline(spark):
     for r in corpus_pipeline.run(spark, FOLDER).collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + r.length
     assert got == want
-    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    long_enough = {r.row.doc_id for r in judged if not r.base_failed}
+    good = {r.doc_id for r in labels.where("quality = 1").collect()} & long_enough
     assert len(good & {r.doc_id for r in kept}) >= 0.99 * len(good)
 
 
