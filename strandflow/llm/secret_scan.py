@@ -198,13 +198,14 @@ def secret_spans(docs: DataFrame, text_col: str = "text", mask: str | None = Non
     and other columns of any name pass through `row`; an empty table gives an
     empty result.
     """
-    rows, texts = packed(docs, text_col)
+    rows, _ = packed(docs, text_col)
+    place = docs.columns.index(text_col)
     schema = T.StructType().add("row", docs.schema).add("spans", T.ArrayType(T.StructType().add("kind", "string").add("start", "long").add("end", "long")))
     if mask is not None:
         schema = schema.add("clean", "string")
 
     def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = batch.column(1).to_pylist()
+        values = batch.column(0).field(place).to_pylist()
         found = [found_in(t) if t else [] for t in values]
         spans = [[{"kind": k, "start": s, "end": e} for k, s, e, _ in row] for row in found]
         kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
@@ -215,7 +216,7 @@ def secret_spans(docs: DataFrame, text_col: str = "text", mask: str | None = Non
             )
         return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return map_batches(rows.select("row", texts), scan, schema)
+    return map_batches(rows.select("row"), scan, schema)
 
 
 def listed(spans: Column) -> Column:

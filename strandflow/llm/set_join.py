@@ -75,8 +75,7 @@ def _set_rows(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int
     bits are 256 parity bits, wide at least as many as there are tokens.
     """
 
-    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = WordHashes()
+    def sets(batch: pa.RecordBatch, words: WordHashes) -> pa.RecordBatch:
         found = [shingle_hashes(t, words, n) for t in batch.column(1).to_pylist()]
         kept = found if percent is None else [u[: _looked_at(len(u), percent)] for u in found]
         widths = [max(256, 1 << len(u).bit_length()) for u in found]
@@ -96,6 +95,7 @@ def _set_rows(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int
     return map_batches(
         rows, sets,
         "id bigint, n bigint, sig binary, bits array<bigint>, wide array<bigint>, tokens array<bigint>",
+        WordHashes,
     )
 
 

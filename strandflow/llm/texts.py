@@ -36,13 +36,29 @@ def text_bytes(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """fn over the Arrow batches of every partition; empty batches are left out."""
+#: Rows of an Arrow batch at most. Whole texts are long rows: ten thousand of them, the usual
+#: setting, are held several times over by the executor and its Python workers.
+ROWS_PER_BATCH = 1_000
+
+
+def map_batches(
+    df: DataFrame, fn: Callable[..., pa.RecordBatch], schema: str, memo: Callable[[], object] | None = None
+) -> DataFrame:
+    """fn over the Arrow batches of every partition; empty batches are left out.
+
+    With a memo, one is made per partition and given to fn as second argument. The
+    session's rows per Arrow batch are lowered to ROWS_PER_BATCH where they are more.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(setting)) <= ROWS_PER_BATCH:
+        df.sparkSession.conf.set(setting, ROWS_PER_BATCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = () if memo is None else (memo(),)
         for batch in batches:
             if batch.num_rows:
-                yield fn(batch)
+                yield fn(batch, *kept)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
