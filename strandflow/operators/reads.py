@@ -40,18 +40,25 @@ def with_read_group(reads: DataFrame, sample: Column, platform: str = "illumina"
     )
 
 
-def mark_duplicates(reads: DataFrame, key: Sequence[str] = ("library", "chrom", "pos", "strand")) -> DataFrame:
-    """Flag all but the best read of each key; rows are kept.
-
-    The survivor per key is a partial aggregate (greatest quality sum, then
-    smallest name). It is joined back on the unique read name, so a key with a
-    third of all reads is no hot join key.
+def mark_duplicates(reads: DataFrame, place: Sequence[str] = ("chrom", "pos", "strand")) -> DataFrame:
+    """Flag all reads but those of the best fragment of each key; rows are kept.
+
+    A fragment is a read or the mates of one name in a library; its key is the
+    places of all its reads, so mates share their fate and a pair is no copy of a
+    single read. The survivor per key is a partial aggregate (greatest sum of the
+    fragment's qualities, then smallest name). It is joined back on (library,
+    name), where it is unique, so a key with a third of all reads is no hot join
+    key and no row is doubled.
     """
-    best = reads.groupBy(*key).agg(
-        F.min_by("name", F.struct((-F.col("qual_sum")).alias("q"), F.col("name"))).alias("name")
+    fragments = reads.groupBy("library", "name").agg(
+        F.array_sort(F.collect_list(F.struct(*place))).alias("_places"), F.sum("qual_sum").alias("_q")
+    )
+    best = fragments.groupBy("library", "_places").agg(
+        F.min_by("name", F.struct((-F.col("_q")).alias("q"), F.col("name"))).alias("name")
     )
-    survivors = best.select("name", F.lit(True).alias("_kept"))
-    return reads.join(survivors, "name", "left").withColumn("duplicate", F.col("_kept").isNull()).drop("_kept")
+    survivors = best.select("library", "name", F.lit(True).alias("_kept"))
+    marked = reads.join(survivors, ["library", "name"], "left").withColumn("duplicate", F.col("_kept").isNull())
+    return marked.select(*reads.columns, "duplicate")
 
 
 def duplicate_metrics(marked: DataFrame) -> DataFrame:

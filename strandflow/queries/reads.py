@@ -16,6 +16,22 @@ def marked(spark, d):
     return reads.mark_duplicates(view(spark, d, "v_reads")).select("name", "library", "chrom", "pos", "strand", "duplicate")
 
 
+PAIRS = "SELECT CAST(floor(name / 2) AS BIGINT) AS name, CAST(name % 2 + 1 AS INT) AS mate, CASE WHEN floor(name / 2) % 3 = 0 THEN 'a' ELSE 'b' END AS library, chrom % 2 AS chrom, pos % 40 AS pos, strand, qual_sum FROM v_reads"
+
+
+@register(
+    "W06_marked_pairs",
+    f""", p AS ({PAIRS}), f AS (SELECT library, name, COUNT(*) AS k, MIN(concat(CAST(chrom AS STRING), ':', CAST(pos AS STRING), ':', CAST(strand AS STRING))) AS one,
+ MAX(concat(CAST(chrom AS STRING), ':', CAST(pos AS STRING), ':', CAST(strand AS STRING))) AS two, SUM(qual_sum) AS q FROM p GROUP BY library, name),
+ r AS (SELECT library, name, row_number() OVER (PARTITION BY library, k, one, two ORDER BY q DESC, name) > 1 AS duplicate FROM f)
+SELECT p.library, p.name, p.mate, r.duplicate FROM p JOIN r ON p.library = r.library AND p.name = r.name""",
+    "v_reads",
+)
+def marked_pairs(spark, d):
+    view(spark, d, "v_reads").createOrReplaceTempView("v_reads")
+    return reads.mark_duplicates(spark.sql(PAIRS)).select("library", "name", "mate", "duplicate")
+
+
 @register(
     "A24_duplicate_metrics",
     f", {BEST} SELECT library, COUNT(*) AS examined, CAST(SUM(CASE WHEN duplicate THEN 1 ELSE 0 END) AS BIGINT) AS duplicates, round(100.0 * SUM(CASE WHEN duplicate THEN 1 ELSE 0 END) / CAST(COUNT(*) AS DOUBLE), 6) AS percent FROM marked GROUP BY library",
