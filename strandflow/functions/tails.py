@@ -12,14 +12,24 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return np.vectorize(math.lgamma, otypes=[float])(x)
 
 
-def beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray, rounds: int = 200) -> np.ndarray:
-    """Continued fraction of the incomplete beta function (Lentz's method)."""
+#: Relative change of a value below which it is settled.
+SETTLED = 4e-15
+
+
+def _most_rounds(*sizes: np.ndarray) -> int:
+    """Rounds after which an unsettled value is an error; the need grows with the root of the size."""
+    largest = max((float(s[np.isfinite(s)].max(initial=1.0)) for s in sizes), default=1.0)
+    return 1000 + int(100 * math.sqrt(largest))
+
+
+def beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Continued fraction of the incomplete beta function (Lentz's method), until it is settled."""
     tiny = 1e-300
     c = np.ones_like(x)
     d = 1 - (a + b) * x / (a + 1)
     d = 1 / np.where(np.abs(d) < tiny, tiny, d)
     h = d.copy()
-    for m in range(1, rounds):
+    for m in range(1, _most_rounds(a, b)):
         for num in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
@@ -29,7 +39,9 @@ def beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray, rounds: int = 200
             c = 1 + num / c
             c = np.where(np.abs(c) < tiny, tiny, c)
             h = h * d * c
-    return h
+        if not np.any(np.abs(d * c - 1) > SETTLED):
+            return h
+    raise ArithmeticError("incomplete beta function not settled")
 
 
 def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -45,23 +57,26 @@ def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.where(x <= 0, 0.0, np.where(x >= 1, 1.0, np.where(low, direct, mirrored)))
 
 
-def gamma_upper(a: np.ndarray, x: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Regularised upper incomplete gamma function Q(a, x)."""
-    x = np.maximum(x, 0.0)
-    safe = np.maximum(x, 1e-300)
-    front = np.exp(a * np.log(safe) - safe - _log_gamma(a))
+def _gamma_series(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Power series of the lower incomplete gamma function, for x < a + 1."""
     term = 1 / a
     total = term.copy()
-    for n in range(1, rounds):
-        term = term * safe / (a + n)
+    for n in range(1, _most_rounds(a)):
+        term = term * x / (a + n)
         total = total + term
-    series = 1 - front * total
+        if not np.any(term > SETTLED / 100 * total):
+            return total
+    raise ArithmeticError("incomplete gamma function not settled")
+
+
+def _gamma_fraction(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Continued fraction of the upper incomplete gamma function, for x >= a + 1."""
     tiny = 1e-300
-    b = safe + 1 - a
-    c = np.full_like(safe, 1 / tiny)
+    b = x + 1 - a
+    c = np.full_like(x, 1 / tiny)
     d = 1 / np.where(np.abs(b) < tiny, tiny, b)
     h = d.copy()
-    for i in range(1, rounds):
+    for i in range(1, _most_rounds(a)):
         an = -i * (i - a)
         b = b + 2
         d = an * d + b
@@ -69,7 +84,21 @@ def gamma_upper(a: np.ndarray, x: np.ndarray, rounds: int = 400) -> np.ndarray:
         c = b + an / c
         c = np.where(np.abs(c) < tiny, tiny, c)
         h = h * d * c
-    return np.where(x <= 0, 1.0, np.clip(np.where(x < a + 1, series, front * h), 0.0, 1.0))
+        if not np.any(np.abs(d * c - 1) > SETTLED):
+            return h
+    raise ArithmeticError("incomplete gamma function not settled")
+
+
+def gamma_upper(a: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Regularised upper incomplete gamma function Q(a, x)."""
+    a = np.where(np.isfinite(a), a, 1.0)
+    safe = np.where(np.isnan(x), 1.0, np.clip(x, 1e-300, 1e300))
+    low = safe < a + 1
+    front = np.exp(a * np.log(safe) - safe - _log_gamma(a))
+    out = np.empty_like(safe)
+    out[low] = 1 - front[low] * _gamma_series(a[low], safe[low])
+    out[~low] = front[~low] * _gamma_fraction(a[~low], safe[~low])
+    return np.where(x <= 0, 1.0, np.clip(out, 0.0, 1.0))
 
 
 def t_p(t: np.ndarray, df: np.ndarray) -> np.ndarray:

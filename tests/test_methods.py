@@ -96,6 +96,15 @@ def test_tails():
     assert tails.normal_p(np.array([1.959963984540054])) == pytest.approx([0.05])
 
 
+@pytest.mark.parametrize("df", [1e4, 5e4, 1e5, 1e6, 1e7])
+def test_tails_of_many_degrees(df):
+    # The median is df - 2/3 and the density there 1 / (4 pi df)^0.5, up to higher terms.
+    want = 0.5 - 1 / (3 * math.sqrt(math.pi * df))
+    got = tails.chi2_p(np.array([df, np.nan, np.inf, 0.0]), np.array([df, 3.0, 3.0, 3.0]))
+    assert got[0] == pytest.approx(want, abs=2e-5) and np.isnan(got[1]) and got[2] == 0 and got[3] == 1
+    assert tails.t_p(np.array([1.959963984540054]), np.array([df])) == pytest.approx([0.05], abs=5 / df)
+
+
 def test_float_division(spark):
     df = spark.createDataFrame([(1.0, 0.0), (-1.0, 0.0), (0.0, 0.0), (6.0, 3.0), (None, 1.0)], "a double, b double")
     got = drop_missing(df.select(float_division(F.col("a"), F.col("b")).alias("q")))
@@ -281,6 +290,17 @@ def test_duplicates_keep_the_best_read(spark):
     assert sorted(r["name"] for r in kept) == [6, 900]
 
 
+def test_mates_share_their_fate(spark):
+    rows = [  # r1 and r2 share the place of mate 1 only; r3 is a copy of r1; r4 is single at that place
+        ("lib", "r1", 1, 1, 10, 0, 30), ("lib", "r1", 2, 1, 90, 1, 30), ("lib", "r2", 1, 1, 10, 0, 40),
+        ("lib", "r2", 2, 2, 95, 1, 40), ("lib", "r3", 1, 1, 10, 0, 20), ("lib", "r3", 2, 1, 90, 1, 39),
+        ("lib", "r4", 1, 1, 10, 0, 99),
+    ]
+    df = spark.createDataFrame(rows, "library string, name string, mate int, chrom int, pos bigint, strand int, qual_sum bigint")
+    got = sorted((r["name"], r["mate"], r["duplicate"]) for r in reads.mark_duplicates(df).collect())
+    assert got == [(r[1], r[2], r[1] == "r3") for r in rows]
+
+
 def test_absent_barcode_fails(spark):
     known = spark.createDataFrame([(1, "A")], "cell int, barcode string")
     with pytest.raises(Exception, match="barcode not in the data"):
