@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 SITE_COLUMNS = ["chrom", "pos", "id", "ref", "alt", "qual", "filter", "info", "format"]
 
 
-def _fields(spark: SparkSession, path: str):
-    lines = spark.read.text(path)
-    head = lines.where(F.col("value").startswith("#CHROM")).first()
-    names = head["value"].split("\t")[9:] if head else []
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def _fields(lines: DataFrame) -> DataFrame:
     return lines.where(~F.col("value").startswith("#") & (F.col("value") != "")).select(
-        F.split("value", "\t").alias("f")
-    ), names
+        "file", F.split("value", "\t").alias("f")
+    )
 
 
 def _site(i: int):
@@ -22,8 +23,7 @@ def _site(i: int):
 
 def read_sites(spark: SparkSession, path: str) -> DataFrame:
     """chrom, pos, id, ref, alt, qual, filter (list), info (key=value map)."""
-    rows, _ = _fields(spark, path)
-    return rows.select(
+    return _fields(_lines(spark, path)).select(
         _site(0).alias("chrom"),
         _site(1).cast("bigint").alias("pos"),
         _site(2).alias("id"),
@@ -35,11 +35,25 @@ def read_sites(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_genotypes(spark: SparkSession, path: str) -> DataFrame:
-    """One row per site and sample: gt, ad (list), dp, gq by the keys of the format column."""
-    rows, names = _fields(spark, path)
-    samples = F.array(*[F.lit(n) for n in names])
+def read_genotypes(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per site and sample: gt, ad (list), dp, gq by the keys of the format column.
+
+    Every file has the sample names of its own header; names never pass the
+    driver. Files without one, as parts of a text written by Spark, have the names
+    on which all headers agree. A line with another number of values than names,
+    or a file without names, fails the read.
+    """
+    lines = _lines(spark, path)
+    heads = lines.where(F.col("value").startswith("#CHROM")).groupBy("file").agg(
+        F.slice(F.split(F.first("value"), "\t"), 10, 1 << 30).alias("names")
+    )
+    agreed = heads.agg(F.when(F.count_distinct("names") == 1, F.first("names")).alias("n")).scalar()
+    rows = _fields(lines).join(heads, "file", "left").withColumn("names", F.coalesce("names", agreed))
     values = F.slice("f", 10, 1 << 30)
+    fits = F.coalesce(F.size("names") == F.size(values), F.lit(False))
+    samples = F.when(fits, F.col("names")).otherwise(
+        F.raise_error(F.concat(F.lit("values do not fit the header of "), F.col("file")))
+    )
     long = rows.select(
         _site(0).alias("chrom"), _site(1).cast("bigint").alias("pos"), _site(3).alias("ref"), _site(4).alias("alt"),
         F.split(_site(8), ":").alias("_k"),

@@ -40,6 +40,18 @@ def test_vcf(spark, tmp_path):
     assert len(geno) == 6
 
 
+def test_files_keep_their_own_samples(spark, tmp_path):
+    head = "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"
+    call = "\n1\t100\t.\tA\tG\t9\tPASS\t.\tGT\t"
+    for name, samples, values in (("x", "A", "0/1"), ("y", "B\tC", "1/1\t0/0")):
+        put(tmp_path, f"calls/{name}.vcf", head + samples + call + values + "\n")
+    got = vcf.read_genotypes(spark, str(tmp_path / "calls"))
+    assert rows(got.select("sample", "gt"), "sample") == [("A", "0/1"), ("B", "1/1"), ("C", "0/0")]
+    put(tmp_path, "calls/z.vcf", head + "D" + call + "0/1\t0/1\n")
+    with pytest.raises(Exception, match="do not fit the header"):
+        vcf.read_genotypes(spark, str(tmp_path / "calls")).collect()
+
+
 def test_genotype_columns(spark, tmp_path):
     from strandflow.functions.genotype import dosage, is_het, is_snp
 
