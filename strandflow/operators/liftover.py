@@ -12,7 +12,8 @@ def lift_over(variants: DataFrame, blocks: DataFrame) -> DataFrame:
 
     Blocks: chrom, src_start, src_end (half-open), tgt_chrom, tgt_start, strand.
     On the minus strand the place is mirrored inside the block and the alleles
-    are reverse-complemented. Hits are counted per variant with partial
+    are reverse-complemented. A variant whose reference allele leaves a block has
+    no target in it. Hits are counted per variant with partial
     aggregation; variants are unique by (chrom, pos, ref, alt).
     """
     site = ["chrom", "pos", "ref", "alt"]
@@ -21,6 +22,7 @@ def lift_over(variants: DataFrame, blocks: DataFrame) -> DataFrame:
         variants, blocks, start="src_start", end="src_end", how="left", spread_by=["pos", "alt"]
     )
     minus = F.col("strand") == "-"
+    whole = F.col("pos") + F.length("ref") <= F.col("src_end")
     place = F.struct(
         F.col("tgt_chrom").alias("new_chrom"),
         F.when(minus, F.col("tgt_start") + (F.col("src_end") - F.length("ref") - F.col("pos")))
@@ -31,8 +33,8 @@ def lift_over(variants: DataFrame, blocks: DataFrame) -> DataFrame:
     )
     counted = hits.groupBy(*site).agg(
         *[F.any_value(c).alias(c) for c in rest],
-        F.count("src_start").alias("n_targets"),
-        F.min(F.when(F.col("src_start").isNotNull(), place)).alias("place"),
+        F.count_if(whole).alias("n_targets"),
+        F.min(F.when(whole, place)).alias("place"),
     )
     single = F.col("n_targets") == 1
     return counted.select(
