@@ -245,6 +245,45 @@ def test_quality(spark, docs, texts):
     assert quality.quality(docs.limit(0), labels).count() == 0 and quality.quality(docs, labels.limit(0)).count() == len(texts)
 
 
+def test_quality_rejects_junk_and_keeps_held_out_good(spark):
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(60)]
+    plain = lambda: " ".join(rng.choice(words) for _ in range(60))
+    junk = [
+        lambda t: " ".join(w + rng.choice(["%%%", "***", "&&&"]) if rng.random() < 0.3 else w for w in t.split()),
+        lambda t: " ".join(w.upper() + "!!" if rng.random() < 0.4 else w for w in t.split()),
+    ]
+    rows = [(i, plain() if i < 1200 else junk[i % 2](plain())) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(600)], "doc_id bigint, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in quality.quality(docs, labels).select("row.doc_id", "kept").collect()}
+    assert sum(kept[i] for i in range(600, 1200)) >= 0.95 * 600
+    assert sum(kept[i] for i in range(1200, 1500)) <= 0.05 * 300
+
+
+def test_quality_cut_is_a_quantile_of_left_out_scores(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(40 + i % 50)}" for _ in range(15 + i % 40))) for i in range(300)]
+    rows.append((3, rows[3][1]))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id bigint, quality int, toxic int")
+    trusted = quality.trusted_ids(labels, 10_000)
+    counts = quality.cell_counts(docs, trusted)
+    own = {}
+    for r in quality.measured(docs).select("row.doc_id", quality._cells(10_000).alias("cells")).collect():
+        own[r.doc_id] = own.get(r.doc_id, 0) + np.bincount(r.cells, minlength=10_000)
+    raw, good = sum(own.values()), sum(own[i] for i in range(200))
+    share = lambda c: np.log((c + 1) / (c.sum() + 10_000))
+    want = {i: own[i] @ (share(good - own[i]) - share(raw)) / own[i].sum() for i in range(200) if 15 + i % 40 >= 20}
+    got = {r.id: r.score for r in quality.left_out_scores(docs, trusted, counts).collect()}
+    assert got == pytest.approx(want)
+    cut = np.quantile(list(want.values()), 0.01)
+    out = quality.quality(docs, labels).collect()
+    assert {(r.row.doc_id, r.kept) for r in out} == {(r.row.doc_id, not r.base_failed and r.score >= cut) for r in out}
+    few = quality.quality(docs, labels.where("doc_id < 100")).where("NOT base_failed AND score >= -0.5 AND NOT kept")
+    assert few.count() == 0  # fewer than 100 left out: the fixed threshold
+
+
 def test_url_rules(spark):
     rows = [
         (1, "http://A.Example.ORG/es/1?x"), (2, "https://example.org/en/12"), (3, "https://x.org"), (4, "http://fr.com/fr/"),
