@@ -11,7 +11,8 @@ import base64
 import binascii
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,12 +31,24 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 
-# A DER sequence begins with byte 0x30: `M` and `A` to `P` in base64, `30` in hex.
-DER_TEXT = re.compile(r"M[A-P][A-Za-z0-9+/_-]{30,}={0,2}")
-SSH_TEXT = re.compile(r"(?:b3BlbnNzaC1rZXktdjEA|AAAA[A-Z])[A-Za-z0-9+/]{24,}={0,2}")
-KEY_HEX = re.compile(r"(?:30|6f70656e7373682d|6F70656E7373682D|000000)[0-9A-Fa-f]{46,}")
+# Single line breaks, real or escaped, with the indentation after them, do not end a candidate.
+BREAK = r"(?:(?:\r?\n|(?:\\r)?\\n)[ \t]*)"
+LETTER, DIGIT = "[A-Za-z0-9+/_-]", "[0-9A-Fa-f]"
+# A DER sequence begins with byte 0x30: `M` and `A` to `P` in base64, `30` in hex. Any place may be a start.
+DER_TEXT = re.compile(rf"(?=M[A-P](?:{BREAK}?{LETTER}){{30}})")
+DER_HEX = re.compile(rf"(?=30(?:{BREAK}?{DIGIT}){{46}})")
+# An SSH file begins with its name; a blob with a length below 256 and `ssh`, `sk` or `ec`.
+SSH_TEXT = re.compile(r"(?=b3BlbnNzaC1rZXktdjEA|AAAA[A-Z](?:[HXn3]N[zr]|[GWm2]Vj))")
+SSH_HEX = re.compile(r"(?=6f70656e7373682d|000000[0-9a-f]{2}(?:7373|736b|6563))", re.I)
+TEXT_RUN = re.compile(rf"{LETTER}+(?:{BREAK}{LETTER}+)*")
+HEX_RUN = re.compile(rf"{DIGIT}+(?:{BREAK}{DIGIT}+)*")
+PIECE = {TEXT_RUN: re.compile(rf"{LETTER}+"), HEX_RUN: re.compile(rf"{DIGIT}+")}
+LINE_BREAK = re.compile(BREAK)
+PADDING = re.compile("={0,2}")
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----((?:[A-Za-z0-9+/=\s]|\\[nr]|[A-Za-z-]+: [^\n]*\n)+)-----END \1-----")
+# Digest algorithms: with octets they are a digest, not an encrypted key.
+DIGESTS = (b"\x60\x86\x48\x01\x65\x03\x04\x02", b"\x2b\x0e\x03\x02\x1a", b"\x2a\x86\x48\x86\xf7\x0d\x02")
 
 SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
 
@@ -64,9 +77,10 @@ def der_items(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] |
 def is_key(data: bytes) -> bool:
     """Whether data is one DER element laid out as a private or public key.
 
-    Accepted: RSA (nine integers), EC (integer, octets, tagged parameters),
-    wrapped private keys (integer, algorithm, octets), wrapped public keys
-    (algorithm, bits) and RSA public keys (two integers of which one is long).
+    Accepted: RSA (nine integers), DSA (six), EC (integer, octets, tagged
+    parameters), wrapped private keys (integer, algorithm, octets), encrypted ones
+    (algorithm that is no digest, octets), wrapped public keys (algorithm, bits)
+    and RSA public keys (two integers of which one is long).
     """
     top = der_items(data, 0, len(data))
     if not top or len(top) != 1 or top[0][0] != 0x30:
@@ -80,7 +94,7 @@ def is_key(data: bytes) -> bool:
         parts = der_items(data, item[1], item[2]) if item[0] == 0x30 else None
         return bool(parts) and parts[0][0] == 0x06
 
-    if tags[:9] == [0x02] * 9:
+    if tags[:9] == [0x02] * 9 or tags == [0x02] * 6:
         return True
     if tags == [0x02, 0x02]:
         return inner[0][2] - inner[0][1] >= 64
@@ -88,6 +102,9 @@ def is_key(data: bytes) -> bool:
         return len(tags) == 2 or all(tag in (0xA0, 0xA1) for tag in tags[2:])
     if tags[:1] == [0x02] and tags[2:3] == [0x04]:
         return algorithm(inner[1])
+    if tags == [0x30, 0x04] and algorithm(inner[0]):
+        _, start, end = der_items(data, inner[0][1], inner[0][2])[0]
+        return not data[start:end].startswith(DIGESTS)
     return tags == [0x30, 0x03] and algorithm(inner[0])
 
 
@@ -143,29 +160,135 @@ def is_signed_token(text: str) -> bool:
     )
 
 
+class Run:
+    """Letters of a base64 or hex run without its line breaks, and where they stand in the text."""
+
+    def __init__(self, text: str, at: int, pattern: re.Pattern):
+        self.end = pattern.match(text, at).end()
+        self.hex = pattern is HEX_RUN
+        self.starts, self.places, pieces, size = [], [], [], 0
+        while at < self.end:
+            m = PIECE[pattern].match(text, at)
+            self.starts.append(at)
+            self.places.append(size)
+            pieces.append(m[0])
+            size += len(m[0])
+            gap = LINE_BREAK.match(text, m.end())
+            at = gap.end() if gap and gap.end() < self.end else self.end
+        self.code = "".join(pieces)
+        self.edges = {*self.places, size}
+
+    def place(self, at: int) -> int:
+        """Number of the letter at a position of the text."""
+        k = bisect_right(self.starts, at) - 1
+        return self.places[k] + at - self.starts[k]
+
+    def after(self, place: int) -> int:
+        """Position in the text behind the letter before `place`."""
+        k = bisect_left(self.places, place) - 1
+        return self.starts[k] + place - self.places[k]
+
+    def letters(self, size: int) -> int:
+        return 2 * size if self.hex else (4 * size + 2) // 3
+
+    def read(self, place: int, start: int, end: int) -> bytes:
+        """Bytes [start, end) of what the letters from `place` on decode to; fewer at the end."""
+        if self.hex:
+            part = self.code[place + 2 * start : place + 2 * end]
+            return bytes.fromhex(part[: len(part) // 2 * 2])
+        first = start // 3
+        part = self.code[place + 4 * first : place + self.letters(end)]
+        if len(part) % 4 == 1:
+            part = part[:-1]
+        return (from_base64(part) or b"")[start - 3 * first : end - 3 * first]
+
+
+def _der_sizes(read: Callable[[int, int], bytes]) -> Iterator[int]:
+    """Size that the first bytes of a DER sequence give it."""
+    head = read(0, 6)
+    if len(head) < 2 or head[0] != 0x30:
+        return
+    width = head[1] & 0x7F if head[1] & 0x80 else 0
+    if width <= 4 and (width or head[1] < 0x80) and len(head) >= 2 + width:
+        yield 2 + width + (int.from_bytes(head[2 : 2 + width], "big") if width else head[1])
+
+
+def _ssh_sizes(read: Callable[[int, int], bytes]) -> Iterator[int]:
+    """Sizes at which the length-prefixed parts of an SSH file or blob may end, largest first."""
+    at, most, sizes = 0, 12, []
+    if read(0, 15) == b"openssh-key-v1\0":
+        at = 15
+        for _ in range(3):
+            at += 4 + int.from_bytes(read(at, at + 4), "big")
+        most = int.from_bytes(read(at, at + 4), "big") + 1
+        at += 4
+        if not 1 < most <= 100:
+            return
+    for _ in range(most):
+        size = read(at, at + 4)
+        if len(size) < 4:
+            break
+        at += 4 + int.from_bytes(size, "big")
+        sizes.append(at)
+    yield from reversed(sizes)
+
+
+def _keys(text: str, starts: re.Pattern, pattern: re.Pattern, sizes: Callable, fits: Callable) -> Iterator[tuple[int, int]]:
+    """Spans of keys, by the size that their own first bytes give and the letters that follow.
+
+    A key may start anywhere in a run but ends where a line or the run ends. After
+    a candidate that is no key the search goes on at the next start; one that is a
+    whole DER element of another kind is passed over.
+    """
+    run, past = None, 0
+    for m in starts.finditer(text):
+        at = m.start()
+        if at < past:
+            continue
+        if run is None or at >= run.end:
+            run = Run(text, at, pattern)
+        place = run.place(at)
+        for size in sizes(lambda a, b: run.read(place, a, b)):
+            last = place + run.letters(size)
+            if size < 24 or last > len(run.code) or last not in run.edges and run.code[last : last + 2] != "--":
+                continue
+            data = run.read(place, 0, size)
+            end = run.after(last)
+            if fits(data):
+                if not run.hex:
+                    end += len(PADDING.match(text, end)[0])
+                past = end
+                yield at, end
+                break
+            top = der_items(data, 0, len(data)) if fits is is_key else None
+            if top and der_items(data, top[0][1], top[0][2]):
+                past = end
+
+
+def _pem(text: str) -> Iterator[tuple[int, int]]:
+    for m in PEM.finditer(text):
+        lines = re.split(r"\\[nr]|\s", m[2])
+        data = from_base64("".join(x for x in lines if re.fullmatch(r"[A-Za-z0-9+/=]*", x)))
+        # An encrypted body may have no readable structure; its headers or label say so.
+        if data and (is_key(data) or is_ssh(data) or "ENCRYPTED" in m[1] + m[2] and "KEY" in m[1]):
+            yield m.start(), m.end()
+
+
 def _confirmed(text: str) -> Iterator[tuple[str, int, int]]:
     for m in JWT.finditer(text):
         if is_signed_token(m[0]):
             yield "jwt", m.start(), m.end()
-    if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            lines = re.split(r"\\[nr]|\s", m[2])
-            data = from_base64("".join(x for x in lines if re.fullmatch(r"[A-Za-z0-9+/=]*", x)))
-            # An encrypted body has no readable structure; its headers name the cipher.
-            if data and (is_key(data) or is_ssh(data) or "ENCRYPTED" in m[2] and "KEY" in m[1]):
-                yield "pem", m.start(), m.end()
-    for kind, pattern, fits in (("der", DER_TEXT, is_key), ("ssh", SSH_TEXT, is_ssh)):
-        for m in pattern.finditer(text):
-            data = from_base64(m[0])
-            if data and fits(data):
-                yield kind, m.start(), m.end()
-    for m in KEY_HEX.finditer(text):
-        if len(m[0]) % 2 == 0:
-            data = bytes.fromhex(m[0])
-            if is_key(data):
-                yield "der", m.start(), m.end()
-            elif is_ssh(data):
-                yield "ssh", m.start(), m.end()
+    blocks = sorted(_pem(text)) if "-----BEGIN " in text else []
+    for start, end in blocks:
+        yield "pem", start, end
+    for kind, starts, pattern, sizes, fits in (
+        ("der", DER_TEXT, TEXT_RUN, _der_sizes, is_key), ("ssh", SSH_TEXT, TEXT_RUN, _ssh_sizes, is_ssh),
+        ("der", DER_HEX, HEX_RUN, _der_sizes, is_key), ("ssh", SSH_HEX, HEX_RUN, _ssh_sizes, is_ssh),
+    ):
+        for start, end in _keys(text, starts, pattern, sizes, fits):
+            block = bisect_right(blocks, (start, len(text))) - 1
+            if block < 0 or blocks[block][1] < end:
+                yield kind, start, end
 
 
 def found_in(text: str) -> list[tuple[str, int, int, int]]:

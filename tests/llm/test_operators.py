@@ -115,6 +115,45 @@ def test_secrets_confirmed_by_structure():
     assert secret_scan.redacted(text, secret_scan.found_in(text), "#") == "token = # and #."
 
 
+def test_secrets_in_every_key_encoding():
+    number = lambda n: _der(2, bytes([1] * n))
+    algorithm = _der(0x30, _der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x05\x0d") + _der(0x30, _der(4, b"s" * 8) + number(2)))
+    encrypted = _der(0x30, algorithm + _der(4, b"\xa7" * 160))
+    dsa = _der(0x30, number(1) + number(128) + number(20) + number(128) + number(128) + number(20))
+    rsa = _der(0x30, number(1) + number(128) + number(3) + b"".join(number(64) for _ in range(6)))
+    part = lambda b: len(b).to_bytes(4, "big") + b
+    blob = part(b"ssh-rsa") + part(b"\1\0\1") + part(b"n" * 129)
+    file = b"openssh-key-v1\0" + part(b"none") * 2 + part(b"") + (1).to_bytes(4, "big") + part(blob) + part(b"p" * 205)
+    kinds = lambda t: [s[0] for s in secret_scan.found_in(t) if s[0] not in secret_scan.BASE]
+    wrap = lambda t, n, by="\n": by.join(t[i : i + n] for i in range(0, len(t), n))
+    for label, key in (("ENCRYPTED PRIVATE KEY", encrypted), ("DSA PRIVATE KEY", dsa)):
+        text = f"-----BEGIN {label}-----\n{wrap(base64.b64encode(key).decode(), 64)}\n-----END {label}-----"
+        assert secret_scan.found_in(text)[0][:3] == ("pem", 0, len(text)) and kinds(text) == ["pem"]
+    opaque = base64.b64encode(b"\xa7" * 100).decode()
+    assert kinds(f"-----BEGIN ENCRYPTED PRIVATE KEY-----\n{opaque}\n-----END ENCRYPTED PRIVATE KEY-----") == ["pem"]
+    for kind, key in (("der", encrypted), ("der", dsa), ("der", rsa), ("ssh", blob), ("ssh", file)):
+        for coded in (base64.b64encode(key).decode(), base64.b64encode(key).decode().rstrip("="), key.hex()):
+            for body in (coded, *(wrap(coded, n, by) for n in (64, 76) for by in ("\n", "\r\n", "\\n", "\n    "))):
+                for text in (f"is {body}", f"is {body}\nThen more words\n", f"is {body}\nabcdef {body}. 1"):
+                    found = [s for s in secret_scan.found_in(text) if s[0] == kind]
+                    assert [text[s:e] for _, s, e, _ in found] == [body] * text.count(body), (kind, text)
+                    assert kinds(text) == [kind] * text.count(body)
+        assert kinds("MAINMAPMEM" + base64.b64encode(key).decode()) == [kind]  # glued to other possible starts
+        assert kinds("3031300a" + key.hex()) == [kind]
+        assert kinds(base64.b64encode(key).decode()[:-8]) == kinds(key.hex()[:-8]) == []
+    digest = _der(0x30, _der(0x30, _der(6, b"\x60\x86\x48\x01\x65\x03\x04\x02\x01") + _der(5, b"")) + _der(4, b"d" * 32))
+    assert kinds(base64.b64encode(digest).decode()) == []
+
+
+def test_secret_search_is_fast_on_repeated_starts():
+    import time
+
+    start = time.monotonic()
+    for text in ("A" * 300_000, "MIIE" * 100_000, "3030" * 100_000, "00" * 200_000, "AAAAB3NzaC1yc2E" * 20_000, "MA\n" * 100_000):
+        assert all(s[0] in secret_scan.BASE for s in secret_scan.found_in(text))
+    assert time.monotonic() - start < 30
+
+
 def test_chat_round_trip_with_parts(spark):
     part = lambda kind, text=None, source=None: (kind, text, source, None, None, None, None)
     rows = [
