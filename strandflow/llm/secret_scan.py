@@ -46,7 +46,10 @@ PIECE = {TEXT_RUN: re.compile(rf"{LETTER}+"), HEX_RUN: re.compile(rf"{DIGIT}+")}
 LINE_BREAK = re.compile(BREAK)
 PADDING = re.compile("={0,2}")
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----((?:[A-Za-z0-9+/=\s]|\\[nr]|[A-Za-z-]+: [^\n]*\n)+)-----END \1-----")
+MARKER = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{1,40})-----")
+PEM_BREAK = re.compile(r"\\[nr]|[\r\n]")
+PEM_BODY = re.compile(r"[A-Za-z0-9+/=\s]*")
+PEM_HEADER = re.compile(r"[A-Za-z-]+:(?: .*)?", re.S)
 # Digest algorithms: with octets they are a digest, not an encrypted key.
 DIGESTS = (b"\x60\x86\x48\x01\x65\x03\x04\x02", b"\x2b\x0e\x03\x02\x1a", b"\x2a\x86\x48\x86\xf7\x0d\x02")
 
@@ -266,12 +269,30 @@ def _keys(text: str, starts: re.Pattern, pattern: re.Pattern, sizes: Callable, f
 
 
 def _pem(text: str) -> Iterator[tuple[int, int]]:
-    for m in PEM.finditer(text):
-        lines = re.split(r"\\[nr]|\s", m[2])
-        data = from_base64("".join(x for x in lines if re.fullmatch(r"[A-Za-z0-9+/=]*", x)))
-        # An encrypted body may have no readable structure; its headers or label say so.
-        if data and (is_key(data) or is_ssh(data) or "ENCRYPTED" in m[1] + m[2] and "KEY" in m[1]):
-            yield m.start(), m.end()
+    """Spans from BEGIN to the next END of the same label whose lines are headers or body and hold a key."""
+    begun: dict[str, re.Match] = {}
+    for m in MARKER.finditer(text):
+        if m[1] == "BEGIN":
+            begun[m[2]] = m
+            continue
+        begin = begun.pop(m[2], None)
+        if begin is None:
+            continue
+        body, heads = [], [m[2]]
+        for line in PEM_BREAK.split(text[begin.end() : m.start()]):
+            line = line.strip()
+            if PEM_BODY.fullmatch(line):
+                body += line.split()
+            elif PEM_HEADER.fullmatch(line):
+                heads.append(line)
+            else:
+                break
+        else:
+            data = from_base64("".join(body))
+            # An encrypted body may have no readable structure; its headers or label say so.
+            encrypted = "KEY" in m[2] and any("ENCRYPTED" in h for h in heads)
+            if data and (is_key(data) or is_ssh(data) or encrypted):
+                yield begin.start(), m.end()
 
 
 def _confirmed(text: str) -> Iterator[tuple[str, int, int]]:

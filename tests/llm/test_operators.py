@@ -154,6 +154,21 @@ def test_secret_search_is_fast_on_repeated_starts():
     assert time.monotonic() - start < 30
 
 
+def test_pem_without_end():
+    import time
+
+    start = time.monotonic()
+    for line in ("Version: 1\n", "MII\n", "-----BEGIN RSA PRIVATE KEY-----\n", "k: -----BEGIN RSA PRIVATE KEY-----\n"):
+        assert secret_scan.found_in("-----BEGIN RSA PRIVATE KEY-----\n" + line * 1000) == []
+        assert secret_scan.found_in("-----BEGIN RSA PRIVATE KEY-----\n" + line * 1000 + "-----END DSA PRIVATE KEY-----") == []
+    number = lambda n: _der(2, bytes([1] * n))
+    key = base64.b64encode(_der(0x30, number(1) + number(128) + number(3) + b"".join(number(64) for _ in range(6)))).decode()
+    whole = f"-----BEGIN RSA PRIVATE KEY-----\nVersion: 1\nComment: \n\n{key}\n-----END RSA PRIVATE KEY-----"
+    cut = "-----BEGIN RSA PRIVATE KEY-----\n" + "Version: 1\n" * 1000
+    assert [s[:3] for s in secret_scan.found_in(cut + whole)] == [("pem", len(cut), len(cut + whole))]
+    assert time.monotonic() - start < 20
+
+
 def test_chat_round_trip_with_parts(spark):
     part = lambda kind, text=None, source=None: (kind, text, source, None, None, None, None)
     rows = [
