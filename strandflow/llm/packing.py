@@ -20,6 +20,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from ..shared import materialised
 from .texts import map_batches, text_bytes
@@ -48,6 +49,22 @@ def encoding(path: str) -> tiktoken.Encoding:
     )
 
 
+@lru_cache(maxsize=4)
+def tokenizer(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
+def token_ids(text: str, path: str) -> np.ndarray:
+    """Ids of a text; those texts that the fast engine refuses are encoded by `tokenizers`.
+
+    Its pattern search raises ValueError on about a million blanks in a row.
+    """
+    try:
+        return encoding(path).encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        return np.array(tokenizer(path).encode(text, add_special_tokens=False).ids, np.uint32)
+
+
 def cut(n: int, tokens: int) -> list[tuple[int, int]]:
     """[start, end) of the pieces of n tokens: whole ones, only the first may be shorter."""
     first = n % tokens or min(n, tokens)
@@ -66,11 +83,9 @@ def pieces(
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def split(batch: pa.RecordBatch) -> pa.RecordBatch:
-        engine = encoding(path)
         out: list[list] = [[] for _ in names]
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids = engine.encode_to_numpy(text.decode(), allowed_special="all")
-            ids = np.append(ids, end_id).astype("<u4")
+            ids = np.append(token_ids(text.decode(), path), end_id).astype("<u4")
             for k, (start, end) in enumerate(cut(len(ids), tokens)):
                 part = ids[start:end]
                 row = (doc, k, start, end - start, zlib.crc32(part.tobytes()), part)

@@ -382,6 +382,16 @@ def test_packing(spark, docs, texts):
     assert with_ids.ids == ids[10_000_004]
 
 
+def test_packing_of_very_long_blank_runs(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    reference = Tokenizer.from_file(path)
+    odd = [(1, "go" + " " * 2_000_000 + "on"), (2, "\n" * 1_000_000 + "<|endoftext|>é"), (3, "short  text")]
+    rows = packing.pieces(spark.createDataFrame(odd, "doc_id bigint, text string"), path, with_ids=True).collect()
+    for doc, text in odd:
+        ids = [i for r in sorted(rows, key=lambda r: r.piece) if r.doc_id == doc for i in r.ids]
+        assert ids == [*reference.encode(text, add_special_tokens=False).ids, 0]
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_plan_keeps_every_capacity(rule):
     rng = random.Random(4)
