@@ -24,9 +24,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies: the one with the smallest id.
 
+    Near copies share 80 % or more of their five-word shingles.
     Rows that repeat an id stay once. Rows without id stay: they are in no class.
     """
-    classes = materialised(set_join.jaccard_classes(docs), "classes")
+    classes = materialised(set_join.jaccard_classes(docs, n=5, percent=80), "classes")
     gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
     twice = classes.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     again = materialised(twice.select(F.col("doc_id").alias("id")), "twice")

@@ -495,6 +495,25 @@ def test_pipeline(spark):
     assert len(good & {r.doc_id for r in kept}) >= 0.99 * len(good)
 
 
+def test_pipeline_near_copies_by_five_words(spark):
+    rng = random.Random(7)
+    rows = []
+    for k in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(100)]
+        rows.append((10 * k, " ".join(words)))
+        for copy in range(1, 4):
+            for place in rng.sample(range(10, 90, 10), copy):
+                words[place] = f"x{rng.randrange(5000)}"
+            rows.append((10 * k + copy, " ".join(words)))
+    words = [f"v{k}" for k in range(100)]
+    rows += [(1000, " ".join(words)), (1001, " ".join("y" if k in (30, 60) else w for k, w in enumerate(words)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = {r.doc_id for r in corpus_pipeline.jaccard_join(spark, docs, FOLDER).collect()}
+    want = brute.jaccard_classes(rows, percent=80, n=5)
+    assert left == {i for i, (_, part) in want.items() if part == i}
+    assert 1001 not in left and brute.jaccard_classes(rows)[1001][1] == 1001  # too far apart for four words, 85 %
+
+
 def test_pipeline_stages_on_odd_rows(spark, docs):
     plain = docs.select("doc_id", "text", F.lit("en").alias("lang"), F.lit(None).cast("string").alias("source"), F.length("text").cast("bigint").alias("n_chars"))
     odd = plain.unionByName(plain.limit(3)).unionByName(plain.limit(1).withColumn("doc_id", F.lit(None).cast("bigint")))
