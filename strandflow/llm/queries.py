@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..shared import materialised
 from . import (
-    bpe_stream, chat, cover_tree, fixity, packing, ppm, quality, secret_scan, set_join, url_rules,
+    bpe_stream, chat, cover_tree, fixity, merkle_manifest, packing, ppm, quality, secret_scan, set_join, url_rules,
 )
 
 QUERIES, ORACLES = {}, {}
@@ -173,3 +173,78 @@ def op6_url_rules(spark, folder):
 def op9_cover_tree(spark, folder):
     """Vectors within cosine 0.9: number of links, component and whether it stays."""
     return cover_tree.cosine_links(table(spark, folder, "embeddings"))
+
+
+@query
+def op12_merkle_proofs(spark, folder):
+    """Manifest of all documents with proofs, checked against rows whose line ends were lost."""
+    docs = table(spark, folder, "documents")
+    values = ["doc_id", "source", "lang", "n_chars", "text"]
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    hurt = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    now = merkle_manifest.row_digest([*map(F.col, values[:-1]), hurt])
+    found = merkle_manifest.manifest(docs, values, carried=[now.alias("now")])
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle_manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+        merkle_manifest.folded(F.col("carried.now"), F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_LEVELS = 12
+ORACLES["op12_merkle_proofs"] = (
+    r"""
+WITH crc AS (
+    SELECT doc_id, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, flatten([[ascii(substr(doc_id::VARCHAR, k::INT, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]
+            for k in range(1, length(doc_id::VARCHAR) + 1)])),
+        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END) END)) AS crc
+    FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+), f AS (
+    SELECT d.*, coalesce(crc % 2 = 0, false) AS hurt, coalesce('1' || source, '0') AS tree,
+        coalesce(strlen(d.doc_id::VARCHAR) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+        || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+        replace(text, chr(10), '') AS bare
+    FROM documents d LEFT JOIN crc ON d.doc_id = crc.doc_id
+), leaf AS (
+    SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS d,
+        sha256(head || CASE WHEN hurt THEN coalesce(strlen(bare) || ':' || bare, '-') ELSE coalesce(strlen(text) || ':' || text, '-') END) AS e
+    FROM f
+), s0 AS (
+    SELECT tree, doc_id, d, e, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, d) - 1 AS i FROM leaf
+)"""
+    + "".join(
+        f""", {t}{k + 1} AS (
+    SELECT tree, i // 3 AS i, CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d
+    FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {t}{k}) AS x GROUP BY tree, i // 3
+)"""
+        + (
+            f""", t0 AS (
+    SELECT '' AS tree, d, tree AS g, row_number() OVER (ORDER BY tree) - 1 AS i FROM s{_LEVELS}
+)""" if t == "s" and k == _LEVELS - 1 else ""
+        )
+        for t in "st" for k in range(_LEVELS)
+    )
+    + """, p0 AS (SELECT doc_id, tree, d AS leaf, e AS up, i, '' AS proof FROM s0)"""
+    + "".join(
+        f""", q{t}{k} AS (
+    SELECT tree, i // 3 AS p, count(*) OVER (PARTITION BY tree) AS n, i, d,
+        coalesce(string_agg(d, '') OVER (PARTITION BY tree, i // 3 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+        coalesce(string_agg(d, '') OVER (PARTITION BY tree, i // 3 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b
+    FROM {t}{k}
+), {'p' if t == 's' else 'r'}{k + 1} AS (
+    SELECT x.doc_id, x.tree, x.leaf, CASE WHEN n = 1 THEN x.up ELSE sha256(a || x.up || b) END AS up, x.i // 3 AS i,
+        {'x.subroot, ' if t == 't' else ''}CASE WHEN n = 1 THEN x.proof ELSE x.proof || a || b END AS proof
+    FROM {'p' if t == 's' else 'r'}{k} AS x JOIN q{t}{k} AS y ON x.tree = y.tree AND x.i = y.i
+)"""
+        + (
+            f""", r0 AS (
+    SELECT x.doc_id, '' AS tree, x.leaf, x.up, t0.i, t0.d AS subroot, x.proof FROM p{_LEVELS} AS x JOIN t0 ON x.tree = t0.g
+)""" if t == "s" and k == _LEVELS - 1 else ""
+        )
+        for t in "st" for k in range(_LEVELS)
+    )
+    + f"""
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, up AS folded_root, up = d AS verified
+FROM r{_LEVELS} JOIN t{_LEVELS} ON true
+"""
+)
