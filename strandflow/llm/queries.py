@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..shared import materialised
 from . import (
-    bpe_stream, chat, cover_tree, fixity, merkle_manifest, packing, ppm, quality, secret_scan, set_join, url_rules,
+    alignment, bpe_stream, chat, cover_tree, fixity, merkle_manifest, packing, ppm, quality, secret_scan, set_join, url_rules,
 )
 
 QUERIES, ORACLES = {}, {}
@@ -248,3 +248,9 @@ SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, up AS fo
 FROM r{_LEVELS} JOIN t{_LEVELS} ON true
 """
 )
+
+
+@query
+def op13_token_alignment(spark, folder):
+    """Groups and links of two tokenizers over all documents, with corpus-wide counts of the links."""
+    return alignment.align(table(spark, folder, "documents"))[0]

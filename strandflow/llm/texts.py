@@ -36,28 +36,33 @@ def text_bytes(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
 
-#: Rows of an Arrow batch at most. Whole texts are long rows: ten thousand of them, the usual
-#: setting, are held several times over by the executor and its Python workers.
-ROWS_PER_BATCH = 1_000
+#: Bytes that a function over Arrow batches is given at once, unless one row has more.
+BATCH_BYTES = 4 << 20
+
+
+def byte_slices(batch: pa.RecordBatch, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, in parts of at most `limit` bytes or one row; nothing for no rows."""
+    if batch.num_rows > 1 and batch.nbytes > limit:
+        half = batch.num_rows // 2
+        yield from byte_slices(batch.slice(0, half), limit)
+        yield from byte_slices(batch.slice(half), limit)
+    elif batch.num_rows:
+        yield batch
 
 
 def map_batches(
     df: DataFrame, fn: Callable[..., pa.RecordBatch], schema: str, memo: Callable[[], object] | None = None
 ) -> DataFrame:
-    """fn over the Arrow batches of every partition; empty batches are left out.
+    """fn over the Arrow batches of every partition, cut by bytes; empty batches are left out.
 
-    With a memo, one is made per partition and given to fn as second argument. The
-    session's rows per Arrow batch are lowered to ROWS_PER_BATCH where they are more.
+    With a memo, one is made per partition and given to fn as second argument.
     """
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(df.sparkSession.conf.get(setting)) <= ROWS_PER_BATCH:
-        df.sparkSession.conf.set(setting, ROWS_PER_BATCH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = () if memo is None else (memo(),)
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch, *kept)
+            for part in byte_slices(batch):
+                yield fn(part, *kept)
         pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
