@@ -24,17 +24,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ..shared import discarded, materialised
+from ..shared import materialised
 from .bpe_stream import byte_characters
 from .packing import encoding
 from .texts import byte_slices, list_array, text_bytes
 
 #: Tokens of A in a lane, about; text bytes merged at once; links of a group beyond which
 #: equal ids of a group are merged before they are paired.
-LANE, BLOCK_BYTES, WIDE = 256, 1 << 20, 4096
+LANE, BLOCK_BYTES, WIDE = 256, 2 << 20, 4096
 
 DOCS = "array<struct<doc_id:bigint,n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups_sha256:string,pairs:bigint>>"
-BLOCKS = f"block bigint, docs {DOCS}, a array<int>, b array<int>, held array<int>, pair array<int>, times array<bigint>"
+BLOCKS = f"block bigint, docs {DOCS}, a array<int>, b array<int>, held array<int>, steps array<int>, times array<bigint>"
 
 
 class ByteTokenizer:
@@ -152,9 +152,11 @@ def lockstep(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarra
 def aligned(texts: list[str | None], path_a: str, path_b: str) -> dict:
     """Figures, links and group digest of some texts: what one row of the blocks holds, as arrays.
 
-    n_a, n_b, n_groups, n_links, digest, pairs (end of the text's part in pair) for
+    n_a, n_b, n_groups, n_links, digest, pairs (end of the text's part in steps) for
     every text; a, b, held for every distinct id pair, with the number of texts that
-    link it; pair, times: per text its distinct pairs and how often each is linked.
+    link it; steps, times: per text its distinct pairs and how often each is linked. Pairs
+    are indices that ascend within a text; `steps` are the differences of one and the next,
+    small numbers that shrink well on their way, and the running sum gives them back.
     """
     one, two, size_a, size_b, spelt = tokenizers_of(path_a, path_b)
     found, both = [], []
@@ -170,7 +172,7 @@ def aligned(texts: list[str | None], path_a: str, path_b: str) -> dict:
     digest = [""] * len(texts)
     empty = np.zeros(0, np.int64)
     if not found:
-        return count | {"digest": digest} | dict.fromkeys(("a", "b", "held", "pair", "times"), empty)
+        return count | {"digest": digest} | dict.fromkeys(("a", "b", "held", "steps", "times"), empty)
     a, b = (np.concatenate([np.array(t[s], np.int64) for t in both]) for s in (0, 1))
     docs_a, docs_b = (np.cumsum([len(t[s]) for t in both]) for s in (0, 1))
     ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
@@ -208,7 +210,7 @@ def aligned(texts: list[str | None], path_a: str, path_b: str) -> dict:
     count["pairs"] = np.cumsum(np.bincount(where[owner], minlength=len(texts)))
     return count | {
         "digest": digest, "a": pairs >> 32, "b": pairs & 0xFFFFFFFF, "held": np.bincount(pair, minlength=len(pairs)),
-        "pair": pair, "times": totals,
+        "steps": np.diff(pair, prepend=0), "times": totals,
     }
 
 
@@ -231,10 +233,10 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([number], pa.int64()), pa.ListArray.from_arrays(whole, rows),
-                        *[list_array([out[n]], pa.int32()) for n in ("a", "b", "held", "pair")],
+                        *[list_array([out[n]], pa.int32()) for n in ("a", "b", "held", "steps")],
                         list_array([out["times"]], pa.int64()),
                     ],
-                    names=["block", "docs", "a", "b", "held", "pair", "times"],
+                    names=["block", "docs", "a", "b", "held", "steps", "times"],
                 )
                 number += 1
             pa.default_memory_pool().release_unused()
@@ -263,7 +265,7 @@ def align(
     a row without id. Other columns are not looked at; an empty table gives empty
     results. Links are pairs of occurrences; within a group of over 4096 links equal
     ids are merged before they are paired, so a group without inner cuts needs memory
-    for its distinct ids only. Memory holds a block (a megabyte of text or one document).
+    for its distinct ids only. Memory holds a block (two megabytes of text or one document).
     """
     path_a = path_a or public_tokenizers.path("byte_bpe_50k.json")
     path_b = path_b or public_tokenizers.path("piece_bpe_32k.model")
@@ -280,7 +282,8 @@ def align(
         for row in left.to_batches():
             for k in range(row.num_rows):
                 docs = row.column("docs")[k].values
-                pair, times = (row.column(c)[k].values.to_numpy() for c in ("pair", "times"))
+                steps, times = (row.column(c)[k].values.to_numpy() for c in ("steps", "times"))
+                pair = np.cumsum(steps)
                 stop = docs.field("pairs").to_numpy()
                 sums = [np.append(0, np.cumsum(v)) for v in (times * best[pair], times * n[pair])]
                 best_links, total = (s[stop] - s[np.append(0, stop[:-1])] for s in sums)
@@ -291,6 +294,6 @@ def align(
                 ))
         return pa.concat_tables(out)
 
-    slim = blocks.select("block", "docs", "pair", "times")
+    slim = blocks.select("block", "docs", "steps", "times")
     done = slim.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(scored, figures)
     return done, counted
