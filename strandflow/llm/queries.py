@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..shared import materialised
 from . import (
-    alignment, bpe_stream, chat, cover_tree, fixity, merkle_manifest, packing, ppm, quality, secret_scan, set_join, url_rules,
+    alignment, bpe_stream, chat, cover_tree, fixity, merkle_manifest, packing, pii, ppm, quality, secret_scan, set_join, url_rules,
 )
 
 QUERIES, ORACLES = {}, {}
@@ -254,3 +254,16 @@ FROM r{_LEVELS} JOIN t{_LEVELS} ON true
 def op13_token_alignment(spark, folder):
     """Groups and links of two tokenizers over all documents, with corpus-wide counts of the links."""
     return alignment.align(table(spark, folder, "documents"))[0]
+
+
+@query
+def op11_pii_spans(spark, folder):
+    """Personal data in all documents: pattern spans, and proposals that boosted trees accept."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["rank"] < len(pii.BASE))
+    number = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+    return pii.pii_spans(docs, pii.fit(docs)).select(
+        "row.doc_id", *[number(k).alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(spans).alias("spans"),
+    )
