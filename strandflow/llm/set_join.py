@@ -4,7 +4,7 @@ Sets are joined through inverted lists over the first tokens of every set
 (prefix filter). Two kinds of work are skipped. Lists are cut into blocks by set
 size, and a row stands in them with the position of the token in its set, so
 blocks of other sizes and rows whose positions leave too little room for common
-tokens are passed over. And answers are carried over: equal sets are one set,
+tokens are passed over. Lists with the same rows are one list. And answers are carried over: equal sets are one set,
 and sets that were found similar to a list's leader already have its answer, so
 later only rows of different answers in one list are compared.
 
@@ -28,7 +28,10 @@ FREQUENT = 64
 
 #: Leaders are drawn again while the open comparisons are more than this many per
 #: list row and each turn halves them. Only the order of work depends on it.
-COMPARED_PER_ROW = 20
+COMPARED_PER_ROW = 40
+
+#: First open tokens of a set that its rows carry, to tell at which token a pair meets first.
+LEAD = 8
 
 
 def shingle_hashes(text: bytes, words: WordHashes, n: int = 4) -> np.ndarray:
@@ -220,13 +223,28 @@ def _prefixes(
         .select("tok", "id", "n", "rank")
     )
     block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / (percent - 1)))).cast("int")
+    every = materialised(usual.unionByName(whole), "every")
     lists = materialised(
-        usual.unionByName(whole).withColumn("b", block).join(sets.select("id", "n", "bits"), ["id", "n"]), "lists"
+        _different(every).withColumn("b", block).join(sets.select("id", "n", "bits"), ["id", "n"]), "lists"
     )
-    discarded(counts, short, again, whole)
+    discarded(counts, short, again, whole, every)
     return lists
 
 
+def _different(lists: DataFrame) -> DataFrame:
+    """Lists of two rows or more, of those with the same rows only the one of smallest token.
+
+    Texts that share a passage meet in one list per token of it. A similar pair passes
+    every test at each of its common tokens, so one list says all that they say. Lists
+    are known to be the same by their number of rows and the sums of two independent
+    hashes of them: two of 10^12 different lists agree with a chance below 10^-14.
+    """
+    total = lambda seed: F.sum(F.xxhash64("id", "n", F.lit(seed)).cast("decimal(20,0)")).alias(f"s{seed}")
+    signed = lists.groupBy("tok").agg(F.count(F.lit(1)).alias("rows"), total(0), total(1)).where("rows > 1")
+    kept = signed.groupBy("rows", "s0", "s1").agg(F.min("tok").alias("tok"))
+    return lists.join(kept.select("tok"), "tok", "left_semi")
+
+
 def _drawn(turn: int) -> Column:
     """One row of a list block by hash: another one for every token and turn."""
     return F.min(F.struct(F.xxhash64("tok", "id", F.lit(turn)).alias("_h"), "id", "n", "rank", "bits"))
@@ -284,8 +302,17 @@ def _open_pairs(opened: DataFrame, percent: int) -> DataFrame:
     """Rows of one list with different answers so far, in blocks of near sizes.
 
     Rows of a list's largest class are never compared with each other, so a
-    group of similar sets costs its size, not its square.
+    group of similar sets costs its size, not its square. A pair meets in many
+    lists, and a similar one passes the tests in each. Rows carry the first `LEAD`
+    tokens of their set in the common order; where both sets have an earlier one
+    in common, the pair has met there already and is passed over here.
     """
+    first = Window.partitionBy("id").orderBy("rank", "tok")
+    lead = (
+        opened.select("id", "tok", "rank").withColumn("k", F.row_number().over(first)).where(F.col("k") <= LEAD)
+        .groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "tok"))), lambda x: x["tok"]).alias("lead"))
+    )
+    opened = materialised(opened.join(lead, "id"), "led")
     minor = opened.where(F.col("part") != F.col("major")).withColumn(
         "block", F.explode(F.array(F.col("b") - 1, F.col("b"), F.col("b") + 1))
     )
@@ -294,6 +321,7 @@ def _open_pairs(opened: DataFrame, percent: int) -> DataFrame:
         & (F.col("a.part") != F.col("b.part"))
         & ((F.col("b.part") == F.col("b.major")) | (F.col("a.id") < F.col("b.id")))
         & _can_link(percent)
+        & F.coalesce(F.get(F.array_intersect("a.lead", "b.lead"), F.lit(0)) == F.col("a.tok"), F.lit(True))
     )
     return minor.alias("a").join(opened.alias("b"), met).select(*_ordered()).distinct()
 
