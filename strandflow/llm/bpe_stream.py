@@ -15,6 +15,7 @@ from codecs import getincrementaldecoder
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
+from itertools import islice
 
 import public_tokenizers
 import pyarrow as pa
@@ -28,6 +29,10 @@ from .texts import map_batches, text_bytes
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+#: Words remembered in a generation; characters of a text looked at together; the longest word remembered.
+REMEMBERED, WINDOW, LONG = 200_000, 1 << 16, 64
+
+
 def word_pattern(without: str = "") -> regex.Pattern:
     """Words of the tokenizer; characters in `without` are no letters or digits."""
     letter, digit = (rf"[{kind}--[{without}]]" if without else kind for kind in (r"\p{L}", r"\p{N}"))
@@ -86,24 +91,24 @@ class Bpe:
             if self.added else None
         )
         self.words: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}
+        self.raw = Decoder(self, raw=True)
 
     def merged(self, units: list[int]) -> list[int]:
         """All merges on a list of units: lowest rank first, from left to right."""
-        rules = self.rules
-        while len(units) > 1:
-            best = min((rules[p][0], p) if p in rules else (1 << 60, p) for p in zip(units, units[1:]))
-            if best[0] == 1 << 60:
-                break
-            pair, new = best[1], rules[best[1]][1]
-            out, k, n = [], 0, len(units)
-            while k < n:
-                if k + 1 < n and units[k] == pair[0] and units[k + 1] == pair[1]:
-                    out.append(new)
-                    k += 2
-                else:
-                    out.append(units[k])
-                    k += 1
-            units = out
+        rule = self.rules.get
+        units = list(units)
+        pairs = [rule(p) for p in zip(units, units[1:])]
+        while (best := min(filter(None, pairs), default=None)) is not None:
+            at = pairs.index(best)
+            while at >= 0:
+                units[at : at + 2] = (best[1],)
+                del pairs[at]
+                if at:
+                    pairs[at - 1] = rule((units[at - 1], best[1]))
+                if at < len(pairs):
+                    pairs[at] = rule((best[1], units[at + 1]))
+                at = pairs.index(best, at) if best in pairs[at:] else -1
         return units
 
     def stream(self, data: Iterable[int]) -> Iterator[int]:
@@ -162,23 +167,63 @@ class Bpe:
                     yield from self.stream(word.encode())
 
     def known(self, word: str) -> tuple[str, str]:
-        """Ids and token texts of a word, each joined by spaces; short words are remembered up to a bound."""
-        ids = [self.added[word]] if word in self.added else list(self.stream(word.encode()))
-        found = " ".join(map(str, ids)), " ".join(Decoder(self, raw=True).all(ids))
-        if len(word) <= 32:
-            if len(self.words) >= 250_000:
-                self.words.clear()
-            self.words[word] = found
+        """Ids and token texts of a short word, each joined by spaces, remembered in two generations.
+
+        When the younger one is full it becomes the older one, whose words come back when
+        they are met: words in use are never all forgotten at once.
+        """
+        found = self.older.get(word)
+        if found is None:
+            ids = [self.added[word]] if word in self.added else list(self.stream(word.encode()))
+            found = " ".join(map(str, ids)), " ".join(map(self.raw.push, ids))
+        if len(self.words) >= REMEMBERED:
+            self.older, self.words = self.words, {}
+        self.words[word] = found
         return found
 
-    def both(self, text: str) -> tuple[str, str]:
-        """Ids of a text joined by spaces, and the text decoded from them as the vocabulary spells it."""
-        words = []
-        for added, part in self.pieces(text) if self.special and "<|" in text else ((False, text),):
-            words += [part] if added else words_of(self.normal(part))
+    def both(self, text: str) -> Iterator[tuple[list[str], list[str]]]:
+        """Parts of a text's ids, and of what they decode to as the vocabulary spells it, in order.
+
+        The text passes in windows that end at a space, which no word spans; words longer
+        than `LONG` leave the encoder token by token.
+        """
         memo, known = self.words.get, self.known
-        found = [memo(w) or known(w) for w in words]
-        return " ".join([f[0] for f in found]), " ".join([f[1] for f in found])
+        start = 0
+        while start < len(text):
+            stop = text.find(" ", start + WINDOW)
+            window = text[start:] if stop < 0 else text[start:stop]
+            start = len(text) if stop < 0 else stop
+            words = []
+            for added, part in self.pieces(window) if self.special and "<|" in window else ((False, window),):
+                words += [part] if added else words_of(self.normal(part))
+            if max(map(len, words), default=0) <= LONG:
+                found = [memo(w) or known(w) for w in words]
+                memo = self.words.get
+                yield [f[0] for f in found], [f[1] for f in found]
+                continue
+            for word in words:
+                if len(word) <= LONG:
+                    one, two = known(word)
+                    yield [one], [two]
+                    continue
+                ids = self.stream(word.encode())
+                while part := list(islice(ids, WINDOW)):
+                    yield list(map(str, part)), list(map(self.raw.push, part))
+            memo = self.words.get
+
+    def digests(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, sha256 of them joined by spaces, and sha256 of the decoded text in UTF-8."""
+        count, digests, gap = 0, (sha256(), sha256()), ""
+        for parts in self.both(text):
+            if not parts[0]:
+                continue
+            for digest, part in zip(digests, parts):
+                joined = " ".join(part)
+                digest.update((gap + joined).encode())
+                if part is parts[0]:
+                    count += joined.count(" ") + 1
+            gap = " "
+        return count, digests[0].hexdigest(), digests[1].hexdigest()
 
 
 class Decoder:
@@ -260,19 +305,15 @@ def round_trip(docs: DataFrame, path: str | None = None, text_col: str = "text",
 
     Digests of the decimal ids joined by single spaces and of the decoded text in
     UTF-8. A null text is empty and has no tokens. Rows stay in place and pass one
-    by one; words met before are looked up. Repeated rows, rows without id and other
+    by one, window by window, into running digests; words met before are looked up. Repeated rows, rows without id and other
     columns of any name change nothing; an empty table gives an empty result.
     """
     path = path or public_tokenizers.path("word_bpe_49k.json")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = vocabulary(path)
-        count, first, second = [], [], []
-        for text in batch.column(1).to_pylist():
-            ids, decoded = bpe.both(text.decode())
-            count.append(ids.count(" ") + 1 if ids else 0)
-            first.append(sha256(ids.encode()).hexdigest())
-            second.append(sha256(decoded.encode()).hexdigest())
+        rows = [bpe.digests(text.decode()) for text in batch.column(1).to_pylist()]
+        count, first, second = zip(*rows)
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(count, pa.int64()), pa.array(first), pa.array(second)],
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
