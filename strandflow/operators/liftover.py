@@ -7,10 +7,11 @@ from ..functions.text import reverse_complement
 from .joins import range_join
 
 
-def lift_over(variants: DataFrame, blocks: DataFrame) -> DataFrame:
+def lift_over(variants: DataFrame, blocks: DataFrame, first: int = 1) -> DataFrame:
     """Every variant once, with its new place or the reason it has none.
 
-    Blocks: chrom, src_start, src_end (half-open), tgt_chrom, tgt_start, strand.
+    Blocks: chrom, src_start, src_end, tgt_chrom, tgt_start (half-open, from 0), strand.
+    `first` is the number of the first base in `pos` (1 in call files), old and new.
     On the minus strand the place is mirrored inside the block and the alleles
     are reverse-complemented. A variant whose reference allele leaves a block has
     no target in it. Hits are counted per variant with partial
@@ -19,14 +20,14 @@ def lift_over(variants: DataFrame, blocks: DataFrame) -> DataFrame:
     site = ["chrom", "pos", "ref", "alt"]
     rest = [c for c in variants.columns if c not in site]
     hits = range_join(
-        variants, blocks, start="src_start", end="src_end", how="left", spread_by=["pos", "alt"]
+        variants.withColumn("_at", F.col("pos") - first), blocks, pos="_at", start="src_start", end="src_end", how="left", spread_by=["pos", "alt"]
     )
     minus = F.col("strand") == "-"
-    whole = F.col("pos") + F.length("ref") <= F.col("src_end")
+    whole = F.col("_at") + F.length("ref") <= F.col("src_end")
     place = F.struct(
         F.col("tgt_chrom").alias("new_chrom"),
-        F.when(minus, F.col("tgt_start") + (F.col("src_end") - F.length("ref") - F.col("pos")))
-        .otherwise(F.col("tgt_start") + (F.col("pos") - F.col("src_start")))
+        F.when(minus, F.col("tgt_start") + (F.col("src_end") - F.length("ref") - F.col("_at")) + first)
+        .otherwise(F.col("tgt_start") + (F.col("_at") - F.col("src_start")) + first)
         .alias("new_pos"),
         F.when(minus, reverse_complement(F.col("ref"))).otherwise(F.col("ref")).alias("new_ref"),
         F.when(minus, reverse_complement(F.col("alt"))).otherwise(F.col("alt")).alias("new_alt"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.genotype import is_het, is_hom_alt, variant_type
 from ..functions.missing import drop_missing, ratio, to_number
 from ..functions.text import joined_key, pieces
-from .joins import range_join, spread_join
+from .joins import overlap_join, spread_join
 from .ordered import exact_quantiles
 
 SITE = ["chrom", "pos", "ref", "alt"]
@@ -52,10 +52,18 @@ def in_truth(variants: DataFrame, *resources: DataFrame) -> DataFrame:
     return variants.join(pool.distinct(), SITE, "left_semi")
 
 
-def in_intervals(variants: DataFrame, intervals: DataFrame) -> DataFrame:
-    """Variants that start inside any interval; each is kept once."""
+def in_intervals(variants: DataFrame, intervals: DataFrame, first: int = 1) -> DataFrame:
+    """Variants whose reference allele touches any interval; each row is kept once.
+
+    Intervals are half-open and count from 0; `first` is the number of the first base
+    in `pos` (1 in call files).
+    """
     bounds = intervals.select("chrom", "iv_start", "iv_end")
-    return range_join(variants, bounds, how="left_semi", spread_by=["pos"])
+    placed = variants.withColumns(
+        {"_start": F.col("pos") - first, "_end": F.col("pos") - first + F.length("ref")}
+    )
+    kept = overlap_join(placed, bounds, start="_start", end="_end", how="left_semi", spread_by=["pos", "alt"])
+    return kept.drop("_start", "_end")
 
 
 def merge_calls(geno: DataFrame) -> DataFrame:

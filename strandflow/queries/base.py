@@ -92,6 +92,23 @@ SELECT event_id AS name, event_type AS library, CAST(user_id % 5 + 1 AS INT) AS
        CAST(user_id % 60 AS INT) AS mapq, CAST(user_id AS BIGINT) AS qual_sum,
        concat(substr('ACGT', CAST(event_id % 4 AS INT) + 1, 1), substr('CATG', CAST(user_id % 4 AS INT) + 1, 1), 'GT') AS seq
 FROM events""",
+    "v_alns": """
+SELECT event_id AS name, event_type AS sample, CAST(user_id % 5 + 1 AS INT) AS chrom,
+       CAST(floor(value * 40) AS BIGINT) AS pos, CAST(event_id % 2 AS INT) AS strand, CAST(user_id % 60 AS INT) AS mapq,
+       CASE CAST(user_id % 8 AS INT) WHEN 0 THEN '12M' WHEN 1 THEN '3S9M' WHEN 2 THEN '5M2I5M' WHEN 3 THEN '4M3D8M'
+            WHEN 4 THEN '6M500N6M' WHEN 5 THEN '2S4M1I3M2D2M' WHEN 6 THEN '2H1I4=2X5M1P' ELSE '*' END AS cigar,
+       concat(substr('ACGTACG', CAST(event_id % 4 AS INT) + 1, 3), substr('CATGGAC', CAST(user_id % 4 AS INT) + 1, 4),
+              substr('TTGACCA', CAST(event_id % 3 AS INT) + 1, 5)) AS seq,
+       concat(substr('5:?DI5:', CAST(event_id % 3 AS INT) + 1, 5), substr('?DI5:?DII', CAST(user_id % 3 AS INT) + 1, 7)) AS qual
+FROM events""",
+    "v_exons": """
+SELECT n_name AS gene, CAST(n_nationkey % 5 + 1 AS INT) AS chrom, CASE WHEN n_nationkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
+       CAST(n_nationkey * 700 + k * 300 AS BIGINT) AS iv_start, CAST(n_nationkey * 700 + k * 300 + 90 + n_regionkey * 40 AS BIGINT) AS iv_end
+FROM nation CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) AS e""",
+    "v_reference": """
+SELECT CAST(p_partkey % 5 + 1 AS INT) AS chrom, CAST(floor((p_partkey - 1) / 5) * 16 AS BIGINT) AS start,
+       substr(concat('ACGTTGCA', 'CCATGGAT', 'TTGACCAA', 'GGTTAACC'), CAST(p_size % 16 AS INT) + 1, 16) AS text
+FROM part""",
     "v_sets": """
 SELECT c_custkey AS id,
        CAST(MAX(CASE WHEN substr(o_orderpriority, 1, 1) = '1' THEN 1 ELSE 0 END) AS INT) AS s1,

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import reads
+from ..operators import aligned, reads
 from ..operators.ordered import global_index
 from ..shared import new_folder
 from ..sources import fastq, sinks
@@ -184,3 +184,85 @@ def fastq_records(spark, d):
 def row_index(spark, d):
     kept = table(spark, d, "documents").where(~F.col("text").contains("N")).select("doc_id")
     return global_index(kept, "doc_id")
+
+
+# Alignment operations walked one after the other, as rows: lengths before an operation give its place.
+WALK = """ops AS (
+ SELECT a.*, k, CAST(list_extract(regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 1), k) AS BIGINT) AS n,
+  list_extract(regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 2), k) AS op
+ FROM v_alns a, (SELECT unnest([1, 2, 3, 4, 5, 6, 7, 8]) AS k) AS i WHERE cigar <> '*' AND k <= len(regexp_extract_all(cigar, '[0-9]+[MIDNSHP=X]'))),
+walk AS (
+ SELECT *, CAST(pos + COALESCE(SUM(CASE WHEN op IN ('M', 'D', 'N', '=', 'X') THEN n ELSE 0 END) OVER w, 0) AS BIGINT) AS seg_start,
+  CAST(COALESCE(SUM(CASE WHEN op IN ('M', 'I', 'S', '=', 'X') THEN n ELSE 0 END) OVER w, 0) AS BIGINT) AS off
+ FROM ops WINDOW w AS (PARTITION BY name ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+base AS (
+ SELECT name, sample, chrom, strand, mapq, seq, qual, seg_start + j AS pos, off + j + 1 AS nth, substr(seq, CAST(off + j + 1 AS INT), 1) AS base,
+  CASE WHEN strand = 1 THEN 12 - off - j ELSE off + j + 1 END AS cycle, ascii(substr(qual, CAST(off + j + 1 AS INT), 1)) - 33 AS quality
+ FROM walk, (SELECT unnest(range(0, 12)) AS j) AS s WHERE op IN ('M', '=', 'X') AND j < n)"""
+
+
+@register(
+    "A31_segments",
+    f""", {WALK} SELECT name, op, CAST(seg_start AS BIGINT) AS start, CAST(seg_start + CASE WHEN op IN ('M', 'D', 'N', '=', 'X') THEN n ELSE 0 END AS BIGINT) AS "end", CAST(off AS INT) AS "at" FROM walk""",
+    "v_alns",
+)
+def aligned_segments(spark, d):
+    return aligned.segments(view(spark, d, "v_alns").select("name", "pos", "cigar"))
+
+
+@register(
+    "A31_pileup",
+    f""", {WALK}, every AS (
+ SELECT sample, chrom, pos, base FROM base WHERE mapq >= 20 AND quality >= 21
+ UNION ALL SELECT sample, chrom, seg_start + j, '-' FROM walk, (SELECT unnest(range(0, 12)) AS j) AS s WHERE op = 'D' AND j < n AND mapq >= 20
+ UNION ALL SELECT sample, chrom, seg_start - 1, '+' FROM walk WHERE op = 'I' AND seg_start > pos AND mapq >= 20)
+SELECT sample, chrom, pos, COUNT(*) FILTER (base = 'A') AS a, COUNT(*) FILTER (base = 'C') AS c, COUNT(*) FILTER (base = 'G') AS g,
+ COUNT(*) FILTER (base = 'T') AS t, COUNT(*) FILTER (base = '-') AS deleted, COUNT(*) FILTER (base = '+') AS inserted FROM every GROUP BY sample, chrom, pos""",
+    "v_alns",
+)
+def pileup(spark, d):
+    return aligned.pileup(view(spark, d, "v_alns"), min_quality=21)
+
+
+REV = "reverse(translate(seq, 'ACGT', 'TGCA'))"
+COVARIATES = f"""{WALK}, cov_bases AS (
+ SELECT b.name, b.sample AS read_group, b.quality, CAST(b.cycle AS INT) AS cycle, b.chrom, b.pos,
+  concat(CASE WHEN b.cycle = 1 THEN 'N' ELSE substr(CASE WHEN b.strand = 1 THEN {REV} ELSE seq END, CAST(b.cycle - 1 AS INT), 1) END,
+   substr(CASE WHEN b.strand = 1 THEN {REV} ELSE seq END, CAST(b.cycle AS INT), 1)) AS context,
+  b.base <> substr(r.text, CAST(b.pos - r.start + 1 AS INT), 1) AS mismatch
+ FROM base b JOIN v_reference r ON b.chrom = r.chrom AND r.start <= b.pos AND b.pos < r.start + 16)"""
+
+
+def _covariate_bases(spark, d):
+    named = view(spark, d, "v_alns").withColumn("read_group", F.col("sample"))
+    return aligned.covariate_bases(named, view(spark, d, "v_reference"), 16)
+
+
+@register(
+    "A25_read_covariates",
+    f""", {COVARIATES} SELECT read_group, quality, cycle, context, COUNT(*) AS observations, COUNT(*) FILTER (mismatch) AS mismatches,
+ round(-10 * log10((COUNT(*) FILTER (mismatch) + 1.0) / (COUNT(*) + 2.0)), 6) AS empirical
+ FROM cov_bases c WHERE NOT EXISTS (SELECT 1 FROM v_alns k WHERE k.chrom = c.chrom AND k.pos = c.pos AND k.mapq >= 50)
+ GROUP BY read_group, quality, cycle, context""",
+    "v_alns v_reference",
+)
+def read_covariates(spark, d):
+    known = view(spark, d, "v_alns").where("mapq >= 50").select("chrom", "pos")
+    return rounded(reads.covariate_table(_covariate_bases(spark, d), known))
+
+
+GENE_HITS = """hits AS (
+ SELECT w.sample, w.name, COUNT(DISTINCT e.gene) AS genes, MIN(e.gene) AS gene FROM walk w JOIN v_exons e
+ ON w.chrom = e.chrom AND w.op IN ('M', '=', 'X') AND e.iv_start < w.seg_start + w.n AND w.seg_start < e.iv_end {0} GROUP BY w.sample, w.name)
+SELECT sample, gene, COUNT(*) AS n FROM hits WHERE genes = 1 GROUP BY sample, gene"""
+OPPOSITE = "AND (w.strand = 0) <> (e.strand = '+')"
+
+
+@register("J08_exon_counts", f", {WALK}, {GENE_HITS.format('')}", "v_alns v_exons")
+def exon_counts(spark, d):
+    return aligned.exon_counts(view(spark, d, "v_alns"), view(spark, d, "v_exons"))
+
+
+@register("J08_stranded_exon_counts", f", {WALK}, {GENE_HITS.format(OPPOSITE)}", "v_alns v_exons")
+def stranded_exon_counts(spark, d):
+    return aligned.exon_counts(view(spark, d, "v_alns"), view(spark, d, "v_exons"), "opposite")

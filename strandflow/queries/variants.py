@@ -309,7 +309,7 @@ def in_truth(spark, d):
 
 @register(
     "J07_in_intervals",
-    f"SELECT sample, {SITE} FROM v_geno g WHERE EXISTS (SELECT 1 FROM v_intervals i WHERE i.chrom = g.chrom AND i.iv_start <= g.pos AND g.pos < i.iv_end)",
+    f"SELECT sample, {SITE} FROM v_geno g WHERE EXISTS (SELECT 1 FROM v_intervals i WHERE i.chrom = g.chrom AND i.iv_start < g.pos - 1 + length(g.ref) AND g.pos - 1 < i.iv_end)",
     "v_geno v_intervals",
 )
 def in_intervals(spark, d):
@@ -404,8 +404,8 @@ def autozygous_runs(spark, d):
 
 HITS = """lifted AS (
  SELECT v.chrom, v.pos, v.ref, v.alt, COUNT(c.chrom) AS hits, MAX(c.tgt_chrom) AS tgt_chrom,
-  MAX(CASE WHEN c.strand = '+' THEN c.tgt_start + v.pos - c.src_start ELSE c.tgt_start + c.src_end - 1 - v.pos END) AS np, MAX(c.strand) AS strand
- FROM v_sites v LEFT JOIN v_chain c ON v.chrom = c.chrom AND c.src_start <= v.pos AND v.pos < c.src_end
+  MAX(CASE WHEN c.strand = '+' THEN c.tgt_start + v.pos - c.src_start ELSE c.tgt_start + c.src_end - v.pos + 1 END) AS np, MAX(c.strand) AS strand
+ FROM v_sites v LEFT JOIN v_chain c ON v.chrom = c.chrom AND c.src_start <= v.pos - 1 AND v.pos - 1 < c.src_end
  GROUP BY v.chrom, v.pos, v.ref, v.alt)"""
 RC = "reverse(translate({0}, 'ACGT', 'TGCA'))"
 ACCEPT = f"""SELECT {SITE}, tgt_chrom AS new_chrom, np AS new_pos,

@@ -118,14 +118,14 @@ def test_chain_and_liftover(spark, tmp_path):
         ("chr2", 0, 50, "chrB", 450, "-"),
     ]
     sites = spark.createDataFrame(
-        [("chr1", 12, "A", "G"), ("chr1", 42, "A", "G"), ("chr2", 0, "AC", "A"), ("chr3", 1, "A", "G"),
-         ("chr1", 39, "A", "G"), ("chr1", 38, "ACG", "A")],
+        [("chr1", 13, "A", "G"), ("chr1", 43, "A", "G"), ("chr2", 1, "AC", "A"), ("chr3", 2, "A", "G"),
+         ("chr1", 40, "A", "G"), ("chr1", 39, "ACG", "A"), ("chr1", 10, "A", "G")],
         "chrom string, pos bigint, ref string, alt string",
     )
     lifted = liftover.lift_over(sites, blocks)
     good = rows(liftover.accepted(lifted).select("pos", "new_chrom", "new_pos", "new_ref", "new_alt"), "pos")
-    assert good == [(0, "chrB", 498, "GT", "T"), (12, "chrA", 102, "A", "G"), (39, "chrA", 129, "A", "G")]
-    assert rows(liftover.rejected(lifted).select("pos", "reject_reason"), "pos") == [(1, "NoTarget"), (38, "NoTarget"), (42, "NoTarget")]
+    assert good == [(1, "chrB", 499, "GT", "T"), (13, "chrA", 103, "A", "G"), (40, "chrA", 130, "A", "G")]
+    assert rows(liftover.rejected(lifted).select("pos", "reject_reason"), "pos") == [(2, "NoTarget"), (10, "NoTarget"), (39, "NoTarget"), (43, "NoTarget")]
     assert lifted.count() == sites.count()
 
 
