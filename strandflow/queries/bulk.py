@@ -156,7 +156,28 @@ def _fit(spark, d):
 
 @register("G06_fitted_contrast")
 def fitted(spark, d):
-    return _fit(spark, d).drop("cooks")
+    return _fit(spark, d).drop("cooks", "used")
+
+
+@register(
+    "G06_score_equations",
+    "SELECT gene, g, TRUE AS zero, TRUE AS converged FROM (SELECT gene FROM v_bulk GROUP BY gene HAVING SUM(n) > 0) AS t, (SELECT unnest([0, 1]) AS g) AS s",
+    "v_bulk",
+)
+def score_equations(spark, d):
+    """The fit solves its equations: the derivative by both group means is zero for every gene."""
+    bulk_rows = _bulk(spark, d).select("sample", "condition", "gene", "n")
+    fitted = _fit(spark, d)
+    scores = contrast.score_equations(fitted, bulk_rows)
+    return scores.join(fitted.select("gene", "converged"), "gene").select(
+        "gene", "g", (F.abs("score") < 1e-3).alias("zero"), "converged"
+    )
+
+
+@register("G06_rejection_cuts")
+def rejection_cuts(spark, d):
+    """Rejections by the step-up rule for every cut of low means."""
+    return contrast.rejection_cut(_fit(spark, d))
 
 
 @register("G06_shrunken_changes")
