@@ -15,7 +15,7 @@ TABLES = [
 VIEWS = {
     "v_expr": """
 SELECT l_suppkey AS cell, l_partkey AS gene, CAST(SUM(l_quantity) AS BIGINT) AS n
-FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_suppkey, l_partkey""",
+FROM lineitem GROUP BY l_suppkey, l_partkey""",
     "v_cells": """
 SELECT s_suppkey AS cell, s_name AS barcode, CAST(s_nationkey % 5 AS INT) AS cluster,
        CASE WHEN s_nationkey % 2 = 0 THEN 'control' ELSE 'patient' END AS condition
@@ -116,7 +116,7 @@ SELECT c_custkey AS id,
        CAST(MAX(CASE WHEN substr(o_orderpriority, 1, 1) = '3' THEN 1 ELSE 0 END) AS INT) AS s3,
        CAST(MAX(CASE WHEN substr(o_orderpriority, 1, 1) = '4' THEN 1 ELSE 0 END) AS INT) AS s4,
        CAST(MAX(CASE WHEN substr(o_orderpriority, 1, 1) = '5' THEN 1 ELSE 0 END) AS INT) AS s5
-FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderstatus = 'F' GROUP BY c_custkey""",
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey""",
     "v_pred": """
 SELECT l_linestatus AS var_type,
        CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS y,
@@ -131,7 +131,7 @@ FROM lineitem GROUP BY l_suppkey % 6, l_returnflag, l_partkey % 200, l_linenumbe
 SELECT l_partkey AS event, CAST(l_suppkey % 6 AS INT) AS sample,
        CASE WHEN l_suppkey % 6 < 3 THEN 'control' ELSE 'patient' END AS condition,
        CAST(SUM(CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0 END) AS BIGINT) AS inc,
-       CAST(SUM(CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END) AS BIGINT) AS skip
+       CAST(SUM(CASE WHEN l_returnflag <> 'A' THEN l_quantity ELSE 0 END) AS BIGINT) AS skip
 FROM lineitem GROUP BY l_partkey, l_suppkey % 6""",
     "v_listing": """
 SELECT DISTINCT o_custkey AS id, o_orderpriority AS suffix FROM orders""",

@@ -89,9 +89,9 @@ def default_floor(spark, d):
     )
 
 
-@register("P14_cells_within_qc", f", {QC} SELECT cell, total_counts, n_genes, round(pct_flagged, 6) AS pct_flagged FROM qc WHERE n_genes > 180 AND n_genes < 200 AND pct_flagged < 4.5", "v_expr v_cells v_genes")
+@register("P14_cells_within_qc", f", {QC} SELECT cell, total_counts, n_genes, round(pct_flagged, 6) AS pct_flagged FROM qc WHERE n_genes > 188 AND n_genes < 530 AND pct_flagged < 4.5", "v_expr v_cells v_genes")
 def within_qc(spark, d):
-    return rounded(cells.within_qc(_qc(spark, d), 180, 200, 4.5))
+    return rounded(cells.within_qc(_qc(spark, d), 188, 530, 4.5))
 
 
 @register(

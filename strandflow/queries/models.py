@@ -308,21 +308,23 @@ def cluster_differences(spark, d):
 @register(
     "A29_cluster_p",
     f""", {PL}, st AS (SELECT cluster, SUM((n - e) * (n - e) / e) AS chi2, (COUNT(DISTINCT intron) - 1) * (COUNT(DISTINCT condition) - 1) AS df FROM ex GROUP BY cluster)
-SELECT cluster, df, round(exp(-chi2 / 2) * list_sum(list_transform(range(df // 2), lambda i: pow(chi2 / 2, i) / factorial(CAST(i AS INT)))), 6) + 0.0 AS p FROM st WHERE df % 2 = 0""",
+SELECT cluster, df, round(exp(-chi2 / 2) * list_sum(list_transform(range(df // 2), lambda i: pow(chi2 / 2, i) / factorial(CAST(i AS INT)))), 6) + 0.0 AS p FROM st WHERE df % 2 = 0
+UNION ALL SELECT cluster, df, CASE WHEN df = 0 THEN NULL WHEN chi2 <= 1e-9 THEN 1.0 ELSE round(1 - list_sum(list_transform(range(0, CAST(ceil(chi2 / 2 + 40 * sqrt(chi2) + 100) AS BIGINT)),
+ lambda k: exp((df / 2.0 + k) * ln(chi2 / 2) - chi2 / 2 - lgamma(df / 2.0 + k + 1)))), 6) + 0.0 END AS p FROM st WHERE df % 2 = 1""",
     "v_junctions",
 )
 def cluster_p(spark, d):
     tests = splicing.cluster_differences(_usage(spark, d), _sheet(spark, d))
-    return rounded(tests.where("df % 2 = 0").select("cluster", "df", "p"))
+    return rounded(tests.select("cluster", "df", "p"))
 
 
-@register("J15_joined_splice_results", f", {USAGE}, ef AS (SELECT sample, cluster, intron, usage - (SUM(usage) OVER (PARTITION BY intron) - usage) / (COUNT(*) OVER (PARTITION BY intron) - 1) AS effect FROM us) SELECT sample, cluster, intron, round(effect, 6) + 0.0 AS effect, concat('gene_', split_part(cluster, ':', 1)) AS gene FROM ef", "v_junctions")
+@register("J15_joined_splice_results", f", {PL}, st AS (SELECT cluster, SUM((n - e) * (n - e) / e) AS chi2, (COUNT(DISTINCT intron) - 1) * (COUNT(DISTINCT condition) - 1) AS df FROM ex GROUP BY cluster), ef AS (SELECT sample, cluster, intron, usage - (SUM(usage) OVER (PARTITION BY intron) - usage) / (COUNT(*) OVER (PARTITION BY intron) - 1) AS effect FROM us) SELECT sample, ef.cluster, intron, round(effect, 6) + 0.0 AS effect, concat('gene_', split_part(ef.cluster, ':', 1)) AS gene, df, round(chi2, 4) + 0.0 AS chi2 FROM ef JOIN st ON ef.cluster = st.cluster", "v_junctions")
 def joined_results(spark, d):
     usage = _usage(spark, d)
     tests = splicing.cluster_differences(usage, _sheet(spark, d))
     genes = usage.select("cluster").distinct().withColumn("gene", F.concat(F.lit("gene_"), F.split("cluster", ":")[0]))
     joined = splicing.joined_splice_results(tests, splicing.outlier_introns(usage), genes)
-    return rounded(joined.select("sample", "cluster", "intron", "effect", "gene"))
+    return rounded(joined.select("sample", "cluster", "intron", "effect", "gene", "df", F.round("chi2", 4).alias("chi2")))
 
 
 @register(
