@@ -45,7 +45,9 @@ HEX_RUN = re.compile(rf"{DIGIT}+(?:{BREAK}{DIGIT}+)*")
 PIECE = {TEXT_RUN: re.compile(rf"{LETTER}+"), HEX_RUN: re.compile(rf"{DIGIT}+")}
 LINE_BREAK = re.compile(BREAK)
 PADDING = re.compile("={0,2}")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+# Parts joined by dots; each run of token letters is met once. `{` is `e` and one of sixteen letters in base64.
+DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+)++")
+OBJECT = re.compile(r"e[w-z0-9_-]")
 MARKER = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{1,40})-----")
 PEM_BREAK = re.compile(r"\\[nr]|[\r\n]")
 PEM_BODY = re.compile(r"[A-Za-z0-9+/=\s]*")
@@ -83,7 +85,7 @@ def is_key(data: bytes) -> bool:
     Accepted: RSA (nine integers), DSA (six), EC (integer, octets, tagged
     parameters), wrapped private keys (integer, algorithm, octets), encrypted ones
     (algorithm that is no digest, octets), wrapped public keys (algorithm, bits)
-    and RSA public keys (two integers of which one is long).
+    and RSA public keys (a long integer and a short one, both odd).
     """
     top = der_items(data, 0, len(data))
     if not top or len(top) != 1 or top[0][0] != 0x30:
@@ -99,8 +101,9 @@ def is_key(data: bytes) -> bool:
 
     if tags[:9] == [0x02] * 9 or tags == [0x02] * 6:
         return True
-    if tags == [0x02, 0x02]:
-        return inner[0][2] - inner[0][1] >= 64
+    if tags == [0x02, 0x02]:  # a signature has two long numbers; an exponent is short and odd
+        (_, n, m), (_, e, f) = inner
+        return m - n >= 64 and data[m - 1] % 2 == 1 and 0 < f - e <= 8 and data[f - 1] % 2 == 1
     if tags[:2] == [0x02, 0x04]:
         return len(tags) == 2 or all(tag in (0xA0, 0xA1) for tag in tags[2:])
     if tags[:1] == [0x02] and tags[2:3] == [0x04]:
@@ -150,17 +153,46 @@ def from_base64(text: str) -> bytes | None:
         return None
 
 
-def is_signed_token(text: str) -> bool:
-    """Whether header and claims of a three-part token are JSON objects and the header names its algorithm."""
-    head, claims, sign = text.split(".")
+def _object(part: str) -> dict | None:
+    """The JSON object that a token's part encodes, else None."""
+    if not OBJECT.match(part):
+        return None
     try:
-        parsed = [json.loads(from_base64(part) or b"") for part in (head, claims)]
+        parsed = json.loads(from_base64(part) or b"")
     except (ValueError, RecursionError):
-        return False
-    return (
-        all(isinstance(p, dict) for p in parsed) and isinstance(parsed[0].get("alg"), str)
-        and from_base64(sign) is not None and (bool(sign) or parsed[0]["alg"].lower() == "none")
-    )
+        return None
+    return parsed if isinstance(parsed, dict) else None
+
+
+def token_parts(parts: list[str], at: int) -> int:
+    """How many parts from `at` on are a signed (three) or encrypted (five) token; 0 for none.
+
+    The header is an object that names its algorithm. A signed token has claims, an
+    object, and a signature, empty only for algorithm `none`. An encrypted one names its
+    encryption; key, vector, text and tag follow, of which the key may be empty.
+    """
+    head = _object(parts[at])
+    if head is None or not isinstance(head.get("alg"), str):
+        return 0
+    rest = parts[at + 1 : at + 5]
+    if isinstance(head.get("enc"), str) and len(rest) == 4 and all(rest[1:]) and None not in map(from_base64, rest):
+        return 5
+    if len(rest) < 2 or _object(rest[0]) is None or from_base64(rest[1]) is None:
+        return 0
+    return 3 if rest[1] or head["alg"].lower() == "none" else 0
+
+
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of tokens among parts joined by dots; every part is decoded twice at most."""
+    for m in DOTTED.finditer(text):
+        parts = m[0].split(".")
+        at, k = m.start(), 0
+        while k < len(parts):
+            size = token_parts(parts, k) if OBJECT.match(parts[k]) else 0
+            width = sum(map(len, parts[k : k + max(size, 1)])) + max(size, 1)
+            if size:
+                yield at, at + width - 1
+            at, k = at + width, k + max(size, 1)
 
 
 class Run:
@@ -296,9 +328,8 @@ def _pem(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _confirmed(text: str) -> Iterator[tuple[str, int, int]]:
-    for m in JWT.finditer(text):
-        if is_signed_token(m[0]):
-            yield "jwt", m.start(), m.end()
+    for start, end in _tokens(text):
+        yield "jwt", start, end
     blocks = sorted(_pem(text)) if "-----BEGIN " in text else []
     for start, end in blocks:
         yield "pem", start, end

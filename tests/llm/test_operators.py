@@ -5,6 +5,7 @@ import hashlib
 import json
 import os
 import random
+import time
 import zlib
 
 import brute
@@ -115,6 +116,27 @@ def test_secrets_confirmed_by_structure():
     assert secret_scan.redacted(text, secret_scan.found_in(text), "#") == "token = # and #."
 
 
+def test_tokens_of_every_form_and_what_is_none():
+    code = lambda x: base64.urlsafe_b64encode(x).rstrip(b"=").decode()
+    kinds = lambda t: [s[0] for s in secret_scan.found_in(t) if s[0] not in secret_scan.BASE]
+    claims, sign = code(b'{"sub":"1"}'), code(b"s" * 32)
+    for head in (b'{"alg":"HS256"}', b'{ "alg": "HS256" }', b'{\n  "alg":\t"HS256"\n}', b'{\r\n"typ":"JWT","alg":"ES512"}'):
+        token = f"{code(head)}.{claims}.{sign}"
+        for text in (f"auth {token} end", f"auth {token}.", f"see host.name.{token}, {token}"):
+            found = [s for s in secret_scan.found_in(text) if s[0] == "jwt"]
+            assert [text[s:e] for _, s, e, _ in found] == [token] * text.count(token), text
+    sealed = ".".join([code(b'{"alg":"dir","enc":"A128GCM"}'), "", code(b"v" * 12), code(b"c" * 40), code(b"t" * 16)])
+    assert kinds(f"x {sealed} y") == ["jwt"]
+    assert kinds(f"{code(b'{}')}.{claims}.{sign}") == [] and kinds(f"{code(b'[1]')}.{claims}.{sign}") == []
+    assert kinds("a.b.c.d www.example.com 1.2.3.4 ...") == []
+    number = lambda n, last=1: _der(2, bytes([1] * (n - 1) + [last]))
+    for key, found in ((number(66) + number(66), []), (number(128) + number(3), ["der"]), (number(128) + number(3, 2), [])):
+        assert kinds(base64.b64encode(_der(0x30, key)).decode()) == found
+    for text in ("eyJ" * 400_000, "eyJ." * 300_000, ("eyJ" * 100 + ".") * 3_000, "eyJ-" * 200_000 + ".a.b"):
+        start = time.time()
+        assert kinds(text) == [] and time.time() - start < 20
+
+
 def test_secrets_in_every_key_encoding():
     number = lambda n: _der(2, bytes([1] * n))
     algorithm = _der(0x30, _der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x05\x0d") + _der(0x30, _der(4, b"s" * 8) + number(2)))
