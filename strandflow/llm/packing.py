@@ -189,8 +189,13 @@ def pack_documents(
     docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", tokens: int = 2048,
     end_id: int = 0, with_ids: bool = False, **capacities,
 ) -> DataFrame:
-    """Pieces of all documents and their places; see `pieces`, `plan` and `packed`."""
+    """Pieces of all documents and their places; see `pieces`, `plan` and `packed`.
+
+    Unless `documents` or `cost` is given, those capacities are as large as `tokens` pieces
+    can make them, so that they never raise the number of sequences. Rows without id and
+    repeated rows are packed each for itself; columns of other names are not looked at.
+    """
     path = path or public_tokenizers.path("byte_bpe_50k.json")
     rows = pieces(docs, path, id_col, text_col, tokens, end_id, with_ids)
-    capacities = {"cost": tokens * tokens} | capacities
+    capacities = {"cost": tokens * tokens, "documents": tokens} | capacities
     return packed(rows, ["doc_id", "piece", "start", "ids_crc32"], tokens=tokens, **capacities)
