@@ -25,13 +25,16 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """One document of each class of near copies: the one with the smallest id.
 
     Near copies share 80 % or more of their five-word shingles.
-    Rows that repeat an id stay once. Rows without id stay: they are in no class.
+    Rows that repeat an id and its text stay once, the smallest by its columns; rows of one
+    id with different texts all stay. Rows without id stay: they are in no class. An empty
+    table gives an empty result.
     """
     classes = materialised(set_join.jaccard_classes(docs, n=5, percent=80), "classes")
     gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
     twice = classes.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     again = materialised(twice.select(F.col("doc_id").alias("id")), "twice")
-    once = picked(docs, "doc_id", again).dropDuplicates(["doc_id"])
+    repeated = picked(docs, "doc_id", again).groupBy("doc_id", "text").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    once = repeated.select("row.*")
     return picked(docs, "doc_id", gone.unionByName(again), "left_anti").unionByName(once)
 
 
