@@ -40,9 +40,16 @@ def tsv(spark, d):
     return text.read_table(spark, path, PART_SCHEMA, "\t")
 
 
-@register("S02_wide_counts", "SELECT CAST(gene AS STRING) AS gene, concat('c', CAST(cell AS STRING)) AS cell, CAST(n AS DOUBLE) AS n FROM v_expr", "v_expr")
+@register("S02_wide_counts", """SELECT CASE WHEN gene % 9 = 0 THEN concat('g, "', CAST(gene AS STRING), '"') WHEN gene % 9 = 1 THEN concat('g', chr(10), CAST(gene AS STRING)) ELSE CAST(gene AS STRING) END AS gene,
+ concat('c', CAST(cell AS STRING), CASE WHEN cell % 3 = 0 THEN ', "x"' ELSE '' END) AS cell, CAST(n AS DOUBLE) AS n FROM v_expr""", "v_expr")
 def wide_counts(spark, d):
-    expr = view(spark, d, "v_expr").withColumn("cell", F.concat(F.lit("c"), F.col("cell").cast("string")))
+    """Names with commas, quotes and line breaks, written and read back."""
+    gene, cell = F.col("gene").cast("string"), F.col("cell").cast("string")
+    expr = view(spark, d, "v_expr").select(
+        F.when(F.col("gene") % 9 == 0, F.concat(F.lit('g, "'), gene, F.lit('"')))
+        .when(F.col("gene") % 9 == 1, F.concat(F.lit("g\n"), gene)).otherwise(gene).alias("gene"),
+        F.concat(F.lit("c"), cell, F.when(F.col("cell") % 3 == 0, ', "x"').otherwise("")).alias("cell"), "n",
+    )
     path = new_folder(spark, "wide")
     sinks.write_csv(expr.groupBy("gene").pivot("cell").agg(F.sum("n")).fillna(0), path)
     return text.read_wide_counts(spark, path)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).csv(path)
+    """Comma-separated with a header; texts that need it are quoted, quotes inside doubled."""
+    df.write.options(header=True, escape='"').csv(path)
 
 
 def write_tsv(df: DataFrame, path: str) -> None:

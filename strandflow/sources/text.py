@@ -5,6 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordered import BUCKET, scan
+from ..shared import materialised
+
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
@@ -38,23 +41,72 @@ def read_table(spark: SparkSession, path: str | list[str], schema: str | None =
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 
 
-def read_wide_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Wide gene x cell CSV (first column = gene) as long non-zero counts.
+#: A field and the comma before it: quoted, with doubled quotes inside, or plain up to the next comma.
+FIELD = r'(?s),(?:"(?:[^"]++|"")*+"|[^,"]*+)'
+LINES_AT_ONCE = 1 << 16
+
 
-    The header line gives the cell names; data lines are split as text, so the
-    width of the file is no column limit.
+def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Quoted comma-separated records as file, record (number of its first line, from 0) and fields (array).
+
+    Commas, doubled quotes and line breaks may stand inside quotes. A line begins a record
+    when an even number of quotes stands before it in its file: quotes are counted per line
+    and added up over blocks of lines, so no file passes one task. Records of one line,
+    nearly all, stay where they are; only lines of longer ones are brought together.
+    A text that is no list of fields raises.
     """
-    lines = spark.read.text(path)
-    header = lines.first()["value"]
-    names = F.split(F.lit(header), ",")
-    values = F.split("value", ",")
-    pairs = F.arrays_zip(names.alias("cell"), values.alias("n"))
-    return (
-        lines.where(F.col("value") != F.lit(header))
-        .select(F.get(values, F.lit(0)).alias("gene"), F.explode(F.slice(pairs, 2, 1 << 30)).alias("p"))
-        .select("gene", F.col("p.cell").alias("cell"), F.col("p.n").cast("double").alias("n"))
-        .where(F.col("n") != 0)
+    quotes = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).cast("bigint")
+    lines = numbered_lines(spark, path).withColumns(
+        {"_quotes": quotes, BUCKET: F.floor(F.col("line_no") / LINES_AT_ONCE)}
+    )
+    opened = scan(lines, ["file"], ["line_no"], {"_before": ("sum", "_quotes")}, inclusive=False)
+    starts = F.col("_before") % 2 == 0
+    placed = materialised(
+        opened.withColumn("_start", F.when(starts, F.col("line_no"))).withColumn("_whole", starts & (F.col("_quotes") % 2 == 0)),
+        "lines",
+    )
+    begun = scan(placed, ["file"], ["line_no"], {"record": ("max", "_start")}).where("NOT _whole")
+    long = begun.groupBy("file", "record").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "value"))), lambda x: x["value"]), "\n").alias("value")
+    )
+    every = placed.where("_whole").select("file", F.col("line_no").alias("record"), "value").unionByName(long)
+    led = F.concat(F.lit(","), F.col("value"))
+    found = F.regexp_extract_all(led, F.lit(FIELD), F.lit(0))
+    whole = every.where(F.col("value") != "").withColumn("_found", found).withColumn(
+        "_sound", F.aggregate("_found", F.lit(0).cast("bigint"), lambda n, x: n + F.length(x)) == F.length("value") + 1
+    )
+    plain = lambda x: F.when(
+        x.startswith(',"'), F.replace(F.substring(x, 3, 1 << 30).substr(F.lit(1), F.length(x) - 3), F.lit('""'), F.lit('"'))
+    ).otherwise(F.substring(x, 2, 1 << 30))
+    checked = F.when(F.col("_sound"), F.col("_found")).otherwise(
+        F.raise_error(F.concat(F.lit("no quoted record: "), F.substring("value", 1, 100))).cast("array<string>")
+    )
+    return whole.select("file", "record", F.transform(checked, plain).alias("fields"))
+
+
+def read_wide_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Wide gene x cell tables (first column = gene) as long non-zero counts.
+
+    Each file has its own header; its names may be one fewer than the fields of a row,
+    which then begins with the gene. Names are joined to values by file and place after
+    zeros are gone, so no list of all cells is copied or passes the driver. Values that are
+    no numbers (as NA) are missing. A row of another width raises.
+    """
+    records = materialised(read_records(spark, path), "records")
+    heads = records.where("record = 0")
+    sizes = heads.select("file", F.size("fields").alias("_names"))
+    names = heads.select(F.col("file").alias("_file"), F.posexplode("fields").alias("_place", "cell"))
+    rows = records.where("record > 0").join(sizes, "file").withColumn("_over", F.size("fields") - F.col("_names"))
+    checked = F.when(F.col("_over").isin(0, 1), F.col("fields")).otherwise(
+        F.raise_error(F.concat(F.lit("a row of another width than its header: "), F.get("fields", F.lit(0)))).cast("array<string>")
+    )
+    values = F.transform(checked, lambda x, i: F.struct(i.alias("at"), F.trim(x).try_cast("double").alias("n")))
+    kept = F.filter(values, lambda v: (v["at"] > 0) & (v["n"] != 0))
+    long = rows.select("file", F.get("fields", F.lit(0)).alias("gene"), "_over", F.explode(kept).alias("v")).select(
+        "file", "gene", (F.col("v.at") - F.col("_over")).alias("at"), "v.n"
     )
+    met = (F.col("file") == F.col("_file")) & (F.col("at") == F.col("_place"))
+    return long.join(names, met).select("gene", "cell", "n")
 
 
 def read_manifest(

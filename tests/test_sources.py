@@ -80,6 +80,30 @@ def test_wide_counts(spark, tmp_path):
     assert rows(text.read_wide_counts(spark, path), "gene", "cell") == [("g1", "c2", 2.0), ("g2", "c1", 1.0), ("g2", "c3", 3.0)]
 
 
+def test_wide_counts_with_quotes_and_several_headers(spark, tmp_path):
+    one = put(tmp_path, "w/1.csv", '"","c,1","c ""2""","c\n3"\n"g,1",0,2,0\n"g\n\n""2""",1,NA,3\n\ng3,0,0,4.5\n')
+    two = put(tmp_path, "w/2.csv", '"d1","d2"\n"h1",7,0\n"gene, with\na break",0,8\n')
+    want = [
+        ("g\n\n\"2\"", "c\n3", 3.0), ("g\n\n\"2\"", "c,1", 1.0), ("g,1", 'c "2"', 2.0), ("g3", "c\n3", 4.5),
+        ("gene, with\na break", "d2", 8.0), ("h1", "d1", 7.0),
+    ]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (old, "7"):  # splits that end anywhere, also inside quotes
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            assert sorted(map(tuple, text.read_wide_counts(spark, [one, two]).collect())) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    bad = put(tmp_path, "bad.csv", "gene,a,b\ng,1,2,3,4,5\n")
+    with pytest.raises(Exception, match="another width"):
+        text.read_wide_counts(spark, bad).collect()
+    with pytest.raises(Exception, match="no quoted record"):
+        text.read_wide_counts(spark, put(tmp_path, "worse.csv", 'gene,a\ng"x"y,1\n')).collect()
+    assert text.read_wide_counts(spark, put(tmp_path, "none.csv", "gene,a\n")).count() == 0
+
+
 def test_fastq_quality_line_may_look_like_a_header(spark, tmp_path):
     path = put(tmp_path, "a.fq", "@r1/1\nACGT\n+\n@r9/1\n@r1/2\nTTTT\n+\nIIII\n@r2/1 extra\nGG\n+\nII\n")
     got = rows(fastq.read_fastq(spark, path).select("name", "mate", "seq", "qual"), "name", "mate")
