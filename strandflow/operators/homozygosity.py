@@ -67,9 +67,9 @@ def _log_emissions(af: np.ndarray, dose: np.ndarray, error: float) -> np.ndarray
     return np.log(both * (1 - error) + error / 3)
 
 
-def _log_moves(gaps: np.ndarray) -> np.ndarray:
-    """Log change matrix per marker: [marker, from, to], by distance to the one before."""
-    reach = 1 - np.exp(-gaps * REC_RATE)
+def _log_moves(gaps: np.ndarray, morgans: np.ndarray | None = None) -> np.ndarray:
+    """Log change matrix per marker: [marker, from, to], by distance to the one before, in bases and on the map."""
+    reach = 1 - np.exp(-(gaps * REC_RATE if morgans is None else morgans))
     to_az = np.clip(HW_TO_AZ * np.maximum(gaps, 1), 1e-12, 0.5) + 1e-4 * reach
     to_hw = np.clip(AZ_TO_HW * np.maximum(gaps, 1), 1e-12, 0.5) + 1e-4 * reach
     moves = np.empty((len(gaps), 2, 2))
@@ -96,21 +96,30 @@ def autozygous_runs(geno: DataFrame, error: float = 1e-3) -> DataFrame:
     from both entry states on its own (window, not chromosome, is the unit of
     work); the windows of a chromosome are then chained, at most a few hundred
     small rows, and each window is traced back from its known end state.
-    geno: sample, chrom, pos, dosage (0/1/2), af.
+    geno: sample, chrom, pos, dosage (0/1/2), af, and cm where there is a genetic map
+    (see `genetic_map`): markers then recombine by their distance on it. Without the column, or
+    where it is null, the rate per base is the same everywhere.
     """
     chunk = ["sample", "chrom", BUCKET]
     marked = geno.where(F.col("dosage") >= 0).withColumn(BUCKET, F.floor(F.col("pos") / WINDOW_BASES))
-    bounds = marked.groupBy(*chunk).agg(F.max("pos").alias("last_pos"))
+    if "cm" not in geno.columns:
+        marked = marked.withColumn("cm", F.lit(None).cast("double"))
+    marked = marked.withColumn("cm", F.coalesce("cm", F.col("pos") * (100 * REC_RATE)).cast("double"))
+    bounds = marked.groupBy(*chunk).agg(F.max("pos").alias("last_pos"), F.max("cm").alias("last_cm"))
     order = Window.partitionBy("sample", "chrom").orderBy(BUCKET)
-    entries = bounds.withColumn("prev_pos", F.lag("last_pos").over(order)).drop("last_pos")
+    entries = bounds.withColumns(
+        {"prev_pos": F.lag("last_pos").over(order), "prev_cm": F.lag("last_cm").over(order)}
+    ).drop("last_pos", "last_cm")
     linked = marked.join(entries, chunk)
 
     def steps_of(pdf: pd.DataFrame) -> np.ndarray:
         pos = pdf["pos"].to_numpy(dtype="float64")
         prev = pdf["prev_pos"].iloc[0]
         gaps = np.diff(pos, prepend=pos[0] if pd.isna(prev) else prev)
+        cm, prev_cm = pdf["cm"].to_numpy(dtype="float64"), pdf["prev_cm"].iloc[0]
+        morgans = np.maximum(np.diff(cm, prepend=cm[0] if pd.isna(prev_cm) else prev_cm), 0) / 100
         emit = _log_emissions(pdf["af"].to_numpy(dtype="float64"), pdf["dosage"].to_numpy(), error)
-        return _log_moves(gaps) + emit[:, None, :]
+        return _log_moves(gaps, morgans) + emit[:, None, :]
 
     def summarize(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")

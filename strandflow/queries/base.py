@@ -108,6 +108,10 @@ FROM nation CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) AS
     "v_reference": """
 SELECT CAST(p_partkey % 5 + 1 AS INT) AS chrom, CAST(floor((p_partkey - 1) / 5) * 16 AS BIGINT) AS start,
        substr(concat('ACGTTGCA', 'CCATGGAT', 'TTGACCAA', 'GGTTAACC'), CAST(p_size % 16 AS INT) + 1, 16) AS text
+FROM part""",
+    "v_map": """
+SELECT CAST(p_partkey % 22 + 1 AS STRING) AS chrom, CAST(p_partkey * 300 AS BIGINT) AS pos,
+       floor(p_partkey / 22) * 0.05 + floor(p_partkey / 66) * 0.4 AS cm
 FROM part""",
     "v_sets": """
 SELECT c_custkey AS id,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.genotype import dosage
 from ..functions.missing import drop_missing, fill_zero, to_number
 from ..functions.text import joined_key, pieces, reverse_complement, tag_value
-from ..operators import callreport, homozygosity, liftover, variants
+from ..operators import callreport, genetic_map, homozygosity, liftover, variants
 from .base import register, rounded, view
 
 SITE = "chrom, pos, ref, alt"
@@ -402,6 +402,30 @@ def autozygous_runs(spark, d):
     return homozygosity.autozygous_runs(joined)
 
 
+@register(
+    "S13_map_positions",
+    """, s AS (SELECT DISTINCT chrom, pos FROM v_geno),
+j AS (SELECT s.chrom, s.pos, (SELECT MAX(m.pos) FROM v_map m WHERE m.chrom = s.chrom AND m.pos <= s.pos) AS p0,
+ (SELECT MIN(m.pos) FROM v_map m WHERE m.chrom = s.chrom AND m.pos >= s.pos) AS p1 FROM s)
+SELECT j.chrom, j.pos, round(CASE WHEN p0 IS NULL THEN b.cm WHEN p1 IS NULL OR p0 = p1 THEN a.cm
+ ELSE a.cm + (b.cm - a.cm) * (CAST(j.pos - p0 AS DOUBLE) / (p1 - p0)) END, 6) + 0.0 AS cm
+FROM j LEFT JOIN v_map a ON a.chrom = j.chrom AND a.pos = j.p0 LEFT JOIN v_map b ON b.chrom = j.chrom AND b.pos = j.p1""",
+    "v_geno v_map",
+)
+def map_positions(spark, d):
+    """Every called site's place on the genetic map."""
+    sites = view(spark, d, "v_geno").select("chrom", "pos").distinct()
+    return rounded(genetic_map.with_map_position(sites, view(spark, d, "v_map")))
+
+
+@register("W07_autozygous_runs_by_map")
+def autozygous_by_map(spark, d):
+    geno = variants.annotate_frequency(view(spark, d, "v_geno"), view(spark, d, "v_af")).select(
+        "sample", "chrom", "pos", dosage().alias("dosage"), F.coalesce("af", F.lit(0.5)).alias("af")
+    )
+    return homozygosity.autozygous_runs(genetic_map.with_map_position(geno, view(spark, d, "v_map")))
+
+
 HITS = """lifted AS (
  SELECT v.chrom, v.pos, v.ref, v.alt, COUNT(c.chrom) AS hits, MAX(c.tgt_chrom) AS tgt_chrom,
   MAX(CASE WHEN c.strand = '+' THEN c.tgt_start + v.pos - c.src_start ELSE c.tgt_start + c.src_end - v.pos + 1 END) AS np, MAX(c.strand) AS strand

@@ -148,3 +148,16 @@ def read_per_file(
         .select("*", F.col("_metadata.file_path").alias("_path"))
     )
     return rows.withColumn(name, F.regexp_extract("_path", pattern, 1)).drop("_path")
+
+
+def read_genetic_map(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """chrom, pos, rate, cm of map files, one per chromosome: a header, then place, rate and map place by blanks.
+
+    The chromosome stands in the file name, between `chr` and the next underscore or dot.
+    """
+    lines = spark.read.text(path).select("value", F.regexp_extract("_metadata.file_name", "chr([^_.]+)", 1).alias("chrom"))
+    parts = F.split(F.trim("value"), r"\s+")
+    return lines.select(
+        "chrom", F.get(parts, F.lit(0)).try_cast("bigint").alias("pos"), F.get(parts, F.lit(1)).try_cast("double").alias("rate"),
+        F.get(parts, F.lit(2)).try_cast("double").alias("cm"),
+    ).where("pos IS NOT NULL")

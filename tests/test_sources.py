@@ -1,5 +1,6 @@
 """Sources and sinks on small hand-written files."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,3 +225,29 @@ def test_written_report_uses_na(spark):
     assert set(got) == {"Genome", "1"}
     assert got["Genome"]["avgQuality"] == "15.0" and got["Genome"]["meanGQ"] == "25.0" and got["Genome"]["avgDepth"] == "6.0"
     assert got["1"]["TSTV"] == "NA" and got["1"]["HeterozygousHomozygousRatio"] == "NA" and got["1"]["Gender"] == "U"
+
+
+def test_genetic_map_and_places_on_it(spark, tmp_path):
+    from strandflow.operators import genetic_map
+
+    put(tmp_path, "m/genetic_map_chr1_combined_b37.txt", "position COMBINED_rate(cM/Mb) Genetic_Map(cM)\n100 1.0 0.5\n200 2.0 1.5\n400 0 1.5\n")
+    put(tmp_path, "m/genetic_map_chrX_combined_b37.txt", "position COMBINED_rate(cM/Mb) Genetic_Map(cM)\n10 0.5 0\n")
+    points = text.read_genetic_map(spark, str(tmp_path / "m"))
+    assert rows(points, "chrom", "pos") == [("1", 100, 1.0, 0.5), ("1", 200, 2.0, 1.5), ("1", 400, 0.0, 1.5), ("X", 10, 0.5, 0.0)]
+    places = [("1", 50), ("1", 100), ("1", 150), ("1", 200), ("1", 300), ("1", 999), ("X", 5), ("X", 50), ("2", 7), (None, 7), ("1", None), ("1", 150)]
+    sites = spark.createDataFrame([(c, p, k) for k, (c, p) in enumerate(places)], "chrom string, pos bigint, k int")
+    got = [(r.k, r.cm) for r in genetic_map.with_map_position(sites, points).orderBy("k").collect()]
+    assert got == list(enumerate([0.5, 0.5, 1.0, 1.5, 1.5, 1.5, 0.0, 0.0, None, None, None, 1.0]))
+    none = genetic_map.with_map_position(sites, points.limit(0))
+    assert none.where("cm IS NULL").count() == len(places)
+
+
+def test_runs_break_where_the_map_is_long(spark):
+    """The same calls: a hot spot between two stretches changes the best path's cost, a flat map does not."""
+    calls = [("s", "1", 1000 * k, 2 if k % 2 else 0, 0.5) for k in range(400)]
+    geno = spark.createDataFrame(calls, "sample string, chrom string, pos bigint, dosage int, af double")
+    even = geno.withColumn("cm", F.col("pos") * (100 * homozygosity.REC_RATE))
+    plain = rows(homozygosity.autozygous_runs(geno), "start")
+    assert plain and rows(homozygosity.autozygous_runs(even), "start") == plain
+    moves = homozygosity._log_moves(np.array([1000.0, 1000.0]), np.array([0.0, 5.0]))
+    assert moves[1, 1, 0] > moves[0, 1, 0] and np.allclose(np.exp(moves).sum(axis=2), 1)
