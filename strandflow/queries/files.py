@@ -167,7 +167,8 @@ def introns(spark, d):
 @register(
     "S12_chain_blocks",
     """SELECT concat('chr', CAST(c_nationkey AS STRING)) AS chrom, c_custkey * 100 + b.o AS src_start, c_custkey * 100 + b.o + b.w AS src_end, 'chrQ' AS tgt_chrom,
- CASE WHEN c_custkey % 2 = 0 THEN c_custkey * 200 + b.q ELSE 10000000 - (c_custkey * 200 + b.q) - b.w END AS tgt_start, CASE WHEN c_custkey % 2 = 0 THEN '+' ELSE '-' END AS strand
+ CASE WHEN c_custkey % 2 = 0 THEN c_custkey * 200 + b.q ELSE 10000000 - (c_custkey * 200 + b.q) - b.w END AS tgt_start, CASE WHEN c_custkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
+ CAST(1000 AS BIGINT) AS score, CAST(c_custkey AS BIGINT) AS chain
  FROM customer, (VALUES (0, 0, 30), (35, 40, 20), (60, 60, 15)) AS b(o, q, w)""",
 )
 def chain_blocks(spark, d):

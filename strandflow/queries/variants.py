@@ -449,6 +449,37 @@ def lifted(spark, d):
     )
 
 
+BEST = """ranked AS (
+ SELECT v.chrom, v.pos, v.ref, v.alt, c.tgt_chrom, c.strand,
+  CASE WHEN c.strand = '+' THEN c.tgt_start + v.pos - c.src_start ELSE c.tgt_start + c.src_end - v.pos + 1 END AS np,
+  row_number() OVER (PARTITION BY v.chrom, v.pos, v.ref, v.alt ORDER BY c.src_end - c.src_start DESC, c.src_start) AS place
+ FROM v_sites v LEFT JOIN v_chain c ON v.chrom = c.chrom AND c.src_start <= v.pos - 1 AND v.pos - 1 < c.src_end),
+lifted AS (SELECT chrom, pos, ref, alt, tgt_chrom, np, CASE WHEN strand = '+' THEN ref ELSE reverse(translate(ref, 'ACGT', 'TGCA')) END AS nr,
+  CASE WHEN strand = '+' THEN alt ELSE reverse(translate(alt, 'ACGT', 'TGCA')) END AS na FROM ranked WHERE place = 1),
+judged AS (SELECT l.*, CASE WHEN np IS NULL THEN 'NoTarget' WHEN t.text IS NULL THEN 'NoReference'
+  WHEN substr(t.text, CAST(np - t.start AS INT), 1) <> nr THEN 'MismatchedRefAllele' END AS reject_reason
+ FROM lifted l LEFT JOIN v_reference t ON CAST(t.chrom AS VARCHAR) = l.tgt_chrom AND t.start < np AND np <= t.start + length(t.text))"""
+
+
+@register(
+    "J09_best_chain_sites",
+    f", {BEST} SELECT {SITE}, " + ", ".join(
+        f"CASE WHEN reject_reason IS NULL THEN {c} END AS {n}"
+        for c, n in (("tgt_chrom", "new_chrom"), ("np", "new_pos"), ("nr", "new_ref"), ("na", "new_alt"))
+    ) + ", reject_reason FROM judged",
+    "v_sites v_chain v_reference",
+)
+def best_chain_sites(spark, d):
+    """Sites through overlapping chains, the longest block first, compared with the new genome's text."""
+    blocks = view(spark, d, "v_chain").withColumns(
+        {"score": F.col("src_end") - F.col("src_start"), "chain": F.col("src_start")}
+    )
+    reference = view(spark, d, "v_reference").withColumn("chrom", F.col("chrom").cast("string"))
+    lifted = liftover.lift_over(view(spark, d, "v_sites"), liftover.best_chains(blocks))
+    judged = liftover.checked_alleles(lifted, reference)
+    return judged.select("chrom", "pos", "ref", "alt", "new_chrom", "new_pos", "new_ref", "new_alt", "reject_reason")
+
+
 @register(
     "K07_split_output",
     f", {HITS} SELECT 'accepted' AS part, COUNT(*) AS n FROM lifted WHERE hits = 1 UNION ALL SELECT CASE WHEN hits = 0 THEN 'NoTarget' ELSE 'MultipleTargets' END, COUNT(*) FROM lifted WHERE hits <> 1 GROUP BY 1",

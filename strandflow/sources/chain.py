@@ -12,7 +12,8 @@ LINES_PER_RANGE = 4096
 
 
 def read_chain(spark: SparkSession, path: str) -> DataFrame:
-    """Blocks: chrom, src_start, src_end, tgt_chrom, tgt_start, strand (forward coordinates).
+    """Blocks: chrom, src_start, src_end, tgt_chrom, tgt_start, strand (forward coordinates),
+    and the score and id of their chain.
 
     The chain a line belongs to is a running count of header lines, a block's
     place a running sum of sizes and gaps, both taken over ranges of lines.
@@ -33,7 +34,7 @@ def read_chain(spark: SparkSession, path: str) -> DataFrame:
         "chain",
         F.get("f", F.lit(2)).alias("chrom"), number(5).alias("t_start"),
         F.get("f", F.lit(7)).alias("tgt_chrom"), number(8).alias("q_size"), F.get("f", F.lit(9)).alias("strand"),
-        number(10).alias("q_start"),
+        number(10).alias("q_start"), number(1).alias("score"), number(12).alias("id"),
     )
     blocks = numbered.where(F.col("_head") == 0).select(
         "chain", "line_no", BUCKET,
@@ -48,5 +49,5 @@ def read_chain(spark: SparkSession, path: str) -> DataFrame:
     return joined.select(
         "chrom", src.alias("src_start"), (src + F.col("size")).alias("src_end"), "tgt_chrom",
         F.when(F.col("strand") == "-", F.col("q_size") - tgt - F.col("size")).otherwise(tgt).alias("tgt_start"),
-        "strand",
+        "strand", "score", F.col("id").alias("chain"),
     )

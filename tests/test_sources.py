@@ -139,8 +139,8 @@ chain 90 chr2 1000 + 0 50 chrB 500 - 0 50 2
 def test_chain_and_liftover(spark, tmp_path):
     blocks = chain.read_chain(spark, put(tmp_path, "c.chain", CHAIN))
     assert rows(blocks, "chrom", "src_start") == [
-        ("chr1", 10, 40, "chrA", 100, "+"), ("chr1", 45, 65, "chrA", 140, "+"), ("chr1", 70, 75, "chrA", 160, "+"),
-        ("chr2", 0, 50, "chrB", 450, "-"),
+        ("chr1", 10, 40, "chrA", 100, "+", 100, 1), ("chr1", 45, 65, "chrA", 140, "+", 100, 1), ("chr1", 70, 75, "chrA", 160, "+", 100, 1),
+        ("chr2", 0, 50, "chrB", 450, "-", 90, 2),
     ]
     sites = spark.createDataFrame(
         [("chr1", 13, "A", "G"), ("chr1", 43, "A", "G"), ("chr2", 1, "AC", "A"), ("chr3", 2, "A", "G"),
