@@ -9,7 +9,7 @@ from ..functions.missing import drop_missing, float_division
 from ..functions.text import without_version
 from ..shared import materialised
 from .joins import spread_join
-from .ordered import BUCKET, average_ranks, exact_quantiles, scan, value_counts
+from .ordered import BUCKET, average_ranks, exact_quantiles, global_index, scan, value_counts
 
 
 def nonzero_length(df: DataFrame, col: str = "len") -> DataFrame:
@@ -92,53 +92,104 @@ def mean_sd(x: DataFrame) -> DataFrame:
     return spread_join(moments, ranks, ["_key"], ["gene"]).select("gene", "mean", "sd", "rank")
 
 
-def sample_distances(x: DataFrame) -> DataFrame:
-    """Euclidean distance between every two samples.
+#: Samples per side of a product matrix (8 MiB of doubles), genes multiplied at a time.
+SAMPLE_BLOCK = 1024
+GENES_AT_ONCE = 512
 
-    Rows are spread by gene; each task streams its genes and adds up one
-    samples x samples product matrix, so no pairs are written per gene and
-    only one matrix per task is shuffled.
+
+def sample_products(x: DataFrame, block: int = SAMPLE_BLOCK, slices: int | None = None) -> DataFrame:
+    """Columns a, b, dot: sum over genes of x(a) * x(b) for every two samples a <= b; a missing value is zero.
+
+    Samples are numbered and cut into blocks. A task holds one pair of blocks and one slice of
+    the genes, so it adds up one block x block matrix whatever the number of samples, streaming
+    its genes; every value is copied once per block of samples. Genes are sliced just as far as
+    the block pairs alone do not occupy the shuffle's tasks (a single block: one slice per task).
+    Rows without sample, gene or value count as missing; repeated (sample, gene) rows add up.
     """
+    spark = x.sparkSession
+    kind = x.schema["sample"].dataType.simpleString()
+    rows = x.dropna(subset=["sample", "gene", "x"]).groupBy("sample", "gene").agg(F.sum("x").cast("double").alias("x"))
+    names = materialised(global_index(rows.select("sample").distinct(), "sample", "at"), "samples")
+    n = names.count()
+    n_blocks = -(-n // block)
+    pairs = n_blocks * (n_blocks + 1) // 2
+    if slices is None:
+        slices = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // max(pairs, 1)))
+
+    numbered = rows.join(names, "sample").withColumn("_own", F.floor(F.col("at") / block).cast("int"))
+    met = numbered.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks - 1, 0)))))
+    placed = met.select(
+        F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"),
+        F.pmod(F.xxhash64("gene"), F.lit(slices)).cast("int").alias("slice"),
+        F.xxhash64("gene").alias("gene_hash"), F.col("gene"),
+        F.col("_own").alias("own"), F.pmod("at", F.lit(block)).cast("int").alias("place"), "x",
+    )
 
     def products(batches):
-        index: dict = {}
-        total = np.zeros((0, 0))
-        carried = None
+        total, key, held = None, None, None
         for pdf in batches:
-            if carried is not None:
-                pdf = pd.concat([carried, pdf], ignore_index=True)
-            last = pdf["gene"].iloc[-1] if len(pdf) else None
-            carried = pdf[pdf["gene"] == last] if len(pdf) else None
-            total = add(pdf[pdf["gene"] != last], index, total)
-        if carried is not None:
-            total = add(carried, index, total)
-        names = list(index)
-        if names:
-            i, j = np.triu_indices(len(names))
-            swapped = [names[a] > names[b] for a, b in zip(i, j)]
-            first = [names[b] if s else names[a] for a, b, s in zip(i, j, swapped)]
-            second = [names[a] if s else names[b] for a, b, s in zip(i, j, swapped)]
-            yield pd.DataFrame({"a": first, "b": second, "dot": total[i, j]})
-
-    def add(pdf, index, total):
-        if not len(pdf):
-            return total
-        for s in pdf["sample"].unique():
-            index.setdefault(s, len(index))
-        grown = np.zeros((len(index), len(index)))
-        grown[: len(total), : len(total)] = total
-        genes, row = np.unique(pdf["gene"].to_numpy(), return_inverse=True)
-        values = np.zeros((len(genes), len(index)))
-        values[row, pdf["sample"].map(index).to_numpy()] = pdf["x"].to_numpy()
-        return grown + values.T @ values
-
-    sample_type = x.schema["sample"].dataType.simpleString()
-    rows = x.select("sample", "gene", "x").repartition("gene").sortWithinPartitions("gene")
-    dots = rows.mapInPandas(products, f"a {sample_type}, b {sample_type}, dot double")
-    summed = materialised(dots.groupBy("a", "b").agg(F.sum("dot").alias("dot")), "products")
-    norms = summed.where(F.col("a") == F.col("b"))
+            keys = pdf[["i", "j", "slice"]].to_numpy()
+            bounds = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for lo, hi in zip([0, *bounds], [*bounds, len(keys)]):
+                if lo == hi:
+                    continue
+                if key != tuple(keys[lo]):
+                    if key is not None:
+                        total += _product(held, key, block)
+                        yield from _pairs_of(total, key, block, n)
+                    key, total, held = tuple(keys[lo]), np.zeros((block, block)), None
+                part = pdf.iloc[lo:hi] if held is None else pd.concat([held, pdf.iloc[lo:hi]], ignore_index=True)
+                # the last gene may go on in the next batch
+                going_on = (part["gene"] == part["gene"].iloc[-1]).to_numpy()
+                total += _product(part[~going_on], key, block)
+                held = part[going_on]
+        if key is not None:
+            total += _product(held, key, block)
+            yield from _pairs_of(total, key, block, n)
+
+    spread = placed.repartition("i", "j", "slice").sortWithinPartitions("i", "j", "slice", "gene_hash", "gene")
+    dots = spread.mapInPandas(products, "a_at bigint, b_at bigint, dot double").groupBy("a_at", "b_at").agg(F.sum("dot").alias("dot"))
+    first = names.select(F.col("at").alias("a_at"), F.col("sample").cast(kind).alias("a"))
+    second = names.select(F.col("at").alias("b_at"), F.col("sample").cast(kind).alias("b"))
+    return dots.join(first, "a_at").join(second, "b_at").select("a", "b", "dot")
+
+
+def _product(rows: pd.DataFrame, key: tuple, block: int) -> np.ndarray | float:
+    """One task's whole genes as a block x block product, some genes at a time."""
+    i, j, _ = key
+    total = 0.0
+    if not len(rows):
+        return total
+    genes, own = rows["gene"].to_numpy(), rows["own"].to_numpy()
+    place, values = rows["place"].to_numpy(), rows["x"].to_numpy()
+    number = np.concatenate([[0], np.cumsum(genes[1:] != genes[:-1])])
+    for start in range(0, number[-1] + 1, GENES_AT_ONCE):
+        lo, hi = np.searchsorted(number, [start, start + GENES_AT_ONCE])
+        height = number[hi - 1] - start + 1
+        sides = []
+        for side in (i, j):
+            here = np.flatnonzero(own[lo:hi] == side) + lo
+            dense = np.zeros((height, block))
+            dense[number[here] - start, place[here]] = values[here]
+            sides.append(dense)
+        total = total + sides[0].T @ sides[1]
+    return total
+
+
+def _pairs_of(total: np.ndarray, key: tuple, block: int, n: int):
+    """Products of a block pair, row by row of its matrix; samples a <= b, numbered below n."""
+    i, j, _ = key
+    for row in range(min(block, n - i * block)):
+        here = np.arange(row if i == j else 0, min(block, n - j * block))
+        yield pd.DataFrame({"a_at": np.full(len(here), i * block + row), "b_at": j * block + here, "dot": total[row, here]})
+
+
+def sample_distances(x: DataFrame, block: int = SAMPLE_BLOCK) -> DataFrame:
+    """Euclidean distance between every two samples a < b that have a value (see `sample_products`)."""
+    dots = materialised(sample_products(x, block), "products")
+    norms = dots.where(F.col("a") == F.col("b"))
     return (
-        summed.where(F.col("a") != F.col("b"))
+        dots.where(F.col("a") != F.col("b"))
         .join(norms.select("a", F.col("dot").alias("_aa")), "a")
         .join(norms.select("b", F.col("dot").alias("_bb")), "b")
         .select("a", "b", F.sqrt(F.greatest(F.col("_aa") + F.col("_bb") - 2 * F.col("dot"), F.lit(0.0))).alias("distance"))
