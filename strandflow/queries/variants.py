@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.genotype import dosage
 from ..functions.missing import drop_missing, fill_zero, to_number
 from ..functions.text import joined_key, pieces, reverse_complement, tag_value
-from ..operators import callreport, genetic_map, homozygosity, liftover, variants
+from ..operators import alleles, callreport, genetic_map, homozygosity, liftover, variants
 from .base import register, rounded, view
 
 SITE = "chrom, pos, ref, alt"
@@ -326,6 +326,30 @@ def merged(spark, d):
     return variants.merge_calls(view(spark, d, "v_geno"))
 
 
+UNIFIED = """own AS (SELECT sample, chrom, gt, alt, pos % 11 = 0 AND pos % 4 = 2 AS moves, pos FROM v_geno),
+placed AS (SELECT sample, chrom, CASE WHEN moves THEN pos - 1 ELSE pos END AS np, CASE WHEN moves THEN 'C' ELSE substr('ACGT', CAST(pos % 4 AS INT) + 1, 1) END AS nr,
+  CASE WHEN moves THEN 'CGA' ELSE alt END AS na, length(gt) - length(replace(gt, '1', '')) AS n1, length(gt) - length(replace(gt, '2', '')) AS miss FROM own),
+alts AS (SELECT chrom, np, nr, list_sort(list_distinct(list(na))) AS alts FROM placed GROUP BY chrom, np, nr),
+per AS (SELECT p.sample, p.chrom, p.np, p.nr, a.alts, MIN(miss) AS miss, CAST(SUM(n1) AS BIGINT) AS n,
+  string_agg(repeat(concat(CAST(list_position(a.alts, na) AS VARCHAR), '/'), n1), '' ORDER BY list_position(a.alts, na)) AS own
+  FROM placed p JOIN alts a ON p.chrom = a.chrom AND p.np = a.np AND p.nr = a.nr GROUP BY p.sample, p.chrom, p.np, p.nr, a.alts),
+named AS (SELECT *, rtrim(concat(repeat('./', least(greatest(2 - n, 0), miss)), repeat('0/', greatest(2 - n, 0) - least(greatest(2 - n, 0), miss)), own), '/') AS gt FROM per)
+SELECT chrom, np AS pos, nr AS ref, array_to_string(alts, ',') AS alt, CAST(floor(sample / 4) AS INT) AS block, COUNT(*) AS n_samples,
+  string_agg(concat(CAST(sample AS VARCHAR), '=', gt), ';' ORDER BY sample) AS calls FROM named GROUP BY chrom, np, nr, alts, floor(sample / 4)"""
+
+
+@register("J12_unified_calls", f", {UNIFIED}", "v_geno")
+def unified(spark, d):
+    """All alleles of a place in one record, written left and short, calls in blocks of four samples."""
+    # the genome of the calls repeats ACGT: an AG put in behind a G (4k + 2) moves one base to the left
+    window = F.floor(F.col("pos") / 64)
+    genome = (
+        view(spark, d, "v_sites").select("chrom", F.explode(F.sequence(window - 1, window)).alias("w")).distinct()
+        .select("chrom", (F.col("w") * 64).alias("start"), F.repeat(F.lit("CGTA"), F.lit(16)).alias("text"))
+    )
+    return alleles.unified_calls(view(spark, d, "v_geno"), genome, together=4)
+
+
 @register("U01_cohort_union", "SELECT sample, chrom, pos, gt FROM v_geno", "v_geno")
 def cohort_union(spark, d):
     geno = view(spark, d, "v_geno").select("sample", "chrom", "pos", "gt")
