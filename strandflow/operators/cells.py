@@ -9,11 +9,14 @@ cell go through `spread_join`.
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.missing import ratio
 from ..shared import materialised
+from .bulk import SAMPLE_BLOCK, sample_products
 from .joins import spread_join
 from .ordered import exact_quantiles
 
@@ -181,11 +184,12 @@ def dense(x: DataFrame, cells: DataFrame, per_gene: DataFrame, value: str) -> Da
     return grid.select("cell", "_r.*").join(x.select("cell", "gene", value), ["cell", "gene"], "left")
 
 
-def regressed(x: DataFrame, cells: DataFrame, covariates: DataFrame, genes: DataFrame, names: tuple[str, str]) -> DataFrame:
-    """Residuals of the selected genes after a linear fit on two cell covariates.
+def regression_fits(x: DataFrame, covariates: DataFrame, genes: DataFrame, names: tuple[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Per gene the linear fit on two cell covariates, and the covariates around their means.
 
-    One pass gives the cross products: zeros add nothing to sums with y, and
-    the covariate sums are shared by all genes.
+    Fits: gene, b0, b1, b2, and `ss`, the residuals' sum of squares over all cells; `_s` holds
+    the sums that all genes share. Covariates: cell, _a, _b. One pass gives the cross products:
+    zeros add nothing to sums with y. A gene without any value has no fit; its residuals are 0.
     """
     a, b = names
     means = covariates.agg(F.avg(a).alias("ma"), F.avg(b).alias("mb"), F.count(F.lit(1)).alias("n"))
@@ -207,6 +211,7 @@ def regressed(x: DataFrame, cells: DataFrame, covariates: DataFrame, genes: Data
         F.sum("x").alias("_y"),
         F.sum(F.col("x") * F.col("_a")).alias("_ya"),
         F.sum(F.col("x") * F.col("_b")).alias("_yb"),
+        F.sum(F.col("x") * F.col("x")).alias("_yy"),
     ).withColumn("_s", shared.scalar())
     det = F.col("_s.aa") * F.col("_s.bb") - F.col("_s.ab") * F.col("_s.ab")
     fits = sums.select(
@@ -214,10 +219,96 @@ def regressed(x: DataFrame, cells: DataFrame, covariates: DataFrame, genes: Data
         (F.col("_y") / F.col("_s.n")).alias("b0"),
         (F.coalesce(F.try_divide(F.col("_ya") * F.col("_s.bb") - F.col("_yb") * F.col("_s.ab"), det), F.lit(0.0))).alias("b1"),
         (F.coalesce(F.try_divide(F.col("_yb") * F.col("_s.aa") - F.col("_ya") * F.col("_s.ab"), det), F.lit(0.0))).alias("b2"),
+        "_yy", "_s",
+    )
+    explained = _explained(*([F.col(c) for c in ("b0", "b1", "b2")] * 2))
+    fits = fits.withColumn("ss", F.greatest(F.col("_yy") - explained, F.lit(0.0))).drop("_yy")
+    return fits, centred.select("cell", "_a", "_b")
+
+
+def _explained(b0: Column, b1: Column, b2: Column, c0: Column, c1: Column, c2: Column) -> Column:
+    """Sum over all cells of the product of two genes' fitted values."""
+    s = F.col("_s")
+    return s["n"] * b0 * c0 + s["aa"] * b1 * c1 + s["ab"] * (b1 * c2 + b2 * c1) + s["bb"] * b2 * c2
+
+
+def _fitted() -> Column:
+    return F.col("b0") + F.col("b1") * F.col("_a") + F.col("b2") * F.col("_b")
+
+
+def regressed(x: DataFrame, cells: DataFrame, covariates: DataFrame, genes: DataFrame, names: tuple[str, str]) -> DataFrame:
+    """Residuals of a short gene list after a linear fit on two cell covariates, zeros written out."""
+    fits, centred = regression_fits(x, covariates, genes, names)
+    full = dense(x, cells, fits.select("gene", "b0", "b1", "b2"), "x").join(centred, "cell")
+    return full.select("cell", "gene", (F.coalesce("x", F.lit(0.0)) - _fitted()).alias("residual"))
+
+
+def residual_rows(x: DataFrame, covariates: DataFrame, genes: DataFrame, names: tuple[str, str]) -> DataFrame:
+    """Residuals of any number of genes, one row per stored value: cell, gene, residual, zero.
+
+    The dense matrix is never written: a cell without the gene has minus the fitted value, which
+    `regression_fits` gives by gene and cell. `zero` is that residual for this cell and gene.
+    """
+    fits, centred = regression_fits(x, covariates, genes, names)
+    fits = materialised(fits.select("gene", "b0", "b1", "b2"), "fits")
+    near = spread_join(x.select("cell", "gene", "x"), fits, ["gene"], ["cell"])
+    return spread_join(near, centred, ["cell"], ["gene"]).select(
+        "cell", "gene", (F.col("x") - _fitted()).alias("residual"), (-_fitted()).alias("zero")
+    )
+
+
+def residual_covariance(
+    x: DataFrame, covariates: DataFrame, genes: DataFrame, names: tuple[str, str], block: int = SAMPLE_BLOCK
+) -> DataFrame:
+    """Covariance over all cells of the residuals of every two genes a <= b.
+
+    Products of the stored values, in pairs of gene blocks, less what the fits explain: a
+    formula of rank three, so that zeros cost nothing. Genes without any value have no rows.
+    """
+    fits, centred = regression_fits(x, covariates, genes, names)
+    fits = materialised(fits.drop("ss"), "fits")
+    stored = x.join(genes.select("gene"), "gene", "left_semi").join(centred.select("cell"), "cell", "left_semi")
+    products = sample_products(stored.select(F.col("gene").alias("sample"), F.col("cell").alias("gene"), "x"), block)
+    left = fits.select(F.col("gene").alias("a"), *[F.col(f"b{i}").alias(f"_l{i}") for i in range(3)], "_s")
+    right = fits.select(F.col("gene").alias("b"), *[F.col(f"b{i}").alias(f"_r{i}") for i in range(3)])
+    both = products.join(left, "a").join(right, "b")
+    explained = _explained(*[F.col(f"_{side}{i}") for side in "lr" for i in range(3)])
+    return both.select("a", "b", F.try_divide(F.col("dot") - explained, F.col("_s.n") - 1.0).alias("covariance"))
+
+
+def residual_vectors(
+    x: DataFrame, covariates: DataFrame, genes: DataFrame, names: tuple[str, str], max_value: float = 10.0
+) -> tuple[DataFrame, list]:
+    """(cell, v): per cell the residuals of the selected genes over their deviation, clipped above; and the genes.
+
+    As long as the selected gene list, whose fits (five numbers a gene) reach the driver.
+    Every cell of the covariates has a vector. A gene whose residuals are all equal has 0.
+    """
+    fits, centred = regression_fits(x, covariates, genes, names)
+    wide = F.try_divide(F.col("ss"), F.col("_s.n") - 1.0)
+    listed = fits.select("gene", "b0", "b1", "b2", F.sqrt(wide).alias("sd")).orderBy("gene").collect()
+    order = [r["gene"] for r in listed]
+    numbers = np.array([[r["b0"], r["b1"], r["b2"], r["sd"] or 0.0] for r in listed], dtype="float64").reshape(-1, 4)
+    size = np.abs(numbers[:, :3]).max(axis=1, initial=0.0)
+    scale = np.where(numbers[:, 3] > 1e-9 * size, 1.0 / np.maximum(numbers[:, 3], 1e-300), 0.0)
+    places = x.sparkSession.createDataFrame(
+        [(g, i) for i, g in enumerate(order)], f"gene {x.schema['gene'].dataType.simpleString()}, _i int"
     )
-    full = dense(chosen, cells, fits, "x").join(centred.select("cell", "_a", "_b"), "cell")
-    fitted = F.col("b0") + F.col("b1") * F.col("_a") + F.col("b2") * F.col("_b")
-    return full.select("cell", "gene", (F.coalesce("x", F.lit(0.0)) - fitted).alias("residual"))
+    lists = x.join(F.broadcast(places), "gene").groupBy("cell").agg(F.collect_list(F.struct("_i", "x")).alias("_l"))
+
+    @F.pandas_udf("array<double>")
+    def fill(place: pd.Series, values: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for p, v, one, two in zip(place, values, a, b):
+            row = -(numbers[:, 0] + numbers[:, 1] * one + numbers[:, 2] * two)
+            if p is not None:
+                np.add.at(row, np.asarray(p, dtype="int64"), np.asarray(v, dtype="float64"))
+            out.append(np.minimum(row * scale, max_value))
+        return pd.Series(out)
+
+    every = centred.join(lists, "cell", "left")
+    known = [F.coalesce(c, F.lit(0.0)) for c in ("_a", "_b")]
+    return every.select("cell", fill(F.col("_l._i"), F.col("_l.x"), *known).alias("v")), order
 
 
 def dispersion_scores(x: DataFrame, cells: DataFrame, bins: int = 20) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cells, labels, markers
 from ..operators.ordered import exact_quantiles
+from ..shared import materialised
 from .base import register, rounded, table, view
 
 N = "(SELECT COUNT(*) FROM v_cells)"
@@ -232,6 +233,41 @@ def regressed(spark, d):
     )
 
 
+RESIDUALS = f"""{QC}, {DISPERSION}, sel AS (SELECT gene FROM score WHERE mean > 0.0125 AND mean < 3 AND score > 0.5),
+z AS (SELECT cell, total_counts - (SELECT AVG(total_counts) FROM qc) AS a, pct_flagged - (SELECT AVG(pct_flagged) FROM qc) AS b FROM qc),
+sh AS (SELECT SUM(a*a) AS aa, SUM(a*b) AS ab, SUM(b*b) AS bb, COUNT(*) AS n FROM z),
+dn AS (SELECT z.cell, sel.gene, a, b, x.x, COALESCE(x.x, 0) AS y FROM z CROSS JOIN sel LEFT JOIN x ON x.cell = z.cell AND x.gene = sel.gene),
+fit AS (SELECT gene, SUM(y) / MAX(n) AS b0, (SUM(y*a) * MAX(bb) - SUM(y*b) * MAX(ab)) / (MAX(aa)*MAX(bb) - MAX(ab)*MAX(ab)) AS b1,
+ (SUM(y*b) * MAX(aa) - SUM(y*a) * MAX(ab)) / (MAX(aa)*MAX(bb) - MAX(ab)*MAX(ab)) AS b2 FROM dn, sh GROUP BY gene),
+rs AS (SELECT dn.cell, dn.gene, x, y - b0 - b1*a - b2*b AS r, - b0 - b1*a - b2*b AS z FROM dn JOIN fit ON dn.gene = fit.gene)"""
+
+
+def _residual_input(spark, d):
+    x = materialised(_norm(spark, d), "normalised")
+    chosen = materialised(cells.variable_by_cutoff(cells.dispersion_scores(x, _cells(spark, d))).select("gene"), "chosen")
+    return x, _qc(spark, d), chosen, ("total_counts", "pct_flagged")
+
+
+@register(
+    "G08_residual_rows",
+    f", {RESIDUALS} SELECT cell, gene, round(r, 5) AS residual, round(z, 5) AS zero FROM rs WHERE x IS NOT NULL",
+    "v_expr v_cells v_genes",
+)
+def residual_rows(spark, d):
+    """Residuals of the stored values of all variable genes."""
+    return rounded(cells.residual_rows(*_residual_input(spark, d)), 5)
+
+
+@register(
+    "G08_residual_covariance",
+    f", {RESIDUALS} SELECT p.gene AS a, q.gene AS b, round(SUM(p.r * q.r) / (COUNT(*) - 1), 5) + 0.0 AS covariance FROM rs p JOIN rs q ON p.cell = q.cell AND p.gene <= q.gene GROUP BY p.gene, q.gene",
+    "v_expr v_cells v_genes",
+)
+def residual_covariance(spark, d):
+    """Covariance of the residuals of all variable genes, zeros included."""
+    return rounded(cells.residual_covariance(*_residual_input(spark, d)), 5)
+
+
 @register(
     "P27_display_clip",
     f", {NORM}, q AS (SELECT gene, quantile_cont(x, 0.05) AS lo, quantile_cont(x, 0.95) AS hi FROM x GROUP BY gene) SELECT cell, x.gene, round(least(greatest(x, lo), hi), 6) AS x FROM x JOIN q ON x.gene = q.gene",
