@@ -3,8 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from strandflow.operators import liftover
+from strandflow.operators import joins, liftover
 from strandflow.sources import chain, vcf
 
 BLOCK = "chrom string, src_start bigint, src_end bigint, tgt_chrom string, tgt_start bigint, strand string, score bigint, chain bigint"
@@ -100,3 +101,20 @@ def test_calls_through_overlapping_chains(spark, tmp_path):
     wrong = spark.createDataFrame([("A", 100, "C" * 30), ("B", 50, "G" * 11), ("B", 61, "A" * 50)], "chrom string, start bigint, text string")
     got = {(r.pos, r.ref): r.reject_reason for r in liftover.checked_alleles(lifted, wrong).collect()}
     assert got[1, "A"] == got[20, "A"] == got[21, "C"] == got[59, "AC"] == "MismatchedRefAllele"
+
+
+@pytest.mark.parametrize("ends", [True, False])
+def test_many_copied_intervals_are_not_broadcast(spark, ends):
+    """The planner expects a few bytes of an exploded table; a join with many copies is shuffled, one with few may be broadcast."""
+    def met(n):
+        pieces = spark.range(n).select(F.lit("1").alias("chrom"), (F.col("id") * 10).alias("iv_start"), (F.col("id") * 10 + 10).alias("iv_end"))
+        points = spark.range(n // 100).select(F.lit("1").alias("chrom"), (F.col("id") * 1000 + 5).alias("pos"), (F.col("id") * 1000 + 6).alias("end"))
+        if ends:
+            return joins.overlap_join(points, pieces, start="pos")
+        return joins.range_join(points, pieces)
+
+    few, many = met(300), met(12_000)
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in many._jdf.queryExecution().executedPlan().toString()
+    assert few.count() == 3 and many.count() == 120
+    assert many.where("iv_start > pos OR pos >= iv_end").count() == 0
