@@ -51,7 +51,7 @@ def wide_counts(spark, d):
         F.concat(F.lit("c"), cell, F.when(F.col("cell") % 3 == 0, ', "x"').otherwise("")).alias("cell"), "n",
     )
     path = new_folder(spark, "wide")
-    sinks.write_csv(expr.groupBy("gene").pivot("cell").agg(F.sum("n")).fillna(0), path)
+    sinks.write_wide_counts(expr, path)
     return text.read_wide_counts(spark, path)
 
 

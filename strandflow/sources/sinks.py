@@ -5,12 +5,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordered import global_index
+from ..shared import materialised
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Comma-separated with a header; texts that need it are quoted, quotes inside doubled."""
     df.write.options(header=True, escape='"').csv(path)
 
 
+def write_wide_counts(counts: DataFrame, path: str, cells_per_file: int = 64) -> None:
+    """Long counts (gene, cell, n) as wide gene x cell tables, one file per block of cells.
+
+    Every file has its own header and the genes that one of its cells counts, zeros written.
+    Cells are numbered, and their place in the block is the column, so a table has the same
+    width whatever the number of cells, and for each count at most one row of it is written. A missing cell is named null.
+    """
+    named = counts.select(F.col("gene").cast("string").alias("gene"), F.coalesce(F.col("cell").cast("string"), F.lit("null")).alias("cell"), "n")
+    number = global_index(named.select("cell").distinct(), "cell", "_at")
+    cells = materialised(
+        number.select("cell", F.floor(F.col("_at") / cells_per_file).alias("block"), (F.col("_at") % cells_per_file).alias("_at")), "cells"
+    )
+    places = list(range(cells_per_file))
+    values = named.join(cells, "cell").groupBy("block", "gene").pivot("_at", places).agg(F.sum("n")).fillna(0, [str(k) for k in places])
+    names = cells.groupBy("block").pivot("_at", places).agg(F.first("cell"))
+    columns = [F.col(str(k)).cast("string").alias(f"c{k}") for k in places]
+    rows = names.select("block", F.lit(0).alias("_row"), F.lit("gene").alias("gene"), *columns).unionByName(
+        values.select("block", F.lit(1).alias("_row"), "gene", *columns)
+    )
+    # one task writes a block, so that it is one file; its header comes first
+    placed = rows.repartition("block").sortWithinPartitions("block", "_row")
+    placed.select("block", "gene", *[f"c{k}" for k in places]).write.partitionBy("block").options(header=False, escape='"').csv(path)
+
+
 def write_tsv(df: DataFrame, path: str) -> None:
     """Tab-separated, unquoted, with a header."""
     df.write.options(header=True, sep="\t", quote="").csv(path)

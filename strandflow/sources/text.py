@@ -17,7 +17,7 @@ def numbered_lines(spark: SparkSession, path: str | list[str], per_file: bool =
     """Lines with `file` and a 0-based `line_no`, per file or over all files by name.
 
     Ids grow along a file split, so a line's place in its split needs no sort;
-    the sizes of earlier splits (one row per split) are added on top.
+    the sizes of earlier splits (one row per split, broadcast: lines stay in place) are added on top.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -31,7 +31,7 @@ def numbered_lines(spark: SparkSession, path: str | list[str], per_file: bool =
     keys = ["file"] if per_file else []
     order = Window.partitionBy(*keys).orderBy("file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.withColumn("_before", F.coalesce(F.sum("_size").over(order), F.lit(0))).drop("_size")
-    numbered = lines.join(offsets, ["file", "_block"])
+    numbered = lines.join(F.broadcast(offsets), ["file", "_block"])
     return numbered.select("file", (F.col("_before") + F.col("_id") - F.col("_first")).alias("line_no"), "value")
 
 

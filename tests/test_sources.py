@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strandflow.operators import homozygosity, liftover, reads
 from strandflow.operators.genes import unique_names
+from strandflow.queries import load
 from strandflow.sources import annotation, chain, fastq, matrix, sinks, text, vcf
 from strandflow.functions.text import tag_value
 
@@ -251,3 +252,25 @@ def test_runs_break_where_the_map_is_long(spark):
     assert plain and rows(homozygosity.autozygous_runs(even), "start") == plain
     moves = homozygosity._log_moves(np.array([1000.0, 1000.0]), np.array([0.0, 5.0]))
     assert moves[1, 1, 0] > moves[0, 1, 0] and np.allclose(np.exp(moves).sum(axis=2), 1)
+
+
+def test_wide_counts_of_more_cells_than_a_pivot_names(spark, tmp_path):
+    """Cells in blocks, a file and header each; before, one pivot named all cells and failed beyond its limit."""
+    counts = [(f"g{i % 7}", f'c{i % 23}, "x"' if i % 2 else f"c{i % 23}", i) for i in range(1, 200)] + [(None, "c1", 5), ("g\n1", None, 4), ("g0", "c2", 0)]
+    long = spark.createDataFrame(counts, "gene string, cell string, n bigint")
+    want = {}
+    for g, c, n in counts:
+        want[g or "", c or "null"] = want.get((g or "", c or "null"), 0) + n
+    was = spark.conf.get("spark.sql.pivotMaxValues")
+    spark.conf.set("spark.sql.pivotMaxValues", "10")
+    try:
+        for width in (1, 10, 64):
+            path = str(tmp_path / f"wide{width}")
+            sinks.write_wide_counts(long, path, width)
+            cells = len({c for _, c in want})
+            assert len(list((tmp_path / f"wide{width}").glob("block=*/*.csv"))) == -(-cells // width)
+            got = {(r.gene, r.cell): r.n for r in text.read_wide_counts(spark, path).collect()}
+            assert got == {k: n for k, n in want.items() if n}
+        assert load()[0]["S02_wide_counts"](spark, "/root/testdata/sf0.001").count() > 0
+    finally:
+        spark.conf.set("spark.sql.pivotMaxValues", was)
