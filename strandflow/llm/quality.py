@@ -10,7 +10,9 @@ each is left out of the trusted counts, so it follows the size of the tables.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordered import exact_quantiles
 from ..shared import materialised
+from .texts import picked
 
 BLANK = r"[ \t\n\x0B\f\r]"
 SYMBOL = r"[#*$%&|<>]"
@@ -73,17 +75,15 @@ def cell_counts(
     """cell, raw, good: how often every cell occurs in all documents and in the trusted ones.
 
     All documents are counted in one pass; the table has `buckets` rows, whatever
-    the corpus. `trusted` (column id) must be of bounded size: it is broadcast, so
-    that texts stay in place. Documents without words give a null cell, which the
-    last join drops; leaving them out before would hash all texts twice.
+    the corpus. `trusted` (column id) marks documents before their words are counted:
+    texts stay in place while the ids are few enough to be broadcast. Documents without
+    words give a null cell, which the last join drops; leaving them out before would
+    hash all texts twice.
     """
-    ids = F.broadcast(trusted.select(F.col("id").alias("_trusted")).distinct())
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    cells = measured(slim).select(F.col("row.id").alias("id"), F.explode_outer(_cells(buckets)).alias("cell"))
-    counted = (
-        cells.join(ids, F.col("id") == F.col("_trusted"), "left")
-        .groupBy("cell").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("good"))
-    )
+    marked = picked(slim, "id", trusted.select("id").distinct(), "left").select("text", F.col("_picked").isNotNull().alias("good"))
+    cells = measured(marked).select(F.col("row.good").alias("good"), F.explode_outer(_cells(buckets)).alias("cell"))
+    counted = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("raw"), F.count_if("good").alias("good"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("cell"))
     return every.join(counted, "cell", "left").fillna(0, ["raw", "good"])
 
@@ -115,34 +115,58 @@ def left_out_scores(
     """id, score of the trusted documents that pass the plain rules, each without its own part in `counts`.
 
     A document is left out with all rows of its id, so its score is that of a good
-    document nobody labelled.
+    document nobody labelled. Counts of its own cells are taken from its sorted cells, where
+    equal ones stand side by side; only rows of ids that come more than once are shuffled.
     """
-    ids = F.broadcast(trusted.select(F.col("id").alias("_trusted")).distinct())
+    ids = materialised(trusted.select("id").distinct(), "trusted")
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = slim.join(ids, F.col("id") == F.col("_trusted"), "left_semi")
-    ruled = _ruled(rows, "text").select(F.col("row.id").alias("id"), "base_failed", _cells(buckets).alias("cells"))
-    own = (
-        ruled.select("id", "base_failed", F.explode_outer("cells").alias("cell"))
-        .groupBy("id", "cell").agg(F.count(F.lit(1)).alias("own"), F.max("base_failed").alias("base_failed"))
+    twice = materialised(
+        picked(slim.select("id"), "id", ids).groupBy("id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("id"), "twice"
     )
-    totals = counts.groupBy().agg(F.sum("raw").alias("raws"), F.sum("good").alias("goods"))
-    ratio = F.log((F.col("good") - F.col("own") + 1) / (F.col("raw") + 1))
-    return (
-        own.join(F.broadcast(counts), "cell").groupBy("id")
-        .agg(F.sum("own").alias("n"), F.sum(F.col("own") * ratio).alias("total"), F.max("base_failed").alias("failed"))
-        .where("NOT failed").join(F.broadcast(totals))
-        .select(
-            "id",
-            (F.col("total") / F.col("n") - F.log((F.col("goods") - F.col("n") + buckets) / (F.col("raws") + buckets)))
-            .alias("score"),
-        )
+    rows = picked(slim, "id", ids)
+
+    def ruled(some: DataFrame) -> DataFrame:
+        return _ruled(some, "text").select(F.col("row.id").alias("id"), F.col("base_failed").alias("failed"), _cells(buckets).alias("cells"))
+
+    several = ruled(picked(rows, "id", twice)).groupBy("id").agg(
+        F.max("failed").alias("failed"), F.flatten(F.collect_list("cells")).alias("cells")
+    )
+    every = ruled(picked(rows, "id", twice, "left_anti")).unionByName(several)
+    placed = every.withColumn("cells", F.sort_array("cells"))
+    whole = counts.groupBy().agg(
+        F.struct(
+            F.sum("raw").alias("raws"), F.sum("good").alias("goods"),
+            F.transform(F.sort_array(F.collect_list(F.struct("cell", "raw", "good"))), lambda c: F.struct(c["raw"], c["good"])).alias("cells"),
+        ).alias("all")
     )
+    known = placed.withColumn("all", whole.scalar())
+
+    def run(cell: Column, own: Column) -> Column:
+        c = F.get("all.cells", cell)
+        return F.when(own > 0, own * F.log((c["good"] - own + 1) / (c["raw"] + 1))).otherwise(0.0)
+
+    def step(s: Column, cell: Column) -> Column:
+        same = s["cell"] == cell
+        return F.struct(
+            cell.alias("cell"), F.when(same, s["own"] + 1).otherwise(1).alias("own"),
+            F.when(same, s["total"]).otherwise(s["total"] + run(s["cell"], s["own"])).alias("total"),
+        )
+
+    start = F.struct(F.lit(-1).alias("cell"), F.lit(0).alias("own"), F.lit(0.0).alias("total"))
+    total = F.aggregate("cells", start, step, lambda s: s["total"] + run(s["cell"], s["own"]))
+    n = F.size("cells")
+    score = total / n - F.log((F.col("all.goods") - n + buckets) / (F.col("all.raws") + buckets))
+    # written before rows are dropped: a filter would be pushed down and repeat all that it looks at
+    scored = materialised(known.select("id", "failed", n.alias("n"), F.when(n > 0, score).alias("score")), "scores")
+    return scored.where("NOT failed AND n > 0").select("id", "score")
 
 
-def trusted_ids(labels: DataFrame, rows: int) -> DataFrame:
-    """Ids of documents labelled good, at most `rows`: those of smallest hash, so any run takes the same."""
+def trusted_ids(labels: DataFrame, rows: int | None = None) -> DataFrame:
+    """Ids of all documents labelled good; with `rows` at most that many, those of smallest hash."""
     good = labels.where("quality = 1 AND coalesce(toxic, 0) = 0 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select(F.col("doc_id").alias("id"))
+    if rows is not None:
+        good = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return good.select(F.col("doc_id").alias("id"))
 
 
 def _ruled(docs: DataFrame, text_col: str) -> DataFrame:
@@ -174,7 +198,6 @@ def quality(
     id_col: str = "doc_id",
     text_col: str = "text",
     buckets: int = 10_000,
-    trusted_rows: int = 10_000,
     lost: float = 0.01,
 ) -> DataFrame:
     """row (all columns of docs), the counts, `score`, base_failed and kept of every document.
@@ -183,18 +206,15 @@ def quality(
     than 20 words, with over 30 % of words in repeated 8-word windows, or whose
     mean log ratio is below the cut: the `lost` quantile, interpolated for any number of
     them, of the scores of trusted documents that are left out of the trusted counts
-    one by one. Without such documents only the plain rules reject. Only the
-    trusted rows are a bounded sample (`trusted_rows` labels); the corpus side
-    counts every document. A null text has no words. Rows without id, repeated
+    one by one. Without such documents only the plain rules reject. Every document labelled
+    good is trusted, and every document is counted. A null text has no words. Rows without id, repeated
     rows and other columns of any name pass through `row` unchanged; an empty
     table gives an empty result.
     """
-    trusted = trusted_ids(labels, trusted_rows)
+    trusted = materialised(trusted_ids(labels), "good")
     counts = materialised(cell_counts(docs, trusted, id_col, text_col, buckets), "cells")
     scores = left_out_scores(docs, trusted, counts, id_col, text_col, buckets)
-    cut = scores.groupBy().agg(
-        F.coalesce(F.percentile("score", F.lit(lost)), F.lit(float("-inf"))).alias("cut")
-    ).scalar()
+    cut = exact_quantiles(scores, [], "score", {"cut": lost}).select(F.coalesce("cut", F.lit(float("-inf")))).scalar()
     judged = _ruled(docs, text_col).withColumns(
         {"cells": _cells(buckets), "weights": log_ratios(counts, buckets).scalar()}
     )

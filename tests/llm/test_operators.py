@@ -375,6 +375,22 @@ def test_quality_rejects_junk_and_keeps_held_out_good(spark):
     assert sum(kept[i] for i in range(1200, 1500)) <= 0.05 * 300
 
 
+def test_quality_trusts_every_good_label(spark):
+    rng = random.Random(4)
+    n = 10_400
+    docs = spark.createDataFrame(
+        [(i, " ".join(f"w{rng.randrange(30 + i % 70)}" for _ in range(20 + i % 5))) for i in range(n)], "doc_id bigint, text string"
+    )
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(n)], "doc_id bigint, quality int, toxic int")
+    trusted = labels.select(F.col("doc_id").alias("id"))
+    counts = quality.cell_counts(docs, trusted)
+    assert counts.where("raw <> good").count() == 0
+    cut = np.quantile([r.score for r in quality.left_out_scores(docs, trusted, counts).collect()], 0.01)
+    out = quality.quality(docs, labels).collect()
+    assert len(out) == n and all(r.score == 0 for r in out)  # all are trusted, so the two multinomials are one
+    assert all(r.kept == (not r.base_failed and r.score >= cut) for r in out)
+
+
 def test_quality_cut_is_a_quantile_of_left_out_scores(spark):
     rng = random.Random(9)
     rows = [(i, " ".join(f"w{rng.randrange(40 + i % 50)}" for _ in range(15 + i % 40))) for i in range(300)]
