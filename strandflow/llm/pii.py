@@ -16,9 +16,10 @@ from collections.abc import Callable
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordered import ranged, scan
 from ..shared import discarded, materialised
 
 # The base patterns. Possessive runs and the check of what stands before
@@ -255,36 +256,28 @@ class Judge:
         return F.transform(kept, lambda p: p["c"])
 
 
-def fit(
-    docs: DataFrame, text_col: str = "text", rows: int = 10_000, precision: float = 0.9, trees: int = 12, depth: int = 4
-) -> Judge:
-    """Boosted trees and thresholds from the proposals of the corpus.
+def fit(docs: DataFrame, text_col: str = "text", precision: float = 0.9, trees: int = 12, depth: int = 4) -> Judge:
+    """Boosted trees and thresholds from all proposals of the corpus.
 
-    At most `rows` confirmed and `rows` other proposals of smallest hash are used, the
-    only bounded sample; a quarter of them is held out for the thresholds and weighted
-    by the share of all proposals it stands for. A family that never reaches
-    `precision` on them has no threshold and adds nothing, and so does a corpus
-    without confirmed or without other proposals.
+    A quarter of them, by hash, is held out of the fit and gives the thresholds. A family
+    that never reaches `precision` on them has no threshold and adds nothing, and so does a
+    corpus without confirmed or without other proposals.
     """
     all_rows = proposed(docs.select(F.col(text_col).alias("text"))).select(F.explode("proposals").alias("c"))
     slim = F.struct("c.family", "c.s", "c.before", "c.after")
     labelled = materialised(
         all_rows.select(slim.alias("c"), confirmed(F.col("c")).alias("right"), F.xxhash64(slim).alias("h")), "proposals"
     )
-    totals = {r["right"]: r["n"] for r in labelled.groupBy("right").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not (totals.get(True) and totals.get(False)):
+    sides = {r["right"] for r in labelled.select("right").distinct().collect()}
+    if not {True, False} <= sides:
         discarded(labelled)
         return Judge()
-    taken = [
-        labelled.where(F.col("right") == side).orderBy("h", "c").limit(rows)
-        .withColumn("w", F.lit(max(1.0, totals[side] / rows))).withColumn("real", F.lit(True))
-        for side in (True, False)
-    ]
     mask = F.struct(F.col("c.family").alias("family"), disguised(F.col("c")).alias("s"), "c.before", "c.after")
-    masked = taken[0].withColumn("c", mask).withColumn("real", F.lit(False))
+    real = labelled.where(F.col("right").isNotNull()).withColumn("real", F.lit(True))
+    masked = labelled.where("right").withColumn("c", mask).withColumn("real", F.lit(False))
     sample = materialised(
-        taken[0].unionByName(taken[1]).unionByName(masked).coalesce(4).select(
-            "c.family", features(F.col("c")).alias("x"), F.col("right").cast("double").alias("label"), "w", "real",
+        real.unionByName(masked).select(
+            "c.family", features(F.col("c")).alias("x"), F.col("right").cast("double").alias("label"), "real",
             (F.pmod("h", F.lit(4)) == 0).alias("held"),
         ),
         "sample",
@@ -294,11 +287,10 @@ def fit(
     if learnt.select("label").distinct().count() < 2:
         return Judge()
     model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, minInstancesPerNode=2).fit(learnt)
-    scored = sample.where("held AND real").select("family", "label", "w", _score(model, F.col("x")).alias("score"))
-    above = Window.partitionBy("family").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = scored.select(
-        "family", "score", (F.sum(F.col("w") * F.col("label")).over(above) / F.sum("w").over(above)).alias("share")
-    ).where(F.col("share") >= precision).groupBy("family").agg(F.min("score").alias("t"))
+    scored = sample.where("held AND real").select("family", "label", _score(model, F.col("x")).alias("score"))
+    counted = scored.groupBy("family", "score").agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("n"))
+    above = scan(ranged(counted, ["family"], ["score"]), ["family"], ["score"], {"rights": ("sum", "right"), "all": ("sum", "n")}, descending=True)
+    reached = above.where(F.col("rights") / F.col("all") >= precision).groupBy("family").agg(F.min("score").alias("t"))
     thresholds = {r["family"]: max(r["t"], 0.0) for r in reached.collect()}
     discarded(labelled, sample)
     return Judge(model, thresholds)

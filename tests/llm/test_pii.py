@@ -128,6 +128,26 @@ def test_disguised_forms_are_added_and_decoys_left(spark, corpus):
     assert wrong <= 0.02 * len(left) / 2 and all(left[k] for k in left if k % 8 < 4)
 
 
+def test_all_proposals_are_learnt_from(spark, monkeypatch):
+    """12,000 decoys and 400 addresses: none is left out for being many."""
+    rows = [(f"size {i % 90 + 10} {i} {i % 83 + 10} cm",) for i in range(100_000, 112_000)] + [(f"write to m{i}@example.com now",) for i in range(400)]
+    docs = spark.createDataFrame(rows, "text string")
+    seen = []
+
+    class Trees(pii.GBTClassifier):
+        def fit(self, learnt):
+            seen.extend(r["count"] for r in learnt.groupBy("label").count().orderBy("label").collect())
+            return super().fit(learnt)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Trees)
+    judge = pii.fit(docs)
+    slim = F.struct("c.family", "c.s", "c.before", "c.after")
+    found = pii.proposed(docs).select(F.explode("proposals").alias("c")).select(pii.confirmed(F.col("c")).alias("right"), F.xxhash64(slim).alias("h"))
+    learnt = found.where(F.pmod("h", F.lit(4)) != 0)
+    assert seen == [learnt.where("NOT right").count(), 2 * learnt.where("right").count()] and learnt.where("NOT right").count() > 8_000
+    assert found.where("NOT right").count() > 10_000 and "mail" in judge.thresholds
+
+
 def test_long_texts_take_linear_time(spark):
     big = 1 << 20
     texts = ["a" * big, "1" * big, "1." * (big // 2), "a@" * (big // 2), "x@" + "a." * (big // 2), "+1" + "(" * big, "1 " * (big // 2),
