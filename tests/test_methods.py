@@ -142,6 +142,32 @@ def test_nearest_neighbors(spark, monkeypatch, copies):
     assert incoming.max() < 60  # copies do not all point at the same few
 
 
+def test_neighbors_of_structureless_vectors_are_sent_once_per_tile(spark, monkeypatch):
+    """Where no bound prunes, a vector goes to every tile once, however many cells the tile has."""
+    monkeypatch.setattr(neighbors, "BLOCK_ROWS", 200)
+    monkeypatch.setattr(neighbors, "ONE_CELL_BLOCKS", 1)
+    written, keep = {}, neighbors.materialised
+    monkeypatch.setattr(neighbors, "materialised", lambda df, label: written.setdefault(label, keep(df, label)))
+    rng = np.random.default_rng(11)
+    points = [(i, rng.random(16).tolist()) for i in range(900)]
+    near = neighbors.nearest_neighbors(spark.createDataFrame(points, "id bigint, v array<double>"), 5).collect()
+    got = {}
+    for r in sorted(near, key=lambda r: r["place"]):
+        got.setdefault(r["src"], []).append(r["distance"])
+    want = brute_neighbors(points, 5)
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], abs=1e-9) for i in want)
+    assert written["cells"].select("cell").distinct().count() > 20
+    sent = [r["n"] for r in written["visits"].select(F.size("tiles").alias("n")).collect()]
+    assert 0 < max(sent) <= 9 and all(len(set(r["tiles"])) == len(r["tiles"]) for r in written["visits"].collect())
+
+
+def test_neighbors_at_equal_distance_come_by_id(spark):
+    points = [(i, [float(i == j) for j in range(40)]) for i in range(40)]
+    near = neighbors.nearest_neighbors(spark.createDataFrame(points, "id bigint, v array<double>"), 3).collect()
+    got = {i: [r["dst"] for r in sorted(near, key=lambda r: r["place"]) if r["src"] == i] for i in range(40)}
+    assert got == {i: [j for j in range(5) if j != i][:3] for i in range(40)}
+
+
 def test_shared_neighbor_weights(spark):
     rng = random.Random(6)
     k, lists = 6, {}
