@@ -1,5 +1,7 @@
 """Runs of homozygosity: interrupted-run form and two-state model form."""
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -80,13 +82,16 @@ def _log_moves(gaps: np.ndarray, morgans: np.ndarray | None = None) -> np.ndarra
 
 def _best_paths(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Best score and predecessors from either entry state through all steps."""
-    score = np.array([[0.0, -np.inf], [-np.inf, 0.0]])
-    back = np.empty((len(steps), 2, 2), dtype=np.int8)
-    for i, step in enumerate(steps):
-        options = score[:, :, None] + step[None, :, :]
-        back[i] = options.argmax(axis=1)
-        score = options.max(axis=1)
-    return score, back
+    s00, s01, s10, s11 = 0.0, -math.inf, -math.inf, 0.0
+    back = []
+    # plain numbers: one marker is too little for an array operation. The first state wins a tie
+    for t00, t01, t10, t11 in steps.reshape(-1, 4).tolist():
+        a0, a1, b0, b1 = s00 + t00, s01 + t10, s00 + t01, s01 + t11
+        c0, c1, d0, d1 = s10 + t00, s11 + t10, s10 + t01, s11 + t11
+        back.append((a1 > a0, b1 > b0, c1 > c0, d1 > d0))
+        s00, s01 = a1 if a1 > a0 else a0, b1 if b1 > b0 else b0
+        s10, s11 = c1 if c1 > c0 else c0, d1 if d1 > d0 else d0
+    return np.array([[s00, s01], [s10, s11]]), np.array(back, dtype=np.int8).reshape(-1, 2, 2)
 
 
 def autozygous_runs(geno: DataFrame, error: float = 1e-3) -> DataFrame:
@@ -155,10 +160,11 @@ def autozygous_runs(geno: DataFrame, error: float = 1e-3) -> DataFrame:
         pdf = pdf.sort_values("pos").reset_index(drop=True)
         _, back = _best_paths(steps_of(pdf))
         entry, state = int(pdf["entry"].iloc[0]), int(pdf["exit"].iloc[0])
-        path = np.empty(len(pdf), dtype="int64")
-        for i in range(len(pdf) - 1, -1, -1):
-            path[i] = state
-            state = int(back[i, entry, state])
+        path = []
+        for step in back[::-1, entry].tolist():
+            path.append(state)
+            state = step[state]
+        path = np.array(path[::-1], dtype="int64")
         return pdf[["sample", "chrom", "pos", BUCKET]].assign(az=path)
 
     traced = linked.join(states, chunk).groupBy(*chunk).applyInPandas(
