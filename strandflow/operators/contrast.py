@@ -64,13 +64,21 @@ def _trigamma(x: float) -> float:
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
     """Stirling's series, after small arguments were raised to eight and more."""
-    at, product = np.array(x, float), np.ones(np.shape(x))
+    at = np.array(x, float)
+    flat = at.reshape(-1)
+    small = np.flatnonzero(flat < 8)  # only these are raised
+    raised, product = flat[small], np.ones(len(small))
     for _ in range(8):
-        small = at < 8
-        product = np.where(small, product * at, product)
-        at = at + small
-    series = 1 / (12 * at) - 1 / (360 * at**3) + 1 / (1260 * at**5) - 1 / (1680 * at**7)
-    return (at - 0.5) * np.log(at) - at + 0.5 * math.log(2 * math.pi) + series - np.log(product)
+        below = raised < 8
+        product = np.where(below, product * raised, product)
+        raised = raised + below
+    flat[small] = raised
+    inverse = 1 / at
+    square = inverse * inverse
+    series = inverse * (1 / 12 - square * (1 / 360 - square * (1 / 1260 - square / 1680)))
+    out = (at - 0.5) * np.log(at) - at + 0.5 * math.log(2 * math.pi) + series
+    out.reshape(-1)[small] -= np.log(product)
+    return out
 
 
 def _profile(counts, mu, patient, log_alpha):
@@ -239,8 +247,9 @@ def fit_contrast(
     `replace_from` samples or more they are replaced and the gene is fitted again; otherwise
     a gene with one in a group of `flag_from` or more has no p. `converged` tells
     whether the fit had settled. `padj` counts only genes above the cut of
-    `rejection_cut`; others have none.
+    `rejection_cut`; others have none. The counts are written once: all steps read them.
     """
+    bulk = materialised(bulk.select("sample", "condition", "gene", "n"), "bulk")
     factors = size_factors(bulk)
     normal = normalised_counts(bulk, factors)
     moments = materialised(gene_moments(normal).select("gene", "base_mean"), "moments")
@@ -344,6 +353,7 @@ def score_equations(fitted: DataFrame, bulk: DataFrame, reference: str = "contro
 
     Genes with replaced counts are left out: their counts are not those of bulk.
     """
+    bulk = materialised(bulk.select("sample", "condition", "gene", "n"), "bulk")
     factors = size_factors(bulk)
     sheet = bulk.select("sample", (F.col("condition") != reference).cast("int").alias("g")).distinct().join(factors, "sample")
     listed = sheet.agg(F.collect_list(F.struct("sample", "g", "size_factor"))).scalar()

@@ -94,3 +94,16 @@ def test_no_genes(spark):
     empty = spark.createDataFrame([], "gene int, base_mean double, p double")
     assert contrast.rejection_cut(empty).count() == 0
     assert contrast.filtered_p(empty).agg(F.count("gene")).first()[0] == 0
+
+
+def test_counts_are_written_once(spark, monkeypatch):
+    """The steps of a fit read the table of counts, not the query that makes it."""
+    written, keep = [], contrast.materialised
+    monkeypatch.setattr(contrast, "materialised", lambda df, label: written.append(label) or keep(df, label))
+    rng = np.random.default_rng(4)
+    rows = [(s, "control" if s < 3 else "patient", g, int(rng.negative_binomial(3, 0.03))) for s in range(6) for g in range(60)]
+    bulk = spark.createDataFrame(rows, "sample int, condition string, gene int, n bigint")
+    fitted = contrast.fit_contrast(bulk)
+    assert written.count("bulk") == 1
+    scores = contrast.score_equations(fitted, bulk).collect()
+    assert written.count("bulk") == 2 and max(abs(r["score"]) for r in scores) < 1e-3
