@@ -169,6 +169,13 @@ def test_neighbors_at_equal_distance_come_by_id(spark):
     assert got == {i: [j for j in range(5) if j != i][:3] for i in range(40)}
 
 
+@pytest.mark.parametrize("odd", [[[1.0, 2.0], None, [3.0, 4.0]], [[1.0, 2.0], [3.0], [4.0, 5.0, 6.0]]])
+def test_neighbors_need_whole_vectors(spark, odd):
+    df = spark.createDataFrame(list(enumerate(odd)), "id bigint, v array<double>").coalesce(1)
+    with pytest.raises(Exception, match="missing or differ|inhomogeneous"):
+        neighbors.nearest_neighbors(df, 1).collect()
+
+
 def test_shared_neighbor_weights(spark):
     rng = random.Random(6)
     k, lists = 6, {}
