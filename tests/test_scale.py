@@ -4,6 +4,14 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from strandflow.llm import texts
+from strandflow.operators import cells
+from strandflow.queries import base
+
+
+def plan_of(df):
+    """The plan as it was run, without the one that it began with."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
 
 
 def test_text_batches_are_cut_before_they_are_sent(spark):
@@ -20,3 +28,19 @@ def test_text_batches_are_cut_before_they_are_sent(spark):
 def test_sizes_of_settings():
     assert [texts._bytes_of(s) for s in ("67108864b", "64m", "64MB", "4194304")] == [64 << 20] * 3 + [4 << 20]
     assert texts._bytes_of("-1") > 1 << 40
+
+
+def test_floors_sort_no_counts(spark):
+    expr = spark.range(2000).select((F.col("id") % 50).alias("cell"), (F.col("id") * 7 % 90).alias("gene"), F.lit(1).alias("n"))
+    found = cells.floor_cells_and_genes(expr, 3, 2)
+    assert "SortMergeJoin" not in plan_of(found)
+    assert found.count() == 2000
+
+
+def test_counts_are_grouped_in_parts_of_bounded_size(spark, tmp_path, monkeypatch):
+    lines = spark.range(1000).select((F.col("id") % 10).alias("l_suppkey"), (F.col("id") % 100).alias("l_partkey"), F.lit(2.0).alias("l_quantity"))
+    lines.unionByName(lines.limit(1).select(*[F.lit(None).cast(t).alias(c) for c, t in lines.dtypes])).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(base, "ROWS_A_TASK", 100)
+    found = base.view(spark, str(tmp_path), "v_expr")
+    assert found.rdd.getNumPartitions() == 11
+    assert sorted(r.n or 0 for r in found.collect()) == [0] + [20] * 100
