@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import hashed
 from .text import numbered_lines
 
 
@@ -26,4 +27,4 @@ def read_matrix_market(spark: SparkSession, matrix: str, barcodes: str, features
     ).where(F.col("n") != 0)
     genes = read_names(spark, features, symbol_column).select(F.col("idx").alias("gene"), F.col("name").alias("symbol"))
     cells = read_names(spark, barcodes).select(F.col("idx").alias("cell"), F.col("name").alias("barcode"))
-    return entries.join(genes, "gene").join(cells, "cell").select("cell", "barcode", "gene", "symbol", "n")
+    return entries.join(hashed(genes), "gene").join(hashed(cells), "cell").select("cell", "barcode", "gene", "symbol", "n")
