@@ -33,7 +33,7 @@ def analyse_cohort(
     sites = deep.groupBy(*variants.SITE).agg(F.max("qual").alias("score"))
     labelled = materialised(variants.label_tranches(sites, variants.tranche_cutoffs(sites, truth)), "labels")
     passing = variants.without_tags(labelled, FAILED_TAGS).select(*variants.SITE)
-    kept = variants.annotate_frequency(deep.join(passing, variants.SITE, "left_semi"), af)
+    kept = materialised(variants.annotate_frequency(deep.join(passing, variants.SITE, "left_semi"), af), "kept")
     regions = homozygosity.long_regions(homozygosity.homozygous_runs(kept), min_region)
     cohort = materialised(variants.covered_sites(called, min_depth), "cohort")
     return CohortResult(
