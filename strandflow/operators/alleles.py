@@ -20,10 +20,10 @@ SAMPLES_TOGETHER = 1000
 
 
 def _shared(a: Column, b: Column) -> Column:
-    """Length of the common prefix of two texts."""
+    """Length of the common prefix of two texts; places are compared only where both have several letters."""
     n = F.least(F.length(a), F.length(b))
     same = F.transform(F.sequence(F.lit(1), n + 1), lambda i: (i <= n) & (F.substr(a, i, F.lit(1)) == F.substr(b, i, F.lit(1))))
-    return (F.array_position(same, F.lit(False)) - 1).cast("int")
+    return F.when(n <= 1, (F.left(a, n) == F.left(b, n)).cast("int") * n).otherwise(F.array_position(same, F.lit(False)) - 1).cast("int")
 
 
 def _cut(text: Column, front: Column, behind: Column) -> Column:
@@ -58,10 +58,11 @@ def normal_alleles(sites: DataFrame, reference: DataFrame, first: int = 1) -> Da
         *SITE, (F.col("pos") + F.col("_front")).alias("new_pos"), F.col("_r2").alias("new_ref"), F.col("_a2").alias("new_alt")
     )
     units = cut.where("_moves").withColumn("moved", F.lit(0).cast("bigint"))
-    settled = _moved_left(units, reference)
+    pieces = materialised(_pieces(reference), "pieces")
+    settled = _moved_left(units, pieces)
 
     before = range_join(
-        settled.withColumn("_at", F.col("place") - F.col("moved") - 1), _pieces(reference), pos="_at", how="left", spread_by=["pos", "alt"],
+        settled.withColumn("_at", F.col("place") - F.col("moved") - 1), pieces, pos="_at", how="left", spread_by=["pos", "alt"],
     )
     known = F.substr("text", (F.col("_at") - F.col("iv_start") + 1).cast("int"), F.lit(1))
     length = F.length("unit").cast("bigint")
@@ -96,9 +97,9 @@ def _pieces(reference: DataFrame) -> DataFrame:
     )
 
 
-def _moved_left(units: DataFrame, reference: DataFrame) -> DataFrame:
+def _moved_left(units: DataFrame, pieces: DataFrame) -> DataFrame:
     """`moved`: over how many bases each unit moves. Only units that fitted a whole stretch go on."""
-    pieces, done, stretch = materialised(_pieces(reference), "pieces"), None, FIRST_STRETCH
+    done, stretch = None, FIRST_STRETCH
     going = units
     while True:
         seen = range_join(
@@ -108,11 +109,16 @@ def _moved_left(units: DataFrame, reference: DataFrame) -> DataFrame:
         behind = F.split(F.reverse(F.substr("text", F.greatest(upto - stretch + 1, F.lit(1)), F.least(upto, F.lit(stretch)))), "")
         unit = F.split(F.reverse("unit"), "")
         n = F.least(upto, F.lit(stretch))
-        fits = F.transform(
-            F.sequence(F.lit(0), n),
-            lambda i: (i < n) & F.coalesce(F.get(behind, i) == F.get(unit, F.pmod(F.col("moved") + i, F.size(unit)).cast("int")), F.lit(False)),
-        )
-        more = F.coalesce(F.array_position(fits, F.lit(False)) - 1, F.lit(0))
+
+        def fits(s: Column) -> Column:
+            return F.transform(
+                F.sequence(F.lit(0), n),
+                lambda i: (i < n) & F.coalesce(F.get(s["behind"], i) == F.get(s["unit"], F.pmod(F.col("moved") + i, F.size(s["unit"])).cast("int")), F.lit(False)),
+            )
+
+        # both lists stand in a list of one, so that they are split once a row and not once a base
+        once = F.get(F.transform(F.array(F.struct(behind.alias("behind"), unit.alias("unit"))), fits), F.lit(0))
+        more = F.coalesce(F.array_position(once, F.lit(False)) - 1, F.lit(0))
         step = cut_lineage(
             seen.withColumns({"_more": more, "_open": F.coalesce(more == n, F.lit(False))})
             .withColumn("moved", (F.col("moved") + F.col("_more")).cast("bigint"))
@@ -139,7 +145,7 @@ def unified_calls(geno: DataFrame, reference: DataFrame, first: int = 1, togethe
     If the rows of a sample hold more alternative alleles than its ploidy, all are listed.
     Rows with a null in these columns are left out.
     """
-    calls = geno.dropna(subset=["sample", *SITE, "gt"]).select("sample", *SITE, "gt")
+    calls = materialised(geno.dropna(subset=["sample", *SITE, "gt"]).select("sample", *SITE, "gt"), "calls")
     written = materialised(
         calls.select(*SITE).distinct().select(*SITE, F.posexplode(F.split("alt", ",")).alias("number", "allele")), "written"
     )

@@ -6,7 +6,8 @@ from ..functions.genotype import dosage
 from ..functions.missing import drop_missing, fill_zero, to_number
 from ..functions.text import joined_key, pieces, reverse_complement, tag_value
 from ..operators import alleles, callreport, genetic_map, homozygosity, liftover, variants
-from .base import register, rounded, view
+from ..shared import materialised
+from .base import register, rounded, view, view_over
 
 SITE = "chrom, pos, ref, alt"
 SNP = "length(ref) = 1 AND length(alt) = 1"
@@ -343,11 +344,12 @@ def unified(spark, d):
     """All alleles of a place in one record, written left and short, calls in blocks of four samples."""
     # the genome of the calls repeats ACGT: an AG put in behind a G (4k + 2) moves one base to the left
     window = F.floor(F.col("pos") / 64)
+    geno = materialised(view(spark, d, "v_geno"), "geno")
     genome = (
-        view(spark, d, "v_sites").select("chrom", F.explode(F.sequence(window - 1, window)).alias("w")).distinct()
+        view_over(geno, "v_sites", "v_geno").select("chrom", F.explode(F.sequence(window - 1, window)).alias("w")).distinct()
         .select("chrom", (F.col("w") * 64).alias("start"), F.repeat(F.lit("CGTA"), F.lit(16)).alias("text"))
     )
-    return alleles.unified_calls(view(spark, d, "v_geno"), genome, together=4)
+    return alleles.unified_calls(geno, genome, together=4)
 
 
 @register("U01_cohort_union", "SELECT sample, chrom, pos, gt FROM v_geno", "v_geno")
