@@ -178,26 +178,34 @@ def _prefixes(
     The common order is: tokens that are not frequent by hash, then frequent
     ones by hash. Frequent are those found in `frequent` or more of the looked-at
     parts; any such choice keeps the join exact, it only keeps lists short. Sets
-    whose looked-at part holds too few other tokens are read again whole. Tokens
-    that stand in one list only are left out: they pair with nothing.
+    whose looked-at part holds too few other tokens are read again whole. What
+    they hold further back was not counted yet and is as frequent where they
+    are near copies, so tokens in `frequent` or more of them are frequent too.
+    Tokens that stand in one list only are left out: they pair with nothing.
     """
     p = F.col("n") - _needed(F.col("n"), percent) + 1
-    posts = sets.select("id", "n", F.posexplode("tokens").alias("pos", "tok"))
-    counts = materialised(posts.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "counts")
-    hot = counts.where(F.col("df") >= frequent).select("tok")
-    filled = posts.join(hot, "tok", "left_semi").groupBy("id", "n").agg(F.count(F.lit(1)).alias("hits"))
-    looked = sets.select("id", F.size("tokens").alias("looked"))
-    short = materialised(
-        filled.join(looked, "id").where((F.col("looked") - F.col("hits") < p) & (F.col("looked") > 0))
-        .select("id").distinct(),
-        "short",
-    )
+    posts = sets.select("id", "n", F.size("tokens").alias("looked"), F.posexplode("tokens").alias("pos", "tok"))
     texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
-    again = materialised(
-        _set_rows(picked(texts, "_id", short), "_id", "_text", n, None).select("id", "sig", "n", "tokens")
-        .dropDuplicates(["id", "sig"]),
-        "again",
+
+    def read_again(hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Ids of sets with too few tokens outside `hot` in the looked-at part, and these sets whole."""
+        hits = picked(posts, "tok", hot.select(F.col("tok").alias("id"))).groupBy("id", "n", "looked")
+        short = materialised(
+            hits.agg(F.count(F.lit(1)).alias("hits")).where(F.col("looked") - F.col("hits") < p).select("id").distinct(),
+            "short",
+        )
+        whole = _set_rows(picked(texts, "_id", short), "_id", "_text", n, None).select("id", "sig", "n", "tokens")
+        return short, materialised(whole.dropDuplicates(["id", "sig"]), "again")
+
+    counts = materialised(posts.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "counts")
+    seen = materialised(counts.where(F.col("df") >= frequent).select("tok"), "seen")
+    before, crowd = read_again(seen)
+    further = crowd.select(F.explode("tokens").alias("tok")).groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    hot = materialised(
+        further.where(F.col("df") >= frequent).select("tok").unionByName(seen).distinct(), "hot"
     )
+    short, again = read_again(hot)
+    discarded(seen, before, crowd)
     late = (
         again.select("id", "sig", F.explode("tokens").alias("tok")).join(hot, "tok")
         .groupBy("id", "sig").agg(F.array_sort(F.collect_list("tok")).alias("late"))
@@ -210,12 +218,15 @@ def _prefixes(
         .select("tok", "id", "n", "rank"),
         "whole",
     )
-    wanted = counts.select("tok", (F.col("df") >= frequent).alias("late")).unionByName(
-        whole.select("tok", F.lit(False).alias("late"))
-    ).groupBy("tok").agg(F.max("late").alias("late"))
+    wanted = (
+        counts.select("tok", F.lit(False).alias("late"))
+        .unionByName(whole.select("tok", F.lit(False).alias("late")))
+        .unionByName(hot.select("tok", F.lit(True).alias("late")))
+        .groupBy("tok").agg(F.max("late").alias("late"))
+    )
     before = Window.partitionBy("id", "n").orderBy("pos")
     usual = (
-        posts.join(wanted, "tok")
+        posts.drop("looked").join(wanted, "tok")
         .withColumn("behind", F.sum(F.col("late").cast("int")).over(before))
         .withColumn("rank", (F.col("pos") - F.col("behind")).cast("int"))
         .where(~F.col("late") & (F.col("rank") < p))
@@ -227,7 +238,7 @@ def _prefixes(
     lists = materialised(
         _different(every).withColumn("b", block).join(sets.select("id", "n", "bits"), ["id", "n"]), "lists"
     )
-    discarded(counts, short, again, whole, every)
+    discarded(counts, hot, short, again, whole, every)
     return lists
 
 
@@ -349,24 +360,29 @@ def jaccard_classes(
     sketch = materialised(_set_rows(named, "_doc", "_text", n, percent), "sketch")
     filled = sketch.where("n > 0 AND id IS NOT NULL")
     classes = materialised(filled.groupBy("sig").agg(F.min("id").alias("rep"), F.max("n").alias("_n")), "classes")
-    firsts = filled.join(classes.select(F.col("rep").alias("id"), "sig"), ["id", "sig"], "left_semi")
+    firsts = materialised(
+        filled.join(classes.select(F.col("rep").alias("id"), "sig"), ["id", "sig"], "left_semi"), "firsts"
+    )
+    rows = materialised(sketch.select("id", "n", "sig"), "rows")
+    discarded(sketch)
+    sketch, filled = rows, rows.where("n > 0 AND id IS NOT NULL")
     lists = _prefixes(firsts, named, "_doc", "_text", n, percent, frequent)
     links, turn = _verified(_leader_pairs(lists, percent), firsts, named, "_doc", "_text", n, percent), 0
-    rows, last = lists.count(), float("inf")
+    held, last = lists.count(), float("inf")
     while True:
         parts = materialised(connected_components(links, "x", "y"), "parts")
         stars = parts.where(F.col("node") != F.col("component")).select(
             F.col("component").alias("x"), F.col("node").alias("y")
         )
         opened, work = _placed(lists, parts)
-        if work <= COMPARED_PER_ROW * rows or work > last / 2:
+        if work <= COMPARED_PER_ROW * held or work > last / 2:
             break
         turn, last = turn + 1, work
         found = _verified(_drawn_pairs(opened, turn, percent), firsts, named, "_doc", "_text", n, percent)
         links = stars.unionByName(found)
         discarded(opened)
     far = _verified(_open_pairs(opened, percent), firsts, named, "_doc", "_text", n, percent)
-    discarded(lists, opened)
+    discarded(lists, opened, firsts)
     same = classes.join(
         filled.select("id", "sig").distinct(), "sig"
     ).where(F.col("rep") != F.col("id")).select(F.col("rep").alias("x"), F.col("id").alias("y"))

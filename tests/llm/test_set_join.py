@@ -35,6 +35,23 @@ def test_near_copies_and_a_common_passage(spark, frequent):
     assert run(spark, rows, frequent=frequent) == brute.jaccard_classes(rows)
 
 
+def test_tokens_frequent_in_sets_read_again_stand_behind_all_others(spark):
+    rng = random.Random(5)
+    base, rows = [f"w{k}" for k in range(200)], []
+    for i in range(20):
+        text = list(base)
+        for k in range(3 + i % 2, 190, 16):
+            text[k + rng.randrange(6)] = f"x{rng.randrange(10**9)}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = set_join._set_rows(docs, "doc_id", "text", 4, 85)
+    lists = set_join._prefixes(sets, docs, "doc_id", "text", 4, 85, 4)
+    longest = lists.groupBy("tok").count().agg({"count": "max"}).first()[0] or 0
+    assert longest < 4  # each set has more tokens of its own than its prefix holds
+    rows += [(100 + i, t + " end") for i, t in rows[:3]]
+    assert run(spark, rows, frequent=4) == brute.jaccard_classes(rows)
+
+
 def test_only_common_words(spark):
     rng = random.Random(3)
     rows = [(i, " ".join(f"a{rng.randrange(6)}" for _ in range(rng.randrange(1, 40)))) for i in range(120)]
