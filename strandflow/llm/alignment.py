@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 from ..shared import materialised
 from .bpe_stream import byte_characters
 from .packing import encoding
-from .texts import byte_slices, list_array, text_bytes
+from .texts import bound_batches, byte_slices, list_array, text_bytes
 
 #: Tokens of A in a lane, about; text bytes merged at once; links of a group beyond which
 #: equal ids of a group are merged before they are paired.
@@ -149,6 +149,32 @@ def lockstep(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarra
             state = np.ascontiguousarray(state[:, state[0] < state[4]])
 
 
+def cuts_and_links(
+    a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, docs_a: np.ndarray, docs_b: np.ndarray
+) -> tuple[np.ndarray, ...]:
+    """Cuts (places in A and in B, in order), and of every link the place in A where its group ends, its id pair and times."""
+    cuts, links = [], []
+    for ia, ib, (place, one, two, times) in lockstep(a, b, ends_a, ends_b, lanes_of(ends_a, ends_b, docs_a, docs_b)):
+        cuts.append((ia.astype(np.int32), ib.astype(np.int32)))
+        links.append((place.astype(np.int32), one.astype(np.int64) << 32 | two, times))
+    cut_a, cut_b = (np.concatenate(c) for c in zip(*cuts))
+    del cuts
+    order = np.argsort(cut_a)
+    return cut_a[order], cut_b[order], *(np.concatenate(c) for c in zip(*links))
+
+
+def reading_order(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, most: int) -> np.ndarray:
+    """Spellings in reading order: the ids of a group's A, those of its B, then the next group."""
+    stop_a, stop_b = np.zeros(len(a), np.int32), np.zeros(len(b), np.int32)
+    stop_a[cut_a - 1] = stop_b[cut_b - 1] = 1
+    group_a = np.cumsum(stop_a, dtype=np.int32) - stop_a
+    group_b = np.cumsum(stop_b, dtype=np.int32) - stop_b
+    coded = np.empty(len(a) + len(b), np.int32)
+    coded[np.arange(len(a)) + np.append(0, cut_b)[group_a]] = a + most * stop_a
+    coded[np.arange(len(b)) + cut_a[group_b]] = b + 2 * most * stop_b
+    return coded
+
+
 def aligned(texts: list[str | None], path_a: str, path_b: str) -> dict:
     """Figures, links and group digest of some texts: what one row of the blocks holds, as arrays.
 
@@ -167,40 +193,30 @@ def aligned(texts: list[str | None], path_a: str, path_b: str) -> dict:
         x, y, raw = one.encode(whole), two.encode(text), whole.encode()
         if b"".join([one.bytes[i] for i in x]) == raw == b"".join([two.bytes[i] for i in y]):
             found.append(k)
-            both.append((x, y))
+            both.append((np.array(x, np.int32), np.array(y, np.int32)))
     count = {name: np.zeros(len(texts), np.int64) for name in ("n_a", "n_b", "n_groups", "n_links", "pairs")}
     digest = [""] * len(texts)
     empty = np.zeros(0, np.int64)
     if not found:
         return count | {"digest": digest} | dict.fromkeys(("a", "b", "held", "steps", "times"), empty)
-    a, b = (np.concatenate([np.array(t[s], np.int64) for t in both]) for s in (0, 1))
+    a, b = (np.concatenate([t[s] for t in both]) for s in (0, 1))
     docs_a, docs_b = (np.cumsum([len(t[s]) for t in both]) for s in (0, 1))
-    ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
-    cuts, links = [], []
-    for ia, ib, emitted in lockstep(a, b, ends_a, ends_b, lanes_of(ends_a, ends_b, docs_a, docs_b)):
-        cuts.append((ia, ib))
-        links.append(emitted)
-    cut_a, cut_b = (np.concatenate(c) for c in zip(*cuts))
-    order = np.argsort(cut_a)
-    cut_a, cut_b = cut_a[order], cut_b[order]
-    # Spellings in reading order: the ids of a group's A, those of its B, then the next group.
-    stop_a, stop_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-    stop_a[cut_a - 1] = stop_b[cut_b - 1] = 1
-    group_a, group_b = np.cumsum(stop_a) - stop_a, np.cumsum(stop_b) - stop_b
-    most = len(spelt) // 3
-    coded = np.empty(len(a) + len(b), np.int64)
-    coded[np.arange(len(a)) + np.append(0, cut_b)[group_a]] = a + most * stop_a
-    coded[np.arange(len(b)) + cut_a[group_b]] = b + 2 * most * stop_b
-    at = 0
+    del both
+    cut_a, cut_b, place, key, times = cuts_and_links(a, b, np.cumsum(size_a[a]), np.cumsum(size_b[b]), docs_a, docs_b)
+    at, coded = 0, reading_order(a, b, cut_a, cut_b, len(spelt) // 3)
     for k, stop in zip(found, docs_a + docs_b):
         joined = "".join([spelt[c] for c in coded[at:stop].tolist()])
         digest[k], at = sha256(joined[:-1].encode()).hexdigest(), stop
-    place, id_a, id_b, times = (np.concatenate(c) for c in zip(*links))
+    del coded
     doc = np.searchsorted(docs_a, place)
-    pairs, pair = np.unique(id_a << 32 | id_b, return_inverse=True)
+    del place
+    pairs, pair = np.unique(key, return_inverse=True)
+    del key
     held, inverse = np.unique(doc * len(pairs) + pair, return_inverse=True)
+    del doc, pair
     totals = np.zeros(len(held), np.int64)
     np.add.at(totals, inverse, times)
+    del inverse, times
     owner, pair = np.divmod(held, len(pairs))
     where = np.array(found)
     count["n_a"][where] = np.diff(docs_a, prepend=0)
@@ -241,6 +257,7 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b:
                 number += 1
             pa.default_memory_pool().release_unused()
 
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text_bytes(text_col).alias("text"))
     return rows.mapInArrow(run, BLOCKS)
 

@@ -3,15 +3,18 @@
 import hashlib
 import os
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strandflow.llm import alignment
+from strandflow.llm import texts as texts_of
 from strandflow.llm.queries import QUERIES
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -119,3 +122,35 @@ def test_lanes_end_where_both_sides_end():
     ends_a, ends_b = np.array([2, 4, 6, 8, 9]), np.array([1, 4, 5, 8, 9])
     lanes = alignment.lanes_of(ends_a, ends_b, np.array([5]), np.array([5]), lane=2)
     assert lanes.T.tolist() == [[0, 2, 0], [2, 4, 2], [4, 5, 4]]
+
+
+def test_a_block_needs_little_more_than_its_tokens():
+    """Temporary tables of a block are small numbers and go as soon as they are read."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(words) for _ in range(400)) for _ in range(400)]
+    paths = [*map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))]
+    alignment.aligned(texts[:1], *paths)
+    tracemalloc.start()
+    got = alignment.aligned(texts, *paths)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100 * int(got["n_a"].sum() + got["n_b"].sum())
+
+
+def test_texts_come_in_bounded_batches(spark, monkeypatch):
+    monkeypatch.setattr(alignment, "aligned", lambda texts, a, b, real=alignment.aligned: real([None] * len(texts), a, b))
+    docs = spark.range(0, 40, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    kept = spark.conf.get(texts_of.BATCH_CONF)
+    spark.conf.set(texts_of.BATCH_CONF, "64m")
+
+    def bounded(batch, limit):
+        assert batch.get_total_buffer_size() < 4 * texts_of.BATCH_BYTES
+        return texts_of.byte_slices(batch, limit)
+
+    monkeypatch.setattr(alignment, "byte_slices", bounded)
+    try:
+        blocks = alignment.blocks_of(docs, "doc_id", "text", *map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+        assert blocks.agg(F.sum(F.size("docs"))).first()[0] == 40
+    finally:
+        spark.conf.set(texts_of.BATCH_CONF, kept)
