@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import hashed
 from ..operators.ordered import global_index
 from ..shared import materialised
 
@@ -26,16 +27,38 @@ def write_wide_counts(counts: DataFrame, path: str, cells_per_file: int = 64) ->
     cells = materialised(
         number.select("cell", F.floor(F.col("_at") / cells_per_file).alias("block"), (F.col("_at") % cells_per_file).alias("_at")), "cells"
     )
-    places = list(range(cells_per_file))
-    values = named.join(cells, "cell").groupBy("block", "gene").pivot("_at", places).agg(F.sum("n")).fillna(0, [str(k) for k in places])
-    names = cells.groupBy("block").pivot("_at", places).agg(F.first("cell"))
-    columns = [F.col(str(k)).cast("string").alias(f"c{k}") for k in places]
-    rows = names.select("block", F.lit(0).alias("_row"), F.lit("gene").alias("gene"), *columns).unionByName(
-        values.select("block", F.lit(1).alias("_row"), "gene", *columns)
+    amount = F.sum("n")
+    kind = named.select(amount.alias("n")).schema["n"].dataType.simpleString()
+    if kind in ("float", "double"):
+        amount = F.nanvl(amount, F.lit(None).cast(kind))
+    zero = F.lit(0).cast(kind).cast("string")
+    values = named.join(hashed(cells), "cell").select("block", F.lit(1).alias("_row"), "gene", "_at", "n", F.lit(None).cast("string").alias("name"))
+    names = cells.select(
+        "block", F.lit(0).alias("_row"), F.lit("gene").alias("gene"), "_at",
+        F.lit(None).cast(named.schema["n"].dataType).alias("n"), F.col("cell").alias("name"),
     )
-    # one task writes a block, so that it is one file; its header comes first
-    placed = rows.repartition("block").sortWithinPartitions("block", "_row")
-    placed.select("block", "gene", *[f"c{k}" for k in places]).write.partitionBy("block").options(header=False, escape='"').csv(path)
+    # one task writes a block, so that it is one file; its counts are brought together there and nowhere else
+    placed = names.unionByName(values).repartition("block")
+    once = placed.groupBy("block", "_row", "gene", "_at", "name").agg(amount.alias("n"))
+    field = F.when(F.col("_row") == 0, F.col("name")).otherwise(F.coalesce(F.col("n").cast("string"), zero))
+    rows = once.groupBy("block", "_row", "gene").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_at").cast("int").alias("at"), field.alias("x")))).alias("_f")  # one a cell of the block
+    )
+    # cells without the gene are one repeated text, so that a row costs its counts and not its width until it is split
+    absent = lambda n: F.repeat(F.concat(F.lit(","), zero), n)
+    line = F.aggregate(
+        "_f", F.struct(F.lit(0).alias("to"), F.lit("").alias("s")),
+        lambda made, f: F.struct((f["at"] + 1).alias("to"), F.concat(made["s"], absent(f["at"] - made["to"]), F.lit(","), f["x"]).alias("s")),
+        lambda made: F.concat(made["s"], absent(F.lit(cells_per_file) - made["to"])),
+    )
+    by_place = F.map_from_entries("_f")
+    header = F.transform(F.sequence(F.lit(0), F.lit(cells_per_file - 1)), lambda k: F.try_element_at(by_place, k))
+    fields = F.when(F.col("_row") == 0, header).otherwise(F.split(F.substring(line, 2, 1 << 30), ","))
+    # its header comes first
+    placed = rows.sortWithinPartitions("block", "_row").select("block", "gene", fields.alias("_f"))
+    placed.select("block", "gene", *[F.get("_f", F.lit(k)).alias(f"c{k}") for k in range(cells_per_file)]).write.partitionBy(
+        "block"
+    ).options(header=False, escape='"').csv(path)
 
 
 def write_tsv(df: DataFrame, path: str) -> None:

@@ -1,10 +1,14 @@
 """Line-oriented text inputs; line numbers come from file splits, not from one task."""
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import hashed
 from ..operators.ordered import BUCKET, scan
 from ..shared import materialised
 
@@ -46,33 +50,125 @@ FIELD = r'(?s),(?:"(?:[^"]++|"")*+"|[^,"]*+)'
 LINES_AT_ONCE = 1 << 16
 
 
-def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Quoted comma-separated records as file, record (number of its first line, from 0) and fields (array).
+#: Bytes of text that a task looks through at once, unless one line has more.
+BYTES_AT_ONCE = 2 << 20
 
-    Commas, doubled quotes and line breaks may stand inside quotes. A line begins a record
-    when an even number of quotes stands before it in its file: quotes are counted per line
-    and added up over blocks of lines, so no file passes one task. Records of one line,
-    nearly all, stay where they are; only lines of longer ones are brought together.
-    A text that is no list of fields raises.
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, in parts of at most BYTES_AT_ONCE or one row."""
+    if batch.num_rows > 1 and batch.nbytes > BYTES_AT_ONCE:
+        half = batch.num_rows // 2
+        yield from _pieces(batch.slice(0, half))
+        yield from _pieces(batch.slice(half))
+    elif batch.num_rows:
+        yield batch
+
+
+#: A record of which the first field alone is quoted: that field, and what stands behind it.
+FIRST_QUOTED = '^"(?P<first>(?:[^"]|"")*)"(?P<rest>(?:,[^"]*)?)$'
+SPARSE = "value string, gene string, width int, kept array<struct<at:int,x:string>>"
+
+
+def _sparse(value: pa.Array, tried: np.ndarray) -> list[pa.Array]:
+    """The columns SPARSE of records: those tried that can be split at commas, no field but the first being quoted, have
+    gene (first field), width (number of fields) and kept (the others with their places, no zeros); the rest keep their text."""
+    quoted = tried & pc.match_substring(value, '"').to_numpy(zero_copy_only=False)
+    found = pc.extract_regex(value.filter(pa.array(quoted)), FIRST_QUOTED)
+    led = np.zeros(len(value), bool)
+    led[np.flatnonzero(quoted)[found.is_valid().to_numpy(zero_copy_only=False)]] = True
+    found = found.drop_null()
+    good = tried & (led | ~quoted)
+    own = np.arange(len(value))
+    own[led] = len(value) + np.arange(len(found))
+    lines = pa.concat_arrays([value, found.field("rest")]).take(pa.array(own[good]))
+    lists = pc.split_pattern(lines, ",")
+    width = pc.list_value_length(lists).to_numpy()
+    fields, stops = lists.flatten(), np.cumsum(width, dtype=np.int64)
+    firsts = stops - width
+    at = np.arange(len(fields), dtype=np.int32) - np.repeat(firsts, width).astype(np.int32)
+    zeros = pc.is_in(fields, value_set=pa.array(["0", "0.0", ""])).to_numpy(zero_copy_only=False)
+    kept = np.flatnonzero(~zeros & (at > 0))
+    ends = np.append(0, np.searchsorted(kept, stops)).astype(np.int32)
+    cells = pa.StructArray.from_arrays([pa.array(at[kept]), fields.take(pa.array(kept))], names=["at", "x"])
+    spelt = pc.replace_substring(found.field("first"), '""', '"')
+    firsts[led[good]] = len(fields) + np.arange(len(found))
+    gene = pa.concat_arrays([fields, spelt]).take(pa.array(firsts))
+    row = pa.array(np.cumsum(good) - 1, mask=~good)
+    listed = pa.ListArray.from_arrays(pa.array(ends), cells)
+    return [
+        value.take(pa.array(np.arange(len(value)), mask=good)), gene.take(row),
+        pa.array(width, pa.int32()).take(row), listed.take(row),
+    ]
+
+
+def _placed_lines(spark: SparkSession, path: str | list[str], counts: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Lines as (file, line_no, value, _start, _whole), and the files by number (file, path).
+
+    _start is the line's own number where an even number of quotes stands before it in its
+    file, _whole tells that the line is a record by itself. Quotes are counted per file split
+    (one row each, broadcast); inside a split a task counts on as it reads, so lines stay in
+    place. With `counts`, the lines that are data records come as `_sparse` gives them.
     """
     quotes = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).cast("bigint")
-    lines = numbered_lines(spark, path).withColumns(
-        {"_quotes": quotes, BUCKET: F.floor(F.col("line_no") / LINES_AT_ONCE)}
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
     )
-    opened = scan(lines, ["file"], ["line_no"], {"_before": ("sum", "_quotes")}, inclusive=False)
-    starts = F.col("_before") % 2 == 0
-    placed = materialised(
-        opened.withColumn("_start", F.when(starts, F.col("line_no"))).withColumn("_whole", starts & (F.col("_quotes") % 2 == 0)),
-        "lines",
+    splits = lines.groupBy("path", "_block").agg(
+        F.count(F.lit(1)).alias("_size"), F.min("_id").alias("_first"), F.sum(quotes).alias("_quotes")
     )
-    begun = scan(placed, ["file"], ["line_no"], {"record": ("max", "_start")}).where("NOT _whole")
+    order = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialised(
+        splits.select(
+            "path", "_block", "_first", F.dense_rank().over(Window.orderBy("path")).alias("file"),
+            *[F.coalesce(F.sum(c).over(order), F.lit(0)).alias(c) for c in ("_size", "_quotes")],
+        ),
+        "splits",
+    )
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, count = None, 0
+        for batch in batches:
+            for part in _pieces(batch):
+                value, line_no = part.column("value"), part.column("line_no").to_numpy()
+                first, before = part.column("_first").to_numpy(), part.column("_quotes").to_numpy()
+                own = pc.count_substring(value, '"').to_numpy().astype(np.int64)
+                total = np.cumsum(own)
+                begins = np.flatnonzero(np.append(True, first[1:] != first[:-1]))
+                base = before[begins] - (total - own)[begins]
+                if first[0] == key:
+                    base[0] = count
+                seen = np.repeat(base, np.diff(np.append(begins, len(first)))) + total - own
+                key, count = first[-1], seen[-1] + own[-1]
+                starts = seen % 2 == 0
+                whole = starts & (own % 2 == 0)
+                tried = counts & whole & (line_no > 0) & (pc.binary_length(value).to_numpy() > 0)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("file"), part.column("line_no"), pa.array(line_no, mask=~starts), pa.array(whole), *_sparse(value, tried)],
+                    names=["file", "line_no", "_start", "_whole", *(c.split(" ")[0] for c in SPARSE.split(", "))],
+                )
+
+    numbered = lines.join(F.broadcast(offsets), ["path", "_block"])
+    placed = numbered.select("file", (F.col("_size") + F.col("_id") - F.col("_first")).alias("line_no"), "value", "_first", "_quotes")
+    return placed.mapInArrow(place, f"file int, line_no bigint, _start bigint, _whole boolean, {SPARSE}"), offsets.select("file", "path").distinct()
+
+
+def _record_texts(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """file, record, value of the records among placed lines that still are text: of one line, and of several."""
+    rest = placed.where("NOT _whole").withColumn(BUCKET, F.floor(F.col("line_no") / LINES_AT_ONCE))
+    begun = scan(rest, ["file"], ["line_no"], {"record": ("max", "_start")})
     long = begun.groupBy("file", "record").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "value"))), lambda x: x["value"]), "\n").alias("value")
     )
-    every = placed.where("_whole").select("file", F.col("line_no").alias("record"), "value").unionByName(long)
+    whole = placed.where("_whole AND value <> ''").select("file", F.col("line_no").alias("record"), "value")
+    return whole, long
+
+
+def _fields(records: DataFrame) -> DataFrame:
+    """file, record and fields of records that are text."""
     led = F.concat(F.lit(","), F.col("value"))
     found = F.regexp_extract_all(led, F.lit(FIELD), F.lit(0))
-    whole = every.where(F.col("value") != "").withColumn("_found", found).withColumn(
+    whole = records.withColumn("_found", found).withColumn(
         "_sound", F.aggregate("_found", F.lit(0).cast("bigint"), lambda n, x: n + F.length(x)) == F.length("value") + 1
     )
     plain = lambda x: F.when(
@@ -84,6 +180,21 @@ def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return whole.select("file", "record", F.transform(checked, plain).alias("fields"))
 
 
+def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Quoted comma-separated records as file, record (number of its first line, from 0) and fields (array).
+
+    Commas, doubled quotes and line breaks may stand inside quotes. A line begins a record
+    when an even number of quotes stands before it in its file: quotes are counted per file
+    split and then line by line, so no file passes one task. Records of one line,
+    nearly all, stay where they are; only lines of longer ones are brought together.
+    A text that is no list of fields raises.
+    """
+    lines, files = _placed_lines(spark, path)
+    whole, long = _record_texts(materialised(lines, "lines"))
+    found = _fields(whole.unionByName(long))
+    return found.join(F.broadcast(files), "file").select(F.col("path").alias("file"), "record", "fields")  # one row per file
+
+
 def read_wide_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Wide gene x cell tables (first column = gene) as long non-zero counts.
 
@@ -92,21 +203,34 @@ def read_wide_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     zeros are gone, so no list of all cells is copied or passes the driver. Values that are
     no numbers (as NA) are missing. A row of another width raises.
     """
-    records = materialised(read_records(spark, path), "records")
+    lines, _ = _placed_lines(spark, path, counts=True)
+    placed = materialised(lines, "lines")
+    whole, long = _record_texts(placed)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _pieces(batch):
+                found = _sparse(part.column("value"), part.column("record").to_numpy() > 0)
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], *found], names=["file", "record", *(c.split(" ")[0] for c in SPARSE.split(", "))])
+
+    joined = materialised(long.mapInArrow(split, f"file int, record bigint, {SPARSE}"), "joined")
+    texts = whole.unionByName(joined.where("value IS NOT NULL").select("file", "record", "value"))
+    records = materialised(_fields(texts), "records")
     heads = records.where("record = 0")
     sizes = heads.select("file", F.size("fields").alias("_names"))
     names = heads.select(F.col("file").alias("_file"), F.posexplode("fields").alias("_place", "cell"))
-    rows = records.where("record > 0").join(sizes, "file").withColumn("_over", F.size("fields") - F.col("_names"))
-    checked = F.when(F.col("_over").isin(0, 1), F.col("fields")).otherwise(
-        F.raise_error(F.concat(F.lit("a row of another width than its header: "), F.get("fields", F.lit(0)))).cast("array<string>")
-    )
-    values = F.transform(checked, lambda x, i: F.struct(i.alias("at"), F.trim(x).try_cast("double").alias("n")))
-    kept = F.filter(values, lambda v: (v["at"] > 0) & (v["n"] != 0))
-    long = rows.select("file", F.get("fields", F.lit(0)).alias("gene"), "_over", F.explode(kept).alias("v")).select(
-        "file", "gene", (F.col("v.at") - F.col("_over")).alias("at"), "v.n"
+    listed = F.filter(F.transform("fields", lambda x, i: F.struct(i.alias("at"), x.alias("x"))), lambda f: f["at"] > 0)
+    parsed = records.where("record > 0").select("file", F.get("fields", F.lit(0)).alias("gene"), F.size("fields").alias("width"), listed.alias("kept"))
+    plain = [t.where("width IS NOT NULL").select("file", "gene", "width", "kept") for t in (placed, joined)]
+    rows = plain[0].unionByName(plain[1]).unionByName(parsed).join(hashed(sizes), "file").withColumn("_over", F.col("width") - F.col("_names"))
+    checked = F.when(F.col("_over").isin(0, 1), F.col("kept")).otherwise(
+        F.raise_error(F.concat(F.lit("a row of another width than its header: "), F.col("gene"))).cast(parsed.schema["kept"].dataType)
     )
+    long = rows.select("file", "gene", "_over", F.explode(checked).alias("v")).select(
+        "file", "gene", (F.col("v.at") - F.col("_over")).alias("at"), F.trim("v.x").try_cast("double").alias("n")
+    ).where("n <> 0")
     met = (F.col("file") == F.col("_file")) & (F.col("at") == F.col("_place"))
-    return long.join(names, met).select("gene", "cell", "n")
+    return long.join(hashed(names), met).select("gene", "cell", "n")
 
 
 def read_manifest(
