@@ -22,23 +22,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from ..shared import discarded, materialised
+from ..shared import discarded, materialised, new_folder
+from .texts import bound_batches
 
 BLOCK = 4096
-PIVOTS = 64
+PIVOTS = 512
 DEPTH = 6  # levels split around pivots; larger cells are then cut by hash
 MARGIN = 1e-7
 SMALLEST = 2.0**-7  # radius of the last level
 AT_ONCE = 1 << 18  # pairs of points compared without going further down
 PER_NODE_PAIR = 1 << 10  # pairs of points that cost as much as one open pair of nodes
+CELLS_A_FILE = 4
+ROUND_BYTES = 32 << 20  # of blocks that all executors hold at once while the others stream past
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    """Vectors of equal length as a matrix of doubles, each scaled to a largest component of 1."""
-    x = np.array(column.to_pylist(), np.float64)
+def _given(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors of equal length as a matrix, in the precision in which they stand."""
+    kind = np.float32 if pa.types.is_float32(column.type.value_type) else np.float64
+    return np.array(column.to_pylist(), kind)
+
+
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors as doubles, each scaled to a largest component of 1."""
+    x = x.astype(np.float64)
     return x / np.abs(x).max(axis=1, keepdims=True)
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    return _scaled(_given(column))
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
@@ -216,7 +229,7 @@ def _placed(vectors: DataFrame, block: int) -> tuple[DataFrame, list[DataFrame]]
     """Vectors with their `cell`, and per split the new cells: node, parent, centre, radius.
 
     A cell of more than `block` vectors is split around its own vectors, drawn by
-    hash, up to 64 of them; each vector goes to the nearest. The work is dealt out
+    hash, up to 512 of them; each vector goes to the nearest. The work is dealt out
     in slices of a cell, to which the cell's pivots are copied. Cells that are still
     too large after six splits (near copies without number) are cut by hash; such
     parts have no centre.
@@ -307,16 +320,18 @@ def _block_pairs(placed: DataFrame, nodes: list[DataFrame], limit: float) -> Dat
 
 
 def _packed_blocks(placed: DataFrame) -> DataFrame:
-    """One row per cell: its vectors and its cover tree, built once, as bytes."""
+    """One row per cell: its vectors as they stand and its cover tree, built once, as bytes; a few cells a file."""
 
     def pack(rows: pa.Table) -> pa.Table:
-        x = _matrix(rows["embedding"])
-        tree = Tree(_unit(x))
+        x = _given(rows["embedding"])
+        tree = Tree(_unit(_scaled(x)))
         content = {"id": rows["rep"].to_numpy(), "h": rows["h"].to_numpy(), "w": rows["w"].to_numpy(), "x": x,
                    "order": tree.order, "levels": tree.levels}
         return pa.table({"cell": rows["cell"][:1], "content": pa.array([pickle.dumps(content)], pa.binary())})
 
-    return materialised(placed.groupBy("cell").applyInArrow(pack, "cell string, content binary"), "blocks")
+    files = -(-placed.select("cell").distinct().count() // CELLS_A_FILE) or 1
+    dealt = placed.repartition(files, "cell")
+    return materialised(dealt.groupBy("cell").applyInArrow(pack, "cell string, content binary"), "blocks")
 
 
 FOUND = "id bigint, h bigint, n bigint, other bigint"
@@ -330,6 +345,7 @@ def _found(rows: pa.Table, threshold: float) -> pa.Table:
         if not same:
             sides.append(pickle.loads(b_bytes))
         for side in sides:
+            side["x"] = _scaled(side["x"])
             side["tree"] = SimpleNamespace(order=side["order"], levels=side["levels"])
             side["unit"] = _unit(side["x"])
             side["norm"] = np.sqrt((side["x"] * side["x"]).sum(axis=1))
@@ -352,6 +368,36 @@ def _found(rows: pa.Table, threshold: float) -> pa.Table:
     return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("id", "h", "n", "other"), out)})
 
 
+def _all_found(blocks: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """What `_found` has of all open pairs of blocks, in rounds.
+
+    In a round all executors hold some blocks, ROUND_BYTES of them, and the others are read
+    from the shared folder past them. So no block is shuffled, however many pairs are open:
+    disk holds each block once, and memory the blocks of a round.
+    """
+    spark = blocks.sparkSession
+    bound_batches(spark)
+    upto = F.sum(F.length("content").cast("bigint")).over(Window.orderBy("cell"))  # one row per cell, without its vectors
+    dealt = materialised(blocks.select("cell", F.floor((upto - 1) / ROUND_BYTES).alias("round")), "rounds")
+    folder, schema = new_folder(spark, "found"), FOUND
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from _found(pa.Table.from_batches([batch.slice(k, 1)]), threshold).to_batches()
+
+    rounds = [r["round"] for r in dealt.select("round").distinct().orderBy("round").collect()]
+    for at in rounds:
+        own = F.broadcast(dealt.where(F.col("round") == at).select(F.col("cell").alias("a")))
+        held = blocks.select(F.col("cell").alias("a"), F.col("content").alias("ca")).join(own, "a")
+        asked = pairs.join(own, "a")
+        passing = blocks.select(F.col("cell").alias("b"), F.col("content").alias("cb"))
+        work = passing.join(F.broadcast(asked), "b").join(F.broadcast(held), "a")
+        same = F.col("a") == F.col("b")
+        work.select("ca", F.when(~same, F.col("cb")).alias("cb"), same.alias("same")).mapInArrow(run, schema).write.parquet(f"{folder}/{at}")
+    return spark.read.schema(schema).parquet(*[f"{folder}/{at}" for at in rounds]) if rounds else spark.createDataFrame([], schema)
+
+
 def _usable(v: str) -> Column:
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     return F.col(v).isNotNull() & F.coalesce(F.forall(v, number), F.lit(False)) & F.exists(v, lambda x: x != 0)
@@ -382,12 +428,8 @@ def cosine_links(
     limit = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
     placed, nodes = _placed(classes.select("rep", "h", "w", "embedding"), block)
     blocks = _packed_blocks(placed)
-    one = blocks.select(F.col("cell").alias("a"), F.col("content").alias("ca"))
-    two = blocks.select(F.col("cell").alias("b"), F.col("content").alias("cb"))
-    pairs = _block_pairs(placed, nodes, limit)
-    same = F.col("a") == F.col("b")
-    work = pairs.join(one, "a").join(two, "b").select("a", "b", "ca", F.when(~same, F.col("cb")).alias("cb"), same.alias("same"))
-    found = materialised(work.groupBy("a", "b").applyInArrow(lambda t: _found(t, threshold), FOUND), "found")
+    pairs = materialised(_block_pairs(placed, nodes, limit), "pairs")
+    found = _all_found(blocks, pairs, threshold)
     discarded(blocks)
     counts = found.where("other IS NULL").groupBy(F.col("id").alias("rep"), "h").agg(F.sum("n").alias("across"))
     edges = found.where("other IS NOT NULL AND id IS NOT NULL").select(F.col("id").alias("src"), F.col("other").alias("dst"))
